@@ -17,7 +17,7 @@ from ..sources.files import (
     read_drops,
     visible,
 )
-from ..sources.tables import clustered, path_exists
+from ..sources.tables import path_exists, write_by
 
 _STORED = T.StructType([*PUBLISHED_TRIPS.fields, T.StructField("ingest_batch", LONG)])
 
@@ -70,10 +70,7 @@ class TripIngest:
         return self._read(self.suspicious_path)
 
     def _write(self, df: DataFrame, path: str, batch: int) -> None:
-        writer = clustered(df, ["pickup_date"]).write.mode("overwrite")
-        writer.option("partitionOverwriteMode", "static").partitionBy("pickup_date").parquet(
-            f"{path}/ingest_batch={batch}"
-        )
+        write_by(df, f"{path}/ingest_batch={batch}", ["pickup_date"], "overwrite")
 
     def _read(self, path: str) -> DataFrame:
         if not path_exists(self.spark, path):

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from ..operators.cdc import merge_changes
 
+_SMALLEST_TASK = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
 _COMMIT = T.StructType(
     [
         T.StructField("version", T.LongType()),
@@ -168,12 +169,11 @@ class VersionedTables:
                 columns.append(f"{column}_day")
             else:
                 columns.append(column)
-        writer = clustered(df, columns).write.mode("overwrite")
+        path = f"{self._path(name)}/data/{part}"
         if columns:
-            writer = writer.partitionBy(*columns)
-        writer.option("partitionOverwriteMode", "static").parquet(
-            f"{self._path(name)}/data/{part}"
-        )
+            write_by(df, path, columns, "overwrite")
+        else:
+            df.write.mode("overwrite").parquet(path)
         return part
 
     def _record(self, name, operation, schema, partitions, parts, batch, last) -> None:
@@ -266,17 +266,26 @@ class CatalogTables:
         return writer.partitionedBy(*parts) if parts else writer
 
 
-def clustered(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Bring the rows of a partition value together before a partitioned write.
+def write_by(df: DataFrame, path: str, columns: list[str], mode: str, dynamic: bool = False):
+    """Write parquet partitioned by ``columns``.
 
-    A rebalance, not a repartition: AQE splits a value that holds most rows over several tasks and
-    joins small ones, so files come out near the advisory size.
+    The rows of a value are brought together by a rebalance, not a repartition: AQE splits a value
+    that holds most rows over several tasks and joins small ones, so files come out near the
+    advisory size. What a small write costs is the number of files, so its tasks may be small.
     """
-    return df.hint("rebalance", *columns) if columns else df
+    conf = df.sparkSession.conf
+    before = conf.get(_SMALLEST_TASK)
+    conf.set(_SMALLEST_TASK, "64k")
+    try:
+        df.hint("rebalance", *columns).write.mode(mode).option(
+            "partitionOverwriteMode", "dynamic" if dynamic else "static"
+        ).partitionBy(*columns).parquet(path)
+    finally:
+        conf.set(_SMALLEST_TASK, before)
 
 
 def append_partitioned(df: DataFrame, path: str, by: str) -> None:
-    clustered(df, [by]).write.mode("append").partitionBy(by).parquet(path)
+    write_by(df, path, [by], "append")
 
 
 def overwrite_partitions(df: DataFrame, path: str, by: str) -> None:
@@ -285,9 +294,7 @@ def overwrite_partitions(df: DataFrame, path: str, by: str) -> None:
     ``df`` must hold the whole content of those partitions. The mode is set on the writer, so no
     other write of the session changes its meaning.
     """
-    clustered(df, [by]).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(by).parquet(path)
+    write_by(df, path, [by], "overwrite", dynamic=True)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
