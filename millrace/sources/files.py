@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,14 @@ def drop_name(path: Column) -> Column:
     return F.regexp_extract(path, r"^.*?/([^/]+\.parquet)(?:/.*)?$", 1)
 
 
+def _scanned_path() -> Column:
+    """The path of the file a row was read from, as a listing spells it.
+
+    Scans report it percent-encoded; a plus sign stands for itself there.
+    """
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def list_files(spark: SparkSession, inbox: str) -> DataFrame:
     """``filename, path, size_bytes, modified_at`` of each drop, without reading any content."""
     entries = (
@@ -82,12 +91,12 @@ def read_drops(
 
     def tagged(some: list[str]) -> DataFrame:
         rows = spark.read.option("mergeSchema", "true").parquet(*some)
-        return rows.select("*", drop_name(F.col("_metadata.file_path")).alias("source_file"))
+        return rows.select("*", drop_name(_scanned_path()).alias("source_file"))
 
     try:
         return shape(tagged(paths))
-    except PySparkException as error:
-        if "MERGE_SCHEMA" not in (error.getCondition() or ""):
+    except (PySparkException, Py4JJavaError) as error:
+        if "CANNOT_MERGE_" not in str(error):
             raise
     groups: dict[str, list[str]] = {}
     for path in paths:
