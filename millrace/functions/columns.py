@@ -29,6 +29,15 @@ def safe_cast(column: Column, kind: T.DataType, source: T.DataType | None = None
     return cast
 
 
+def generated(*structs: Column) -> Column:
+    """The fields of structs that are costly to compute, such as parsed JSON, as own columns.
+
+    A filter on a field of a plain parsed struct is pushed below the projection, and each pushed
+    predicate parses the text again; generated columns are computed once and filtered afterwards.
+    """
+    return F.inline(F.array(*structs))
+
+
 def trip_minutes(pickup: str, dropoff: str) -> Column:
     return (F.unix_timestamp(dropoff) - F.unix_timestamp(pickup)) / 60.0
 

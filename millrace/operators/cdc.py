@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import safe_cast
+from ..functions.columns import generated, safe_cast
 from ..schemas import Entity
 from .dedup import latest_per_key
 
@@ -18,15 +18,6 @@ _ENVELOPE = (
 )
 
 
-def _parsed(*structs: Column) -> Column:
-    """Parsed JSON as generated columns.
-
-    A filter on a field of plain parsed JSON is pushed below the projection and parses the text a
-    second time; generated columns are computed once and filtered afterwards.
-    """
-    return F.inline(F.array(F.struct(*structs)))
-
-
 def _record_position() -> list[Column]:
     return [
         F.col("topic"),
@@ -44,18 +35,18 @@ def parse_envelope(records: DataFrame) -> DataFrame:
     """Change records to the bronze log; tombstones are left out. Each value is parsed once."""
     opened = without_tombstones(records).select(
         *_record_position(),
-        _parsed(F.from_json(F.col("value").cast("string"), _ENVELOPE)["payload"].alias("p")),
+        generated(F.from_json(F.col("value").cast("string"), _ENVELOPE)),
     )
     return opened.select(
         "topic",
         "kafka_partition",
         "kafka_offset",
         "kafka_timestamp",
-        F.col("p.op").alias("op"),
-        F.col("p.ts_ms").try_cast("long").alias("ts_ms"),
-        F.col("p.source.lsn").try_cast("long").alias("lsn"),
-        F.col("p.before").alias("before"),
-        F.col("p.after").alias("after"),
+        F.col("payload.op").alias("op"),
+        F.col("payload.ts_ms").try_cast("long").alias("ts_ms"),
+        F.col("payload.source.lsn").try_cast("long").alias("lsn"),
+        F.col("payload.before").alias("before"),
+        F.col("payload.after").alias("after"),
     )
 
 
@@ -96,9 +87,11 @@ def open_images(log: DataFrame, after: T.StructType, before: tuple[str, ...] = (
     before_text = ", ".join(f"`{name}` string" for name in dict.fromkeys(["id", *before]))
     images = log.select(
         "*",
-        _parsed(
-            F.from_json("after", after_text).alias("a"),
-            F.from_json("before", before_text).alias("b"),
+        generated(
+            F.struct(
+                F.from_json("after", after_text).alias("a"),
+                F.from_json("before", before_text).alias("b"),
+            )
         ),
     )
     entity_id = F.coalesce(F.col("a.id"), F.col("b.id")).try_cast("int")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import iso_time, safe_cast, suspicious, trip_minutes
+from ..functions.columns import generated, iso_time, safe_cast, suspicious, trip_minutes
 from ..functions.rules import INGEST_RULES, SILVER_RULES, all_good, apply_rules
 from ..schemas import (
     FUNNEL_KEY,
@@ -72,17 +72,15 @@ def record_columns() -> list[Column]:
     ]
 
 
-def silver_columns(prefix: str = "") -> list[Column]:
+def silver_columns() -> list[Column]:
     """The typed snake_case form of a raw trip."""
-    return [
-        safe_cast(F.col(prefix + c.raw), c.kind, c.wire).alias(c.silver) for c in TRIP_COLUMNS
-    ]
+    return [safe_cast(F.col(c.raw), c.kind, c.wire).alias(c.silver) for c in TRIP_COLUMNS]
 
 
 def parse_trips(bronze: DataFrame, keep: tuple[str, ...] = ("kafka_timestamp",)) -> DataFrame:
     """Trip JSON to typed silver columns; text that is not a trip gives nulls."""
-    parsed = bronze.select(F.from_json("value", TRIP_WIRE).alias("t"), *keep)
-    return parsed.select(*silver_columns("t."), *keep)
+    parsed = bronze.select(generated(F.from_json("value", TRIP_WIRE)), *keep)
+    return parsed.select(*silver_columns(), *keep)
 
 
 def rename_trips(bronze: DataFrame, keep: tuple[str, ...] = ("trip_id",)) -> DataFrame:
@@ -94,6 +92,22 @@ def rename_trips(bronze: DataFrame, keep: tuple[str, ...] = ("trip_id",)) -> Dat
     return bronze.select(*keep, *typed)
 
 
+def scan_filter(raw: DataFrame, present: list[str], above_zero: list[str]) -> DataFrame:
+    """Drop what a scan can rule out on raw columns; the rules decide again on typed values.
+
+    The rules look at casts that no file format can evaluate. These plain comparisons can be, so
+    row groups and pages without a usable trip are never decoded.
+    """
+    given = {field.name.lower(): field.dataType for field in raw.schema}
+    for name in present:
+        if name.lower() in given:
+            raw = raw.filter(F.col(name).isNotNull())
+    for name in above_zero:
+        if isinstance(given.get(name.lower()), T.NumericType):
+            raw = raw.filter(F.col(name) > 0)
+    return raw
+
+
 def add_trip_id(df: DataFrame, stable: bool = True) -> DataFrame:
     """A surrogate id.
 

@@ -7,8 +7,10 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.trips import funnel, normalise, publishable
-from ..schemas import LONG, PUBLISHED_TRIPS, T
+from ..operators.enrich import union_frames
+from ..operators.trips import funnel, normalise, publishable, scan_filter
+from ..schemas import INGEST_ABOVE_ZERO, INGEST_PRESENT, LONG, PUBLISHED_TRIPS, T
+from ..session import no_rows
 from ..sources.files import (
     append_manifest,
     list_files,
@@ -52,9 +54,16 @@ class TripIngest:
         if not files:
             return 0
         batch = (self.manifest().agg(F.max("batch")).first()[0] or 0) + 1
-        typed = read_drops(self.spark, [f.path for f in files], normalise)
+        drops = read_drops(self.spark, [f.path for f in files])
+        typed = union_frames([normalise(drop) for drop in drops])
+        usable = union_frames(
+            [
+                normalise(scan_filter(drop, INGEST_PRESENT, INGEST_ABOVE_ZERO))
+                for drop in drops
+            ]
+        )
 
-        self._write(publishable(typed, zones, at), self.trips_path, batch)
+        self._write(publishable(usable, zones, at), self.trips_path, batch)
         written = self.spark.read.schema(PUBLISHED_TRIPS).parquet(
             f"{self.trips_path}/ingest_batch={batch}"
         )
@@ -74,7 +83,7 @@ class TripIngest:
 
     def _read(self, path: str) -> DataFrame:
         if not path_exists(self.spark, path):
-            return self.spark.createDataFrame([], PUBLISHED_TRIPS)
+            return no_rows(self.spark, PUBLISHED_TRIPS)
         stored = self.spark.read.schema(_STORED).parquet(path)
         return visible(stored, self.manifest()).select(*PUBLISHED_TRIPS.names)
 

@@ -23,7 +23,7 @@ from ..schemas import (
     RAW_TRIP_NAMES,
     STRING,
 )
-from ..session import workspace
+from ..session import durable, no_rows, workspace
 from ..sources.files import append_manifest, list_files, load_manifest, new_files, read_drops
 from ..sources.records import read_records, stream_records, write_records
 from ..sources.tables import VersionedTables, append_partitioned, overwrite_partitions
@@ -80,7 +80,8 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.payment_mix(_silver(spark, sf_dir), cent_mean, basis_point_share)
+    silver = durable(_silver(spark, sf_dir).select("payment_type", "total_amount"), "silver")
+    return gold.payment_mix(silver, cent_mean, basis_point_share)
 
 
 def _hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,8 +230,8 @@ def hourly_last5(spark, sf_dir):
 def source_tagged(spark, sf_dir):
     inbox = workspace(spark, "inbox")
     _write_drops(fx.trips_raw(spark, sf_dir), inbox)
-    rows = read_drops(spark, [f"{inbox}/file_a.parquet", f"{inbox}/file_b.parquet"], lambda d: d)
-    return rows.select(
+    drops = read_drops(spark, [f"{inbox}/file_a.parquet", f"{inbox}/file_b.parquet"])
+    return union_frames(drops).select(
         "rec_id", "source_file", "total_amount", "note", F.lit(fx.AS_OF).alias("ingested_at")
     )
 
@@ -283,7 +284,7 @@ def table_roundtrip(spark, sf_dir):
     tables = _tables(spark)
     tables.ensure_namespace("taxi")
     tables.ensure_table("taxi.hourly", GOLD_HOURLY)
-    rows = _hourly(spark, sf_dir)
+    rows = durable(_hourly(spark, sf_dir), "hourly")
     tables.append("taxi.hourly", rows.filter("hour(hour) < 12"))
     tables.append("taxi.hourly", rows.filter("hour(hour) >= 12"))
     tables.replace("taxi.copy", tables.read("taxi.hourly"))
@@ -317,7 +318,7 @@ def partitioned_readback(spark, sf_dir):
 def partitioned_publish(spark, sf_dir):
     """Dates of one source, then the dates of the other with their full content written over."""
     path = workspace(spark, "by-date")
-    rows = _published(spark, sf_dir)
+    rows = durable(_published(spark, sf_dir), "published")
     append_partitioned(rows.filter("source_file = 'file_a.parquet'"), path, "pickup_date")
     dates = rows.filter("source_file = 'file_b.parquet'").select("pickup_date").distinct()
     overwrite_partitions(rows.join(dates, "pickup_date", "left_semi"), path, "pickup_date")
@@ -388,9 +389,10 @@ def silver_customers(spark, sf_dir):
 @query
 def silver_customers_merged(spark, sf_dir):
     """The first half of the log merged into an empty mirror, then the second half."""
-    mirror = spark.createDataFrame([], CUSTOMERS.mirror)
+    mirror = no_rows(spark, CUSTOMERS.mirror)
     for part in _halves(spark, sf_dir, _log(spark, sf_dir)):
-        mirror = cdc.merge_changes(mirror, cdc.latest_changes(part, CUSTOMERS))
+        latest = durable(cdc.latest_changes(part, CUSTOMERS), "changes")
+        mirror = durable(cdc.merge_changes(mirror, latest), "mirror")
     return mirror
 
 

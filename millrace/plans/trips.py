@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame
 
 from ..functions.columns import rounded_mean, rounded_share
 from ..operators.gold import Mean, Share, hourly, payment_mix
-from ..operators.trips import add_trip_id, parse_trips, rename_trips, silver
+from ..operators.trips import add_trip_id, parse_trips, rename_trips, scan_filter, silver
 from ..schemas import (
     BRONZE_TRIPS,
     GOLD_HOURLY,
     GOLD_PAYMENT,
+    SILVER_ABOVE_ZERO,
+    SILVER_PRESENT,
     SILVER_TRIPS,
     SILVER_TRIP_NAMES,
     ZONE_NAMES,
@@ -42,7 +44,8 @@ def silver_from_messages(bronze: DataFrame, zones: DataFrame) -> DataFrame:
 
 
 def silver_from_bronze(bronze: DataFrame, zones: DataFrame) -> DataFrame:
-    return silver(rename_trips(bronze), zones, ["trip_id"]).select(*SILVER_TRIPS.names)
+    usable = scan_filter(bronze, SILVER_PRESENT, SILVER_ABOVE_ZERO)
+    return silver(rename_trips(usable), zones, ["trip_id"]).select(*SILVER_TRIPS.names)
 
 
 def publish_silver(tables, rows: DataFrame) -> None:

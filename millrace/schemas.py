@@ -110,6 +110,13 @@ PUBLISHED_TRIP_NAMES = [
 ]
 SILVER_KEY = ["vendor_id", "pickup_datetime", "pu_location_id", "do_location_id", "fare_amount"]
 
+# Raw columns without which, or at or below zero, a trip breaks the rules of its pipeline.
+TRIP_ENDS = ["tpep_pickup_datetime", "tpep_dropoff_datetime", "PULocationID", "DOLocationID"]
+INGEST_PRESENT = [*TRIP_ENDS, "passenger_count", "total_amount"]
+INGEST_ABOVE_ZERO = ["trip_distance"]
+SILVER_PRESENT = [*TRIP_ENDS, "VendorID", "passenger_count"]
+SILVER_ABOVE_ZERO = ["trip_distance", "fare_amount", "total_amount"]
+
 PUBLISHED_TRIPS = struct(
     tpep_pickup_datetime=TIMESTAMP,
     tpep_dropoff_datetime=TIMESTAMP,

@@ -6,6 +6,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -65,3 +67,9 @@ def durable(df: DataFrame, purpose: str = "stage") -> DataFrame:
     path = workspace(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty frame that needs no Python worker."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    return spark.range(0).select(*columns)

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import latest_per_key
-from ..operators.enrich import sized_broadcast, union_frames
+from ..operators.enrich import sized_broadcast
 from ..schemas import MANIFEST
+from ..session import no_rows
 from .tables import path_exists
 
 FILE_ID = ["filename", "size_bytes", "modified_at"]
@@ -56,7 +55,7 @@ def list_files(spark: SparkSession, inbox: str) -> DataFrame:
 def load_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Recorded files; none when there is no manifest yet. Damaged lines are passed over."""
     if not path_exists(spark, path):
-        return spark.createDataFrame([], MANIFEST)
+        return no_rows(spark, MANIFEST)
     lines = spark.read.schema(MANIFEST).option("mode", "DROPMALFORMED").json(path)
     return lines.filter(F.col("filename").isNotNull())
 
@@ -80,13 +79,11 @@ def new_files(files: DataFrame, manifest: DataFrame) -> DataFrame:
     return files.join(manifest.select(*FILE_ID), FILE_ID, "left_anti").orderBy("filename")
 
 
-def read_drops(
-    spark: SparkSession, paths: list[str], shape: Callable[[DataFrame], DataFrame]
-) -> DataFrame:
-    """All given drops brought into one ``shape``, each row tagged with the name of its file.
+def read_drops(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
+    """The rows of all given drops, each tagged with the name of its file.
 
-    One scan reads them all; columns that some files lack are null there. Only when files disagree
-    on a column's type are they read in groups of one schema each, shaped, and then united.
+    One frame reads them all in one scan; columns that some files lack are null there. Only when
+    files disagree on a column's type is there a frame for each schema.
     """
 
     def tagged(some: list[str]) -> DataFrame:
@@ -94,14 +91,14 @@ def read_drops(
         return rows.select("*", drop_name(_scanned_path()).alias("source_file"))
 
     try:
-        return shape(tagged(paths))
+        return [tagged(paths)]
     except (PySparkException, Py4JJavaError) as error:
         if "CANNOT_MERGE_" not in str(error):
             raise
     groups: dict[str, list[str]] = {}
     for path in paths:
         groups.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
-    return union_frames([shape(tagged(some)) for some in groups.values()])
+    return [tagged(some) for some in groups.values()]
 
 
 def visible(trips: DataFrame, manifest: DataFrame) -> DataFrame:

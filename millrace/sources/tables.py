@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.cdc import merge_changes
+from ..session import durable, no_rows
 
 _SMALLEST_TASK = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
 _COMMIT = T.StructType(
@@ -48,7 +49,7 @@ class VersionedTables:
     ) -> None:
         if not self.exists(name):
             self.replace(
-                name, self.spark.createDataFrame([], schema), partition_by, operation="create"
+                name, no_rows(self.spark, schema), partition_by, operation="create"
             )
 
     def exists(self, name: str) -> bool:
@@ -62,7 +63,7 @@ class VersionedTables:
         extra = [f for f in derived if f.name not in schema.names]
         base = f"{self._path(name)}/data"
         if not commit.parts:
-            found = self.spark.createDataFrame([], T.StructType([*schema.fields, *extra]))
+            found = no_rows(self.spark, T.StructType([*schema.fields, *extra]))
         else:
             layout = [*schema.fields, *extra, T.StructField("commit", T.StringType())]
             found = (
@@ -110,8 +111,13 @@ class VersionedTables:
         self._record(name, operation, df.schema, partitions, [part], batch, last)
 
     def merge(self, name: str, latest: DataFrame, key: str = "id") -> None:
-        """Apply one change per key (see ``merge_changes``)."""
-        self.replace(name, merge_changes(self.read(name), latest, key), operation="merge")
+        """Apply one change per key (see ``merge_changes``).
+
+        The changes are staged: the merge reads them three times, and their true size then decides
+        whether they are broadcast.
+        """
+        staged = durable(latest, "changes")
+        self.replace(name, merge_changes(self.read(name), staged, key), operation="merge")
 
     def add_column(self, name: str, column: str, kind: T.DataType) -> None:
         """Widen the schema; rows written before read as null."""
@@ -178,7 +184,7 @@ class VersionedTables:
 
     def _record(self, name, operation, schema, partitions, parts, batch, last) -> None:
         version = last.version + 1 if last else 1
-        row = (
+        values = [
             version,
             operation,
             datetime.now(timezone.utc),
@@ -186,8 +192,12 @@ class VersionedTables:
             schema.json(),
             partitions,
             parts,
-        )
-        commit = self.spark.createDataFrame([row], _COMMIT).coalesce(1)
+        ]
+        row = [
+            F.lit(value).cast(field.dataType).alias(field.name)
+            for field, value in zip(_COMMIT, values)
+        ]
+        commit = self.spark.range(0, 1, 1, 1).select(*row)
         commit.write.mode("overwrite").json(f"{self._path(name)}/commits/{version:08d}")
 
 
@@ -207,7 +217,7 @@ class CatalogTables:
 
     def ensure_table(self, name, schema, partition_by=None) -> None:
         if not self.exists(name):
-            empty = self.spark.createDataFrame([], schema)
+            empty = no_rows(self.spark, schema)
             self._writer(name, empty, partition_by).create()
 
     def exists(self, name: str) -> bool:
@@ -275,7 +285,7 @@ def write_by(df: DataFrame, path: str, columns: list[str], mode: str, dynamic: b
     """
     conf = df.sparkSession.conf
     before = conf.get(_SMALLEST_TASK)
-    conf.set(_SMALLEST_TASK, "64k")
+    conf.set(_SMALLEST_TASK, "4k")
     try:
         df.hint("rebalance", *columns).write.mode(mode).option(
             "partitionOverwriteMode", "dynamic" if dynamic else "static"

@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
             "spark.driver.memory": "4g",
             "spark.ui.showConsoleProgress": "false",
+            "spark.sql.maxMetadataStringLength": "4000",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
