@@ -352,6 +352,9 @@ FROM newest WHERE is_customer""",
     "silver_customers_folded": "SELECT * FROM silver_customers",
     "silver_drivers": "SELECT * FROM silver_drivers",
     "mirror_stream": "SELECT * FROM silver_customers",
+    "customer_by_id": "SELECT * FROM silver_customers WHERE id = 1",
+    "cdc_batch_view": """
+SELECT op, count(*) AS n, max(ts_ms) AS newest_ms FROM newest WHERE is_customer GROUP BY op""",
     "customer_events": """
 SELECT entity_id, op, ts_ms, lsn, kafka_offset, kafka_partition,
   make_timestamp(ts_ms * 1000) AS event_ts, make_timestamp(created_at) AS created_ts, email,

@@ -415,6 +415,20 @@ def silver_preview(spark, sf_dir):
     return cdc.rebuild_mirror(_log(spark, sf_dir), CUSTOMERS).orderBy("id").limit(5)
 
 
+@query
+def customer_by_id(spark, sf_dir):
+    return cdc.rebuild_mirror(_log(spark, sf_dir), CUSTOMERS).filter("id = 1")
+
+
+@query
+def cdc_batch_view(spark, sf_dir):
+    """The newest changes as a view, the form in which SQL merges take them."""
+    cdc.latest_changes(_log(spark, sf_dir), CUSTOMERS).createOrReplaceTempView("cdc_batch")
+    return spark.sql(
+        "SELECT op, count(*) AS n, max(last_updated_ms) AS newest_ms FROM cdc_batch GROUP BY op"
+    )
+
+
 @query
 def customer_events(spark, sf_dir):
     return gold.customer_events(_log(spark, sf_dir)).drop("before_email", "before_country")

@@ -26,7 +26,7 @@ def bronze(spark):
 
 
 def test_silver_pushes_filters_and_ranks_before_the_shuffle(spark):
-    text = plan(trip_plan.silver_from_bronze(bronze(spark), zones(spark)))
+    text = plan(trip_plan.silver_from_bronze(bronze(spark), durable(zones(spark))))
     assert "GreaterThan(trip_distance,0.0)" in text
     assert "IsNotNull(PULocationID)" in text
     assert text.count("WindowGroupLimit") == 2
