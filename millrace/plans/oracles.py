@@ -246,7 +246,8 @@ _REPORT = " UNION ALL ".join(
     for name, bad in _BAD_ROWS.items()
 )
 _SAMPLES = " UNION ALL ".join(
-    f"(SELECT '{name}' AS rule, row_number() OVER (ORDER BY rec_id) AS sample_no, rec_id"
+    f"(SELECT '{name}' AS rule, CAST(row_number() OVER (ORDER BY rec_id) AS INTEGER)"
+    " AS sample_no, rec_id"
     f" FROM trips_raw WHERE {_BAD_ROWS[name]} ORDER BY rec_id LIMIT 3)"
     for name in ("bad_distance", "bad_time", "bad_passengers")
 )
@@ -309,7 +310,7 @@ WHERE source_file = 'file_b.parquet' GROUP BY 1""",
     "manifest_commit": f"SELECT f.* RENAME (source_file AS filename) FROM ({_FUNNEL}) f",
     "table_roundtrip": "SELECT * FROM hourly",
     "table_history": """
-SELECT 1 AS snapshot_id, 'create' AS operation, 0 AS row_count
+SELECT CAST(1 AS BIGINT) AS snapshot_id, 'create' AS operation, 0 AS row_count
 UNION ALL SELECT 2, 'append', count(*) FROM hourly
 UNION ALL SELECT 3, 'replace', count(*) FROM mix""",
     "partitioned_readback": "SELECT * EXCLUDE (is_suspicious) FROM published",
@@ -402,8 +403,8 @@ ORDER BY kafka_offset DESC, topic, ts_ms LIMIT 10""",
     "duplicate_keys": """
 SELECT entity_id, count(*) AS n FROM log WHERE is_customer GROUP BY 1 HAVING count(*) > 1""",
     "mirror_parity": """
-SELECT count(*) AS mirror_rows, count(*) AS source_rows, 0 AS only_mirror, 0 AS only_source,
-  0 AS duplicate_keys
+SELECT count(*) AS mirror_rows, count(*) AS source_rows, CAST(0 AS BIGINT) AS only_mirror,
+  CAST(0 AS BIGINT) AS only_source, CAST(0 AS BIGINT) AS duplicate_keys
 FROM silver_customers""",
     "silver_preview": "SELECT * FROM silver_customers ORDER BY id LIMIT 5",
     "pipeline_cdc": "SELECT * FROM activity",
