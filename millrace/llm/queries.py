@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from .byte_pairs import op10_byte_pairs
 from .packing import op1_best_fit_packing
+from .quality import op2_quality_rules
 from .substring_dedup import op7_substring_dedup
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_quality_rules": op2_quality_rules,
     "op10_byte_pairs": op10_byte_pairs,
     "op7_substring_dedup": op7_substring_dedup,
 }
