@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .byte_pairs import op10_byte_pairs
+from .jaccard_join import op6_jaccard_join
 from .packing import op1_best_fit_packing
 from .quality import op2_quality_rules
 from .substring_dedup import op7_substring_dedup
@@ -11,6 +12,7 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_rules": op2_quality_rules,
     "op10_byte_pairs": op10_byte_pairs,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_substring_dedup": op7_substring_dedup,
 }
 
