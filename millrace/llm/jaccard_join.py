@@ -198,35 +198,49 @@ def subset_keys(most: int, per_cent: int):
                     left_out = s - overlap(s, t, per_cent)
                     if left_out < 0 or (s == t and not left_out):
                         continue
-                    out = np.array(list(combinations(range(s), left_out)), np.int64)
-                    rest = whole - elements[out.reshape(-1, left_out)].sum(axis=1, dtype=U)
-                    low, high = min(s, t), max(s, t)
-                    keys.append(mixed(rest + U(low * 1000 + high) * TWIST))
+                    rest = np.array([whole])
+                    if left_out:
+                        out = np.array(list(combinations(range(s), left_out)), np.int64)
+                        rest = rest - elements[out].sum(axis=1, dtype=U)
+                    pair = np.array([min(s, t) * 1000 + max(s, t)], U) * TWIST
+                    keys.append(mixed(rest + pair))
                     sids += [sid] * len(rest)
+                    sizes += [s] * len(rest)
+                    alike += [s == t] * len(rest)
             if keys:
                 yield pa.record_batch(
                     [
                         pa.array(np.concatenate(keys).view(np.int64)),
                         pa.array(sids, pa.int64()),
+                        pa.array(sizes, pa.int64()),
+                        pa.array(alike, pa.bool_()),
                     ],
-                    names=["key", "sid"],
+                    names=["key", "sid", "n", "alike"],
                 )
 
     return run
 
 
 def light_edges(sets: DataFrame, most: int, per_cent: int) -> DataFrame:
-    """Edges that connect all sets with a common key; a key stands for one pair of sizes."""
+    """Edges that connect the sets of a key; a key stands for one pair of sizes.
+
+    Of two different sizes both must be there: then every set of one links with every set of the
+    other, and an edge from each set to the first connects just those.
+    """
     keys = durable(
         sets.filter(F.col("n") <= most)
         .select("sid", "blob")
-        .mapInArrow(subset_keys(most, per_cent), "key long, sid long"),
+        .mapInArrow(subset_keys(most, per_cent), "key long, sid long, n long, alike boolean"),
         "subsets",
     )
     meets = (
         keys.groupBy("key")
-        .agg(F.min("sid").alias("root"), F.max("sid").alias("last"))
-        .filter("root <> last")
+        .agg(
+            F.min("sid").alias("root"),
+            F.max("sid").alias("last"),
+            (F.first("alike") | (F.min("n") < F.max("n"))).alias("links"),
+        )
+        .filter("root <> last AND links")
         .select("key", "root")
     )
     return (
