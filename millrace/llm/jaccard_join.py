@@ -188,7 +188,7 @@ def subset_keys(most: int, per_cent: int):
 
     def run(batches):
         for batch in batches:
-            keys, sids, sizes = [], [], []
+            keys, sids, sizes, alike = [], [], [], []
             for sid, blob in zip(batch.column("sid").to_pylist(), batch.column("blob").to_pylist()):
                 elements = mixed(np.frombuffer(blob, "<u8").astype(U))
                 s, whole = len(elements), elements.sum(dtype=U)
