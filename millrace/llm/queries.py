@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from . import ball_tree
+from .ball_tree import op8_ball_tree
 from .byte_pairs import op10_byte_pairs
 from .jaccard_join import op6_jaccard_join
+from .language import op4_language_id
 from .packing import op1_best_fit_packing
 from .quality import op2_quality_rules
 from .substring_dedup import op7_substring_dedup
@@ -12,8 +15,12 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_rules": op2_quality_rules,
     "op10_byte_pairs": op10_byte_pairs,
+    "op4_language_id": op4_language_id,
+    "op8_ball_tree": op8_ball_tree,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_substring_dedup": op7_substring_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_ball_tree": ball_tree.ORACLE,
+}
