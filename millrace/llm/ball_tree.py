@@ -135,8 +135,8 @@ def searcher(top: int):
         found = search(
             items.column("vec_id").to_numpy(),
             vectors(items, "v"),
-            asked.column("vec_id").to_numpy(),
-            vectors(asked, "v"),
+            asked.column("query_id").to_numpy(),
+            vectors(asked, "w"),
             asked.column("floor").to_numpy(),
             top,
         )
@@ -160,15 +160,25 @@ def top_products(
     ship(items.sparkSession)
     shards = max(1, -(-items.count() // shard))
     blocks = max(1, -(-queries.count() // block))
-    home = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard")
-    own_block = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int").alias("block")
-    all_blocks = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
-    all_shards = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
-    size = F.size("v").alias("dim")
     key = ["dim", "shard", "block"]
-    stored = items.select("vec_id", "v", size, home).select("*", all_blocks)
+
+    def dealt(name: str, salt: int, n: int):
+        return F.pmod(F.xxhash64(name, F.lit(salt)), F.lit(n)).cast("int")
+
+    def all_of(n: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    stored = items.select(
+        "vec_id", "v", F.size("v").alias("dim"), dealt("vec_id", 0, shards).alias("shard")
+    ).select("*", all_of(blocks).alias("block"))
+    asked = queries.select(F.col("vec_id").alias("query_id"), F.col("v").alias("w")).select(
+        "query_id",
+        "w",
+        F.size("w").alias("dim"),
+        dealt("query_id", 0, shards).alias("shard"),
+        dealt("query_id", 1, blocks).alias("block"),
+    )
     lowest = F.lit(-(2**63) + 1).cast("long")
-    asked = queries.select("vec_id", "v", size, home, own_block)
     first = durable(
         stored.groupBy(key)
         .cogroup(asked.withColumn("floor", lowest).groupBy(key))
@@ -179,15 +189,15 @@ def top_products(
         F.when(F.count("*") >= top, F.min("score")).otherwise(lowest).alias("floor")
     )
     travelling = (
-        asked.join(kth.withColumnRenamed("query_id", "vec_id"), "vec_id", "left")
+        asked.join(kth, "query_id", "left")
         .withColumn("floor", F.coalesce("floor", lowest))
         .withColumnRenamed("shard", "home")
-        .select("*", all_shards)
+        .select("*", all_of(shards).alias("shard"))
         .filter("shard <> home")
     )
     others = (
         stored.groupBy(key)
-        .cogroup(travelling.select("vec_id", "v", *key, "floor").groupBy(key))
+        .cogroup(travelling.groupBy(key))
         .applyInArrow(searcher(top), FOUND)
     )
     return ranked(first.unionByName(others), top).select(
