@@ -89,7 +89,7 @@ def search(ids, rows, query_ids, queries, floor, top: int):
     bound = tree.upper(queries.astype(np.float64))
     order = np.argsort(-bound, axis=1, kind="stable")
     rows, ids, queries = rows.astype(exact)[tree.order], ids[tree.order], queries.astype(exact)
-    lowest = np.iinfo(np.int64).min
+    lowest = -(2**63) + 1
     best = np.full((len(query_ids), top), lowest, np.int64)
     who = np.full((len(query_ids), top), np.iinfo(np.int64).max, np.int64)
     current = floor.copy()
@@ -219,10 +219,10 @@ def op8_ball_tree(spark, sf_dir: str) -> DataFrame:
 
 ORACLE = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)) AS v
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v
   FROM embeddings
   WHERE embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
   FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
