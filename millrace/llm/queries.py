@@ -5,16 +5,20 @@ from __future__ import annotations
 from . import ball_tree
 from .ball_tree import op8_ball_tree
 from .byte_pairs import op10_byte_pairs
+from .html_text import op3_html_text
 from .jaccard_join import op6_jaccard_join
 from .language import op4_language_id
 from .packing import op1_best_fit_packing
 from .quality import op2_quality_rules
 from .substring_dedup import op7_substring_dedup
+from .url_filter import op5_url_filter
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_rules": op2_quality_rules,
     "op10_byte_pairs": op10_byte_pairs,
+    "op3_html_text": op3_html_text,
+    "op5_url_filter": op5_url_filter,
     "op4_language_id": op4_language_id,
     "op8_ball_tree": op8_ball_tree,
     "op6_jaccard_join": op6_jaccard_join,
