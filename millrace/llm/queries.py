@@ -8,6 +8,7 @@ from .byte_pairs import op10_byte_pairs
 from .html_text import op3_html_text
 from .jaccard_join import op6_jaccard_join
 from .language import op4_language_id
+from .licenses import op9_license_scan
 from .packing import op1_best_fit_packing
 from .quality import op2_quality_rules
 from .substring_dedup import op7_substring_dedup
@@ -21,6 +22,7 @@ QUERIES = {
     "op5_url_filter": op5_url_filter,
     "op4_language_id": op4_language_id,
     "op8_ball_tree": op8_ball_tree,
+    "op9_license_scan": op9_license_scan,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_substring_dedup": op7_substring_dedup,
 }
