@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .textkit import chunks, filled, ship, text_bytes
 
@@ -206,32 +207,52 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Tables | None:
     return Tables(network)
 
 
-def predict(documents: DataFrame, model: Tables | None) -> DataFrame:
-    """``doc_id, lang_pred, score`` for each row of ``documents``."""
+def predict(
+    documents: DataFrame, model: Tables | None, columns: tuple[str, ...] | list[str] = ("doc_id",)
+) -> DataFrame:
+    """``columns`` of each row of ``documents``, with ``lang_pred`` and ``score``."""
     spark = documents.sparkSession
     ship(spark)
-    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters")
-    texts = documents.select("doc_id", "text", letters)
+    names = [c for c in columns if c not in ("lang_pred", "score")]
     if model is None:
-        return texts.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return documents.select(
+            *names, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score")
+        )
+    # The text and what is carried along may be the same column, so both get names of their own.
+    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    rows = documents.select(
+        F.col("text").alias("__text"), letters.alias("__letters"), F.struct(*names).alias("__row")
+    )
+    kinds = T.StructType(
+        [
+            *documents.select(*names).schema.fields,
+            T.StructField("lang_pred", T.StringType()),
+            T.StructField("score", T.DoubleType()),
+        ]
+    )
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
         network = shared.value
-        names = np.array([*network.languages, UNKNOWN], dtype=object)
+        tags = np.array([*network.languages, UNKNOWN], dtype=object)
         for batch in batches:
-            column = filled(batch.column("text"))
+            column = filled(batch.column("__text"))
             for at, stop in chunks(column):
                 p = network.of_texts(*text_bytes(column[at:stop]))
-                known = batch.column("letters")[at:stop].to_numpy(zero_copy_only=False).astype(bool)
+                known = batch.column("__letters")[at:stop].to_numpy(zero_copy_only=False)
+                known = known.astype(bool)
                 best = np.where(known, p.argmax(axis=1), len(network.languages))
                 score = np.where(known, np.clip(p.max(axis=1), 0, 1), 0.0)
                 yield pa.record_batch(
-                    [batch.column("doc_id")[at:stop], pa.array(names[best], pa.string()), pa.array(score)],
-                    names=["doc_id", "lang_pred", "score"],
+                    [
+                        *batch.column("__row")[at:stop].flatten(),
+                        pa.array(tags[best], pa.string()),
+                        pa.array(score),
+                    ],
+                    names=[*names, "lang_pred", "score"],
                 )
 
-    return texts.mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return rows.mapInArrow(run, kinds)
 
 
 def op4_language_id(spark, sf_dir: str) -> DataFrame:
