@@ -13,7 +13,6 @@ from .schemas import CUSTOMERS, DRIVERS, RAW_TRIP_NAMES, RECORD
 
 AS_OF = datetime(2024, 1, 31)
 DAY_MS = 86_400_000
-TOMBSTONE_SHIFT = 1_000_000_000
 FIRST_JOINED = datetime(2023, 6, 1)
 
 
@@ -22,12 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The lookup; the last nations are left out so that some trips find no zone."""
+    """The lookup: every nation with its region."""
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     return (
-        nation.filter("n_nationkey < 20")
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
+        nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
             F.col("n_nationkey").alias("LocationID"),
             F.col("n_name").alias("Zone"),
             F.col("r_name").alias("Borough"),
@@ -35,65 +32,88 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _below(name: str, limit: int) -> Column:
+    """A key that has to fit its digits; one that does not is an error, not a second number."""
+    text = F.concat(F.lit(f"{name} does not fit a record number: "), F.col(name))
+    return F.when(F.col(name) < limit, F.col(name)).otherwise(F.raise_error(text).cast("long"))
+
+
 def _record_number(replay: Column) -> Column:
     """A number per line and copy, packed from its keys so that no global numbering is needed."""
-    packed = F.col("l_orderkey") % 400_000_000 * 10 + F.col("l_linenumber")
-    packed = packed * 100_000 + F.col("l_partkey") % 100_000
-    packed = packed * 10_000 + F.col("l_suppkey") % 10_000
+    packed = _below("l_orderkey", 400_000_000) * 10 + F.col("l_linenumber")
+    packed = packed * 100_000 + _below("l_partkey", 100_000)
+    packed = packed * 10_000 + _below("l_suppkey", 10_000)
     return packed * 2 + replay
 
 
 def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trips from order lines; the lines of every fifth order come a second time."""
+    """Trips from order lines; the lines of every fifth order come a second time.
+
+    One part in 200 each has one of the faults that the rules are about (``fault``).
+    """
     lines = (
         table(spark, sf_dir, "lineitem")
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     )
-    minutes = F.datediff("l_shipdate", "o_orderdate") % 180
+    fault = F.col("l_partkey") % 200
+    minutes = F.when(fault == 23, -30).otherwise(F.datediff("l_shipdate", "o_orderdate") % 180)
     again = F.when(F.col("l_orderkey") % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(
         F.array(F.lit(0))
     )
-    pickup = F.col("o_orderdate") + F.make_dt_interval(
+    begun = F.col("o_orderdate") + F.make_dt_interval(
         F.lit(0), (F.col("l_partkey") % 24).cast("int"), (F.col("l_suppkey") % 60).cast("int")
     )
-    base = lines.withColumn("pickup", pickup).withColumn("replay", F.explode(again))
+    base = lines.withColumn("begun", begun).withColumn("replay", F.explode(again))
     zero = F.lit(0.0)
     fare = (
         F.when(F.col("l_quantity") == 49, -F.col("l_extendedprice"))
         .when(F.col("l_quantity") == 48, F.lit(None))
         .otherwise(F.col("l_extendedprice"))
     )
-    payment = F.when(
-        ~((F.col("l_linestatus") == "F") & (F.col("l_linenumber") == 7)),
-        F.substring("o_orderpriority", 1, 1).cast("int"),
+    payment = F.when(fault.isin(19, 20), F.lit(6)).when(
+        ~fault.isin(21, 22), F.substring("o_orderpriority", 1, 1).cast("int")
+    )
+    passengers = F.when(fault == 5, F.lit(9.0)).when(
+        F.col("l_quantity") != 50, F.col("l_linenumber").cast("double")
     )
+
+    def missing(number: int, column: Column) -> Column:
+        return F.when(fault != number, column)
+
+    def negative(number: int, column: Column) -> Column:
+        return F.when(fault == number, F.lit(-1.0)).otherwise(column)
+
+    def zone(number: int, name: str) -> Column:
+        """A nation; for some parts one that no lookup has."""
+        return missing(number, F.col(name) + F.when(fault.isin(15, 16, 17), 1000).otherwise(0))
+
     return base.select(
-        F.col("l_suppkey").cast("int").alias("VendorID"),
-        F.col("pickup").alias("tpep_pickup_datetime"),
-        (F.col("pickup") + F.make_dt_interval(F.lit(0), F.lit(0), minutes)).alias(
+        missing(18, F.col("l_suppkey").cast("int")).alias("VendorID"),
+        missing(1, F.col("begun")).alias("tpep_pickup_datetime"),
+        missing(2, F.col("begun") + F.make_dt_interval(F.lit(0), F.lit(0), minutes)).alias(
             "tpep_dropoff_datetime"
         ),
-        F.when(F.col("l_quantity") != 50, F.col("l_linenumber").cast("double")).alias(
-            "passenger_count"
-        ),
+        passengers.alias("passenger_count"),
         (F.col("l_quantity") * 2 - 4).alias("trip_distance"),
         F.col("l_linenumber").cast("double").alias("RatecodeID"),
         F.col("l_returnflag").alias("store_and_fwd_flag"),
-        F.col("c_nationkey").alias("PULocationID"),
-        F.col("s_nationkey").alias("DOLocationID"),
+        zone(3, "c_nationkey").cast("int").alias("PULocationID"),
+        zone(4, "s_nationkey").cast("int").alias("DOLocationID"),
         payment.alias("payment_type"),
         fare.alias("fare_amount"),
-        F.when(F.col("l_linenumber") != 3, F.col("l_discount") + 0.0).alias("extra"),
-        (F.col("l_tax") + 0.0).alias("mta_tax"),
-        zero.alias("tip_amount"),
-        zero.alias("tolls_amount"),
-        zero.alias("improvement_surcharge"),
-        (F.col("l_extendedprice") + F.col("replay")).alias("total_amount"),
-        zero.alias("congestion_surcharge"),
-        zero.alias("Airport_fee"),
-        zero.alias("cbd_congestion_fee"),
+        negative(
+            6, F.when(F.col("l_linenumber") != 3, F.col("l_discount") + 0.0)
+        ).alias("extra"),
+        negative(7, F.col("l_tax") + 0.0).alias("mta_tax"),
+        negative(8, zero).alias("tip_amount"),
+        negative(9, zero).alias("tolls_amount"),
+        negative(10, zero).alias("improvement_surcharge"),
+        negative(14, F.col("l_extendedprice") + F.col("replay")).alias("total_amount"),
+        negative(11, zero).alias("congestion_surcharge"),
+        negative(12, zero).alias("Airport_fee"),
+        negative(13, zero).alias("cbd_congestion_fee"),
         F.when(F.col("l_orderkey") % 2 == 0, "file_a.parquet")
         .otherwise("file_b.parquet")
         .alias("source_file"),
@@ -115,7 +135,7 @@ def trip_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "key",
         "value",
         F.lit("taxi-trips").alias("topic"),
-        (F.col("key").cast("int") % 3).alias("partition"),
+        F.coalesce(F.col("key").try_cast("int") % 3, F.lit(0)).alias("partition"),
         F.col("rec_id").alias("offset"),
         sent.cast("timestamp").alias("timestamp"),
     )
@@ -125,8 +145,9 @@ def cdc_records(spark: SparkSession, sf_dir: str, phone_from: Column | None = No
     """Change records from events, each delete followed by its tombstone.
 
     Days are cut off the source clock, so that log positions must break ties, and every third
-    user's clock is shifted, so that some have been idle for longer. From event ``phone_from`` on
-    the images carry one more column.
+    user's clock is shifted, so that some have been idle for longer. Updates and deletes carry the
+    image before, too. Some events have no op, some images no id, and some customers never change.
+    From event ``phone_from`` on the images carry one more column.
     """
     event, user = F.col("event_id"), F.col("user_id")
     customer = user % 5 != 0
@@ -135,7 +156,8 @@ def cdc_records(spark: SparkSession, sf_dir: str, phone_from: Column | None = No
         "user_id",
         "value",
         F.col("ts").cast("timestamp").alias("timestamp"),
-        F.when(F.col("event_type") == "signup", "c")
+        F.when(event % 97 == 0, F.lit(None))
+        .when(F.col("event_type") == "signup", "c")
         .when(F.col("event_type") == "view", "r")
         .when((F.col("event_type") == "error") & (user % 3 == 0), "d")
         .otherwise("u")
@@ -151,27 +173,33 @@ def cdc_records(spark: SparkSession, sf_dir: str, phone_from: Column | None = No
     def text(*parts) -> Column:
         return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
 
-    of_customer = {
-        "email": text("e", user, "_", event % 3, "@x"),
-        "country": text("C", event % 4),
-    }
+    def contact(number: Column) -> dict[str, Column]:
+        steady = user % 7 == 3
+        return {
+            "email": text("e", user, "_", F.when(steady, 0).otherwise(number % 3), "@x"),
+            "country": text("C", F.when(steady, 0).otherwise(number % 4)),
+        }
+
+    of_customer = contact(event)
     of_driver = {
         "license_number": text("TLC-", event),
         "rating": F.when(event % 50 == 0, "bad").otherwise(F.col("value").cast("string")),
         "city": text("City", event % 5),
         "active": F.when(event % 50 == 5, "zz").otherwise((event % 2 == 0).cast("string")),
     }
-    fields = [user.cast("int").alias("id"), text("n", user).alias("name")]
+    known = F.when(event % 89 != 0, user.cast("int")).alias("id")
+    fields = [known, text("n", user).alias("name")]
     fields += [F.when(customer, value).alias(name) for name, value in of_customer.items()]
     fields += [F.when(~customer, value).alias(name) for name, value in of_driver.items()]
     if phone_from is not None:
         fields.append(F.when(event >= phone_from, text("+", event)).alias("phone"))
     fields.append(born.alias("created_at"))
 
-    deleted = F.col("op") == "d"
+    deleted = F.coalesce(F.col("op") == "d", F.lit(False))
+    earlier = [F.when(customer, v).alias(n) for n, v in contact(event + 1).items()]
     images = events.select(
         "*",
-        F.when(deleted, F.struct(user.cast("int").alias("id"))).alias("before"),
+        F.when(F.col("op").isin("u", "d"), F.struct(known, *earlier)).alias("before"),
         F.when(~deleted, F.struct(*fields)).alias("after"),
     )
     both = F.when(deleted, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
@@ -183,6 +211,6 @@ def cdc_records(spark: SparkSession, sf_dir: str, phone_from: Column | None = No
         F.when(~F.col("tombstone"), F.col("json")).alias("value"),
         F.when(customer, CUSTOMERS.topic).otherwise(DRIVERS.topic).alias("topic"),
         (event % 3).cast("int").alias("partition"),
-        (event + F.when(F.col("tombstone"), TOMBSTONE_SHIFT).otherwise(0)).alias("offset"),
+        (event * 2 + F.col("tombstone").cast("long")).alias("offset"),
         "timestamp",
     ).select(*RECORD.names)

@@ -58,26 +58,19 @@ def payment_label(code: Column) -> Column:
 
 
 def rounded_mean(name: str) -> Column:
-    return F.round(F.avg(name), 2)
+    """Mean to two decimals, half away from zero, from sums in decimals.
 
-
-def cent_mean(name: str) -> Column:
-    """Mean to two decimals from whole cents.
-
-    Integer sums do not depend on the order in which tasks finish, so a value that lies on a
-    rounding tie gives the same result on every run and every engine.
+    Sums of decimals do not depend on the order in which tasks finish, so a value that lies on a
+    rounding tie gives the same result on every run. Values keep six decimals; one that is beyond
+    26 digits before the point counts as missing.
     """
-    cents = F.sum(F.round(F.col(name) * 100).cast("long"))
-    return F.floor(cents / F.count(name) + 0.5) / 100
+    exact = F.col(name).try_cast("decimal(32,6)")
+    return F.round(F.sum(exact).cast("decimal(32,6)") / F.count(exact), 2).cast("double")
 
 
 def rounded_share(part: Column, whole: Column) -> Column:
-    return F.round(part / whole * 100, 2)
-
-
-def basis_point_share(part: Column, whole: Column) -> Column:
-    """Share in percent, rounded half up in whole hundredths of a percent."""
-    return F.floor(part * 10000 / whole + 0.5) / 100
+    """Share in percent to two decimals, half up, by whole numbers."""
+    return F.round((part * 100).cast("decimal(22,0)") / whole, 2).cast("double")
 
 
 def changed(current: Column, previous: Column) -> Column:

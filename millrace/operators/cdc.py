@@ -99,8 +99,12 @@ def open_images(log: DataFrame, after: T.StructType, before: tuple[str, ...] = (
 
 
 def changes(log: DataFrame, entity: Entity) -> DataFrame:
-    """One row per event of the entity: its mirror columns, the op and the log position."""
-    events = open_images(route(log, entity), entity.columns).filter(F.col("op").isNotNull())
+    """One row per event of the entity: its mirror columns, the op and the log position.
+
+    Events without a usable id are no entity's. They go before anything is ranked, or all of them
+    would count as one.
+    """
+    events = known_events(log, entity, entity.columns)
     return events.select(
         F.col("entity_id").alias("id"),
         *[
@@ -116,9 +120,14 @@ def changes(log: DataFrame, entity: Entity) -> DataFrame:
     )
 
 
+def known_events(log: DataFrame, entity: Entity, columns: T.StructType) -> DataFrame:
+    events = open_images(route(log, entity), columns)
+    return events.filter(F.col("op").isNotNull() & F.col("entity_id").isNotNull())
+
+
 def latest_events(log: DataFrame, entity: Entity) -> DataFrame:
     """The newest log row of each entity, deletes included."""
-    events = open_images(route(log, entity), T.StructType()).filter(F.col("op").isNotNull())
+    events = known_events(log, entity, T.StructType())
     return latest_per_key(events.drop("a", "b"), ["entity_id"])
 
 

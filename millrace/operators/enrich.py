@@ -7,36 +7,22 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_LIMIT = 50 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's upper estimate of the rows' size; no job runs."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def sized_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """Hint a broadcast only for a side known to be small.
-
-    Beyond the limit the join stays unhinted: a shuffled join, where AQE splits the skewed
-    partitions of the large side.
-    """
-    return F.broadcast(df) if estimated_bytes(df) <= limit else df
-
-
 def enrich(
     df: DataFrame,
     lookup: DataFrame,
     on: str,
     names: dict[str, str],
     key: str = "LocationID",
-    limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
-    """Left join of lookup attributes under new names; rows without a match keep nulls."""
+    """Left join of lookup attributes under new names; rows without a match keep nulls.
+
+    Whether the lookup is broadcast is left to the session's threshold and, once its true size is
+    known, to AQE: a file's size says little about the size of its rows.
+    """
     role = lookup.select(
         F.col(key).alias(on), *[F.col(source).alias(name) for source, name in names.items()]
     )
-    joined = df.join(sized_broadcast(role, limit), on, "left")
+    joined = df.join(role, on, "left")
     return joined.select(*df.columns, *names.values())
 
 

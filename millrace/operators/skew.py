@@ -8,27 +8,6 @@ from pyspark.sql import functions as F
 from ..session import durable
 from .dedup import keep_first, newest_first
 
-HOT_SHARE = 1000
-HOT_ROWS = 1_000_000
-
-
-def hot_keys(
-    df: DataFrame,
-    key: str,
-    share: int = HOT_SHARE,
-    rows: int = HOT_ROWS,
-    fraction: float = 1.0,
-) -> list:
-    """Keys that hold more than ``1/share`` of all rows and at least ``rows`` of them.
-
-    Fewer than ``share`` keys can, whatever the data, so the list is small by construction. It only
-    steers how the work is split, never the result: ``df`` may be a sample of ``fraction``.
-    """
-    counts = df.groupBy(key).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
-    hot = counts.filter((F.col("n") * share > total) & (F.col("n") >= rows * fraction))
-    return [row[0] for row in hot.select(key).collect()]
-
 
 def range_segments(
     df: DataFrame, key: str, order: list[str], partitions: int | None = None
@@ -44,52 +23,45 @@ def range_segments(
 
 
 def previous_values(
-    df: DataFrame, key: str, order: list[str], names: list[str], prefix: str = "prev_"
+    df: DataFrame,
+    key: str,
+    order: list[str],
+    names: list[str],
+    prefix: str = "prev_",
+    partitions: int | None = None,
 ) -> DataFrame:
-    """``lag`` of each name within ``key``; a ``segment`` column, if there, splits the work.
+    """``lag`` of each name within ``key``, a null key being a key like any other.
 
-    Within a segment a plain window does it. The first row of a segment takes its values from the
-    last row of the segment before it; those last rows are one per segment.
+    Rows are always split by range over key and order, so no key has to fit one task. Within a
+    segment a plain window does it. The first row that a segment has of a key takes its values
+    from the last row of that key in the segments before; those last rows are one per key and
+    segment, and only keys that go over a border have more than one.
     """
-    if "segment" not in df.columns:
-        window = Window.partitionBy(key).orderBy(*order)
-        return df.select(
-            "*", *[F.lag(name).over(window).alias(prefix + name) for name in names]
-        )
-
-    window = Window.partitionBy(key, "segment").orderBy(*order)
-    inside = df.select(
+    spread = range_segments(df, key, order, partitions)
+    window = Window.partitionBy("segment", key).orderBy(*order)
+    inside = spread.select(
         "*",
         *[F.lag(name).over(window).alias(prefix + name) for name in names],
         (F.row_number().over(window) == 1).alias("_first"),
     )
     lasts = keep_first(
-        df.select(key, "segment", *dict.fromkeys([*order, *names])),
-        [key, "segment"],
+        spread.select("segment", key, *dict.fromkeys([*order, *names])),
+        ["segment", key],
         newest_first(order),
     )
     along = Window.partitionBy(key).orderBy("segment")
     carried = lasts.select(
-        key, "segment", F.struct(*[F.lag(n).over(along).alias(n) for n in names]).alias("_carry")
+        F.col("segment").alias("_segment"),
+        F.col(key).alias("_key"),
+        F.struct(*[F.lag(n).over(along).alias(n) for n in names]).alias("_carry"),
+    )
+    met = inside.join(
+        carried,
+        (inside["segment"] == carried["_segment"]) & inside[key].eqNullSafe(carried["_key"]),
+        "left",
     )
-    joined = inside.join(carried, [key, "segment"], "left")
     fixed = {
         prefix + n: F.when(F.col("_first"), F.col(f"_carry.{n}")).otherwise(F.col(prefix + n))
         for n in names
     }
-    return joined.select(
-        *[name for name in df.columns if name != "segment"],
-        *[value.alias(name) for name, value in fixed.items()],
-    )
-
-
-def previous_values_split(
-    df: DataFrame, key: str, order: list[str], names: list[str], hot: list
-) -> DataFrame:
-    """``previous_values`` with the rows of ``hot`` keys spread over all tasks."""
-    if not hot:
-        return previous_values(df, key, order, names)
-    is_hot = F.col(key).isin(hot)
-    cold = previous_values(df.filter(~is_hot), key, order, names)
-    spread = range_segments(df.filter(is_hot), key, order)
-    return cold.unionByName(previous_values(spread, key, order, names))
+    return met.select(*df.columns, *[value.alias(name) for name, value in fixed.items()])

@@ -16,7 +16,6 @@ from ..operators.gold import (
     customer_churn,
     customer_events,
     field_changes,
-    hot_entities,
 )
 from ..schemas import BRONZE_CDC, CUSTOMER_ACTIVITY, CUSTOMERS, DRIVERS, Entity
 
@@ -32,12 +31,20 @@ def append_bronze(tables, records: DataFrame) -> None:
     tables.append(BRONZE, unseen_records(parse_envelope(records), tables.read(BRONZE)))
 
 
+def as_stored(tables, name: str, entity: Entity) -> Entity:
+    """The entity with the columns that its mirror has gained."""
+    for field in tables.read(name).schema:
+        if field.name not in entity.mirror.names:
+            entity = entity.with_column(field.name, field.dataType)
+    return entity
+
+
 def merge_mirrors(tables) -> None:
-    """Bring every mirror up to the log."""
+    """Bring every mirror up to the log, with whatever columns it has by now."""
     log = tables.read(BRONZE)
     for name, entity in MIRRORS.items():
         tables.ensure_table(name, entity.mirror)
-        tables.merge(name, latest_changes(log, entity))
+        tables.merge(name, latest_changes(log, as_stored(tables, name, entity)))
 
 
 def rebuild_mirrors(tables) -> None:
@@ -49,7 +56,7 @@ def rebuild_mirrors(tables) -> None:
 
 def publish_activity(tables, as_of: datetime | None = None) -> None:
     log = tables.read(BRONZE)
-    flagged = field_changes(customer_events(log), hot=hot_entities(log))
+    flagged = field_changes(customer_events(log))
     tables.ensure_table(ACTIVITY, CUSTOMER_ACTIVITY)
     tables.replace(
         ACTIVITY, customer_activity(flagged, tables.read("cdc.silver_customers"), as_of)
@@ -81,7 +88,7 @@ def evolve(tables, name: str, entity: Entity, column: str, kind: T.DataType) ->
     Bronze needs no change, since it keeps the images as JSON. The mirror is then brought up from
     the log, which fills the column wherever an image holds it.
     """
-    wider = entity.with_column(column, kind)
     tables.add_column(name, column, kind)
+    wider = as_stored(tables, name, entity)
     tables.merge(name, latest_changes(tables.read(BRONZE), wider))
     return wider

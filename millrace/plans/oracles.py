@@ -2,41 +2,54 @@
 
 from __future__ import annotations
 
-TRIPS = """
+def _mean(value: str) -> str:
+    """Mean to two decimals, half away from zero, in whole numbers: millionths over a count."""
+    total = f"sum(CAST(round(({value}) * 1000000) AS HUGEINT))"
+    n = f"count({value})"
+    half_up = f"(2 * abs({total}) + 10000 * {n}) // (20000 * {n})"
+    return f"CAST(sign({total}) * ({half_up}) AS DOUBLE) / 100"
+
+
+TRIPS = f"""
 lines AS (
   SELECT l.*, o_orderpriority, c_nationkey, s_nationkey,
     o_orderdate + to_hours(l_partkey % 24) + to_minutes(l_suppkey % 60) AS pickup,
-    date_diff('day', o_orderdate, l_shipdate) % 180 AS minutes,
-    (((l_orderkey % 400000000 * 10 + l_linenumber) * 100000 + l_partkey % 100000) * 10000
-      + l_suppkey % 10000) * 2 AS packed
+    l_partkey % 200 AS fault,
+    CASE WHEN l_partkey % 200 = 23 THEN -30
+      ELSE date_diff('day', o_orderdate, l_shipdate) % 180 END AS minutes,
+    CASE WHEN l_partkey % 200 IN (15, 16, 17) THEN 1000 ELSE 0 END AS beyond,
+    (((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey) * 2 AS packed
   FROM lineitem l
   JOIN orders ON l_orderkey = o_orderkey
   JOIN customer ON o_custkey = c_custkey
   JOIN supplier ON l_suppkey = s_suppkey
 ),
 trips_raw AS (
-  SELECT CAST(l_suppkey AS INTEGER) AS "VendorID",
-    pickup AS tpep_pickup_datetime,
-    pickup + to_minutes(minutes) AS tpep_dropoff_datetime,
-    CASE WHEN l_quantity <> 50 THEN CAST(l_linenumber AS INTEGER) END AS passenger_count,
+  SELECT CASE WHEN fault <> 18 THEN CAST(l_suppkey AS INTEGER) END AS "VendorID",
+    CASE WHEN fault <> 1 THEN pickup END AS tpep_pickup_datetime,
+    CASE WHEN fault <> 2 THEN pickup + to_minutes(minutes) END AS tpep_dropoff_datetime,
+    CASE WHEN fault = 5 THEN 9 WHEN l_quantity <> 50 THEN CAST(l_linenumber AS INTEGER)
+      END AS passenger_count,
     l_quantity * 2 - 4 AS trip_distance,
     CAST(l_linenumber AS INTEGER) AS "RatecodeID",
     l_returnflag AS store_and_fwd_flag,
-    c_nationkey AS "PULocationID",
-    s_nationkey AS "DOLocationID",
-    CASE WHEN NOT (l_linestatus = 'F' AND l_linenumber = 7)
+    CASE WHEN fault <> 3 THEN CAST(c_nationkey + beyond AS INTEGER) END AS "PULocationID",
+    CASE WHEN fault <> 4 THEN CAST(s_nationkey + beyond AS INTEGER) END AS "DOLocationID",
+    CASE WHEN fault IN (19, 20) THEN 6 WHEN fault NOT IN (21, 22)
       THEN CAST(substr(o_orderpriority, 1, 1) AS INTEGER) END AS payment_type,
     CASE WHEN l_quantity = 49 THEN -l_extendedprice WHEN l_quantity = 48 THEN NULL
       ELSE l_extendedprice END AS fare_amount,
-    CASE WHEN l_linenumber <> 3 THEN l_discount + CAST(0 AS DOUBLE) END AS extra,
-    l_tax + CAST(0 AS DOUBLE) AS mta_tax,
-    CAST(0 AS DOUBLE) AS tip_amount,
-    CAST(0 AS DOUBLE) AS tolls_amount,
-    CAST(0 AS DOUBLE) AS improvement_surcharge,
-    l_extendedprice + again AS total_amount,
-    CAST(0 AS DOUBLE) AS congestion_surcharge,
-    CAST(0 AS DOUBLE) AS "Airport_fee",
-    CAST(0 AS DOUBLE) AS cbd_congestion_fee,
+    CASE WHEN fault = 6 THEN CAST(-1 AS DOUBLE)
+      WHEN l_linenumber <> 3 THEN l_discount + CAST(0 AS DOUBLE) END AS extra,
+    CASE WHEN fault = 7 THEN CAST(-1 AS DOUBLE) ELSE l_tax END AS mta_tax,
+    CAST(CASE WHEN fault = 8 THEN -1 ELSE 0 END AS DOUBLE) AS tip_amount,
+    CAST(CASE WHEN fault = 9 THEN -1 ELSE 0 END AS DOUBLE) AS tolls_amount,
+    CAST(CASE WHEN fault = 10 THEN -1 ELSE 0 END AS DOUBLE) AS improvement_surcharge,
+    CASE WHEN fault = 14 THEN CAST(-1 AS DOUBLE) ELSE l_extendedprice + again END
+      AS total_amount,
+    CAST(CASE WHEN fault = 11 THEN -1 ELSE 0 END AS DOUBLE) AS congestion_surcharge,
+    CAST(CASE WHEN fault = 12 THEN -1 ELSE 0 END AS DOUBLE) AS "Airport_fee",
+    CAST(CASE WHEN fault = 13 THEN -1 ELSE 0 END AS DOUBLE) AS cbd_congestion_fee,
     CASE WHEN l_orderkey % 2 = 0 THEN 'file_a.parquet' ELSE 'file_b.parquet' END AS source_file,
     packed + again AS rec_id
   FROM lines, (VALUES (0), (1)) r(again)
@@ -45,7 +58,6 @@ trips_raw AS (
 zones AS (
   SELECT n_nationkey AS "LocationID", n_name AS "Zone", r_name AS "Borough"
   FROM nation JOIN region ON n_regionkey = r_regionkey
-  WHERE n_nationkey < 20
 ),
 valid AS (
   SELECT * REPLACE (coalesce(extra, 0) AS extra, coalesce(fare_amount, 0) AS fare_amount),
@@ -64,6 +76,7 @@ published AS (
   SELECT DISTINCT tpep_pickup_datetime, tpep_dropoff_datetime, "PULocationID", "DOLocationID",
     p."Zone" AS "PU_Zone", d."Zone" AS "DO_Zone", passenger_count, trip_distance,
     trip_duration_minutes, pickup_date, source_file, fare_amount,
+    TIMESTAMP '2024-01-31 00:00:00' AS ingested_at,
     trip_duration_minutes > 120 OR trip_distance > 50 OR fare_amount < 0 AS is_suspicious
   FROM valid
   LEFT JOIN zones p ON "PULocationID" = p."LocationID"
@@ -84,7 +97,8 @@ ranked AS (
     ORDER BY trip_id) AS rn
   FROM typed
   WHERE passenger_count BETWEEN 1 AND 6 AND trip_distance > 0 AND fare_amount > 0
-    AND total_amount > 0 AND dropoff_datetime > pickup_datetime
+    AND total_amount > 0 AND dropoff_datetime > pickup_datetime AND vendor_id IS NOT NULL
+    AND pu_location_id IS NOT NULL AND do_location_id IS NOT NULL
 ),
 silver AS (
   SELECT r.* EXCLUDE (rn), p."Zone" AS pickup_zone, p."Borough" AS pickup_borough,
@@ -96,20 +110,18 @@ silver AS (
 ),
 hourly AS (
   SELECT pickup_zone, date_trunc('hour', pickup_datetime) AS hour, count(*) AS trip_count,
-    floor(CAST(sum(CAST(round(fare_amount * 100) AS BIGINT)) AS DOUBLE) / count(*) + 0.5) / 100
-      AS avg_fare,
-    floor(CAST(sum(CAST(round(trip_distance * 100) AS BIGINT)) AS DOUBLE) / count(*) + 0.5) / 100
-      AS avg_distance
-  FROM silver GROUP BY ALL
+    {_mean("fare_amount")} AS avg_fare,
+    {_mean("trip_distance")} AS avg_distance
+  FROM silver GROUP BY 1, 2
 ),
 mix AS (
   SELECT payment_type,
     CASE payment_type WHEN 1 THEN 'Credit card' WHEN 2 THEN 'Cash' WHEN 3 THEN 'No charge'
       WHEN 4 THEN 'Dispute' WHEN 5 THEN 'Unknown' ELSE 'Voided trip' END AS payment_label,
     count(*) AS trip_count,
-    floor(CAST(sum(CAST(round(total_amount * 100) AS BIGINT)) AS DOUBLE) / count(*) + 0.5) / 100
-      AS avg_total_amount,
-    floor(CAST(count(*) * 10000 AS DOUBLE) / sum(count(*)) OVER () + 0.5) / 100 AS pct_of_total
+    {_mean("total_amount")} AS avg_total_amount,
+    CAST((20000 * count(*) + sum(count(*)) OVER ()) // (2 * sum(count(*)) OVER ()) AS DOUBLE) / 100
+      AS pct_of_total
   FROM silver GROUP BY payment_type
 )
 """
@@ -119,31 +131,47 @@ opened AS (
   SELECT
     CASE WHEN user_id % 5 <> 0 THEN 'dbserver1.public.customers'
       ELSE 'dbserver1.public.drivers' END AS topic,
-    CAST(event_id % 3 AS INTEGER) AS kafka_partition, event_id AS kafka_offset,
+    CAST(event_id % 3 AS INTEGER) AS kafka_partition, event_id * 2 AS kafka_offset,
     ts AS kafka_timestamp,
-    CASE WHEN event_type = 'signup' THEN 'c' WHEN event_type = 'view' THEN 'r'
+    CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_type = 'signup' THEN 'c' WHEN event_type = 'view' THEN 'r'
       WHEN event_type = 'error' AND user_id % 3 = 0 THEN 'd' ELSE 'u' END AS op,
     epoch_ms(date_trunc('day', ts)) - (user_id // 3) % 4 * 4 * 86400000 AS ts_ms,
-    event_id AS lsn, CAST(user_id AS INTEGER) AS entity_id, value, event_id, user_id
+    event_id AS lsn, CASE WHEN event_id % 89 <> 0 THEN CAST(user_id AS INTEGER) END AS entity_id,
+    value, event_id, user_id, user_id % 7 = 3 AS steady, user_id % 5 <> 0 AS is_customer
   FROM events
 ),
+sided AS (
+  SELECT *, coalesce(op <> 'd', true) AS has_after, coalesce(op IN ('u', 'd'), false) AS has_before
+  FROM opened
+),
 imaged AS (
-  SELECT *, op <> 'd' AS has_after, user_id % 5 <> 0 AS is_customer,
-    CASE WHEN op <> 'd' THEN 'n' || user_id END AS name,
-    CASE WHEN op <> 'd' THEN 'e' || user_id || '_' || event_id % 3 || '@x' END AS email,
-    CASE WHEN op <> 'd' THEN 'C' || event_id % 4 END AS country,
-    CASE WHEN op <> 'd' THEN epoch_us(TIMESTAMP '2023-06-01') + user_id * 86400000000 END
+  SELECT *,
+    CASE WHEN has_after THEN 'n' || user_id END AS name,
+    CASE WHEN has_after AND is_customer THEN
+      'e' || user_id || '_' || CASE WHEN steady THEN 0 ELSE event_id % 3 END || '@x' END AS email,
+    CASE WHEN has_after AND is_customer THEN
+      'C' || CASE WHEN steady THEN 0 ELSE event_id % 4 END END AS country,
+    CASE WHEN has_before AND is_customer THEN
+      'e' || user_id || '_' || CASE WHEN steady THEN 0 ELSE (event_id + 1) % 3 END || '@x' END
+      AS before_email,
+    CASE WHEN has_before AND is_customer THEN
+      'C' || CASE WHEN steady THEN 0 ELSE (event_id + 1) % 4 END END AS before_country,
+    CASE WHEN has_after THEN epoch_us(TIMESTAMP '2023-06-01') + user_id * 86400000000 END
       AS created_at,
     'TLC-' || event_id AS license_number,
     CASE WHEN event_id % 50 = 0 THEN 'bad' ELSE CAST(value AS VARCHAR) END AS rating,
     'City' || event_id % 5 AS city,
     CASE WHEN event_id % 50 = 5 THEN 'zz' WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END
       AS active
-  FROM opened
+  FROM sided
 ),
 log AS (
-  SELECT *, CASE WHEN op = 'd' THEN '{"id":' || user_id || '}' END AS "before",
-    CASE WHEN op <> 'd' THEN '{"id":' || user_id || ',"name":"' || name || '",' ||
+  SELECT *,
+    CASE WHEN has_before THEN '{' || concat_ws(',', '"id":' || entity_id,
+      '"email":"' || before_email || '"', '"country":"' || before_country || '"') || '}' END
+      AS "before",
+    CASE WHEN has_after THEN '{' || coalesce('"id":' || entity_id || ',', '') ||
+      '"name":"' || name || '",' ||
       CASE WHEN is_customer
         THEN '"email":"' || email || '","country":"' || country || '",'
         ELSE '"license_number":"' || license_number || '","rating":"' || rating ||
@@ -152,7 +180,7 @@ log AS (
   FROM imaged
 ),
 newest AS (
-  SELECT * FROM log
+  SELECT * FROM log WHERE op IS NOT NULL AND entity_id IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY topic, entity_id
     ORDER BY ts_ms DESC, lsn DESC, kafka_offset DESC, kafka_partition DESC) = 1
 ),
@@ -168,7 +196,7 @@ silver_drivers AS (
 ),
 paired AS (
   SELECT *, lag(email) OVER w AS prev_email, lag(country) OVER w AS prev_country
-  FROM log WHERE is_customer
+  FROM log WHERE is_customer AND entity_id IS NOT NULL
   WINDOW w AS (PARTITION BY entity_id ORDER BY ts_ms, lsn, kafka_offset, kafka_partition)
 ),
 flagged AS (
@@ -181,7 +209,7 @@ history AS (
     CAST(sum(email_changed) AS BIGINT) AS email_changes,
     CAST(sum(country_changed) AS BIGINT) AS country_changes,
     make_timestamp(max(ts_ms) * 1000) AS last_change_ts,
-    bool_or(op = 'd') AS ever_deleted,
+    coalesce(bool_or(op = 'd'), false) AS ever_deleted,
     make_timestamp(max(ts_ms) FILTER (op = 'd') * 1000) AS deleted_at_ts
   FROM flagged GROUP BY entity_id
 ),
@@ -261,7 +289,8 @@ JOIN (SELECT source_file, count(*) AS clean_row_count, count(DISTINCT ("VendorID
 _HALF = "(SELECT max(event_id) // 2 FROM events)"
 _FIRST_HALF = f"""
 SELECT entity_id AS id, name, email, country, ts_ms AS last_updated_ms FROM (
-  SELECT * FROM log WHERE is_customer AND event_id <= {_HALF}
+  SELECT * FROM log
+  WHERE is_customer AND event_id <= {_HALF} AND op IS NOT NULL AND entity_id IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY ts_ms DESC, lsn DESC) = 1)
 WHERE op <> 'd'"""
 
@@ -307,7 +336,10 @@ FROM trips_raw""",
     "new_files": """
 SELECT source_file AS filename, count(*) AS raw_rows FROM trips_raw
 WHERE source_file = 'file_b.parquet' GROUP BY 1""",
-    "manifest_commit": f"SELECT f.* RENAME (source_file AS filename) FROM ({_FUNNEL}) f",
+    "manifest_commit": f"""
+SELECT f.* RENAME (source_file AS filename), CAST(1 AS BIGINT) AS batch,
+  TIMESTAMP '2024-01-31 00:00:00' AS processed_at
+FROM ({_FUNNEL}) f""",
     "table_roundtrip": "SELECT * FROM hourly",
     "table_history": """
 SELECT CAST(1 AS BIGINT) AS snapshot_id, 'create' AS operation, 0 AS row_count
@@ -321,14 +353,15 @@ SELECT CAST(hour AS DATE) AS hour_day, count(*) AS zone_hours,
 FROM hourly GROUP BY 1""",
     "bronze_trips_append": f"SELECT {_NORMALISED} FROM trips_raw",
     "bronze_stream_availablenow": """
-SELECT CAST("VendorID" AS VARCHAR) AS "key", 'taxi-trips' AS topic,
-  CAST("VendorID" % 3 AS INTEGER) AS "partition", rec_id AS "offset",
+SELECT coalesce(CAST("VendorID" AS VARCHAR), '') AS "key", 'taxi-trips' AS topic,
+  CAST(coalesce("VendorID" % 3, 0) AS INTEGER) AS "partition", rec_id AS "offset",
   TIMESTAMP '2024-01-01 00:00:00' + to_hours(rec_id % 2) AS kafka_timestamp
 FROM trips_raw""",
     "pipeline_ingest": "SELECT * FROM published",
     "pipeline_suspicious": "SELECT * FROM published WHERE is_suspicious",
     "pipeline_trips": "SELECT * FROM hourly",
     "pipeline_payment": "SELECT * FROM mix",
+    "pipeline_taxi_files": "SELECT * FROM hourly",
 }
 
 _ON_LOG = {
@@ -338,7 +371,7 @@ FROM log""",
     "cdc_flattened": """
 SELECT topic, kafka_partition, kafka_offset, kafka_timestamp, op, ts_ms,
   CASE WHEN has_after THEN entity_id END AS after_id, name AS after_name, email AS after_email,
-  country AS after_country, CASE WHEN NOT has_after THEN entity_id END AS before_id
+  country AS after_country, CASE WHEN has_before THEN entity_id END AS before_id
 FROM log WHERE is_customer""",
     "cdc_replayed": """
 SELECT topic, kafka_partition, kafka_offset, kafka_timestamp, op, ts_ms, lsn, "before", "after"
@@ -360,7 +393,7 @@ SELECT op, count(*) AS n, max(ts_ms) AS newest_ms FROM newest WHERE is_customer
 SELECT entity_id, op, ts_ms, lsn, kafka_offset, kafka_partition,
   make_timestamp(ts_ms * 1000) AS event_ts, make_timestamp(created_at) AS created_ts, email,
   country
-FROM log WHERE is_customer""",
+FROM log WHERE is_customer AND entity_id IS NOT NULL""",
     "customer_field_changes": """
 SELECT entity_id, kafka_offset, email, country, prev_email, prev_country, email_changed,
   country_changed
@@ -393,15 +426,15 @@ SELECT customer_id, total_events, email_changes, country_changes, fields_changed
   current_status
 FROM activity ORDER BY total_events DESC, customer_id LIMIT 5""",
     "entity_timeline": """
-SELECT op, entity_id AS customer_id, CAST(NULL AS VARCHAR) AS before_email,
-  email AS after_email, CAST(NULL AS VARCHAR) AS before_country, country AS after_country,
+SELECT op, entity_id AS customer_id, before_email, email AS after_email, before_country,
+  country AS after_country,
   ts_ms, kafka_offset
 FROM log WHERE is_customer AND entity_id = 1""",
     "latest_records": """
 SELECT topic, op, ts_ms, kafka_offset FROM log
 ORDER BY kafka_offset DESC, topic, ts_ms LIMIT 10""",
     "duplicate_keys": """
-SELECT entity_id, count(*) AS n FROM log WHERE is_customer GROUP BY 1 HAVING count(*) > 1""",
+SELECT entity_id, count(*) AS n FROM log WHERE is_customer AND entity_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1""",
     "mirror_parity": """
 SELECT count(*) AS mirror_rows, count(*) AS source_rows, CAST(0 AS BIGINT) AS only_mirror,
   CAST(0 AS BIGINT) AS only_source, CAST(0 AS BIGINT) AS duplicate_keys
@@ -419,13 +452,11 @@ FROM silver_customers s JOIN newest n ON s.id = n.entity_id AND n.is_customer"""
 }
 
 _ON_EVENTS = {
-    "gold_hourly_events": """
+    "gold_hourly_events": f"""
 SELECT event_type AS pickup_zone, date_trunc('hour', ts) AS hour, count(*) AS trip_count,
-  floor(CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / count(value) + 0.5) / 100
-    AS avg_fare,
-  floor(CAST(sum(CAST(round(CAST(json_extract_string(props, '$.k') AS DOUBLE) * 100) AS BIGINT))
-    AS DOUBLE) / count(*) + 0.5) / 100 AS avg_distance
-FROM events GROUP BY ALL""",
+  {_mean("value")} AS avg_fare,
+  {_mean("CAST(json_extract_string(props, '$.k') AS DOUBLE)")} AS avg_distance
+FROM events GROUP BY 1, 2""",
 }
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fixtures as fx
-from ..functions.columns import basis_point_share, cent_mean
 from ..functions.rules import EXAMPLE_RULES, INGEST_RULES, bad_samples, quality_report
 from ..operators import cdc, checks, gold, trips
 from ..operators.dedup import drop_replays
@@ -69,8 +68,7 @@ def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
-    published = trips.publishable(_typed(spark, sf_dir), fx.zones(spark, sf_dir), fx.AS_OF)
-    return published.drop("ingested_at")
+    return trips.publishable(_typed(spark, sf_dir), fx.zones(spark, sf_dir), fx.AS_OF)
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,12 +78,11 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = durable(_silver(spark, sf_dir).select("payment_type", "total_amount"), "silver")
-    return gold.payment_mix(silver, cent_mean, basis_point_share)
+    return gold.payment_mix(_silver(spark, sf_dir))
 
 
 def _hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.hourly(_silver(spark, sf_dir), cent_mean)
+    return gold.hourly(_silver(spark, sf_dir))
 
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,7 +90,7 @@ def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _flagged(log: DataFrame) -> DataFrame:
-    return gold.field_changes(gold.customer_events(log), hot=gold.hot_entities(log))
+    return gold.field_changes(gold.customer_events(log))
 
 
 def _activity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,7 +197,7 @@ def gold_hourly_events(spark, sf_dir):
         F.col("value").alias("fare_amount"),
         F.get_json_object("props", "$.k").try_cast("double").alias("trip_distance"),
     )
-    return gold.hourly(events, cent_mean)
+    return gold.hourly(events)
 
 
 @query
@@ -276,7 +273,9 @@ _COUNTS = ["raw_row_count", "clean_row_count", "after_dedup_row_count"]
 
 @query
 def manifest_commit(spark, sf_dir):
-    return _ingested(spark, sf_dir, runs=1).manifest().select("filename", *_COUNTS)
+    return _ingested(spark, sf_dir, runs=1).manifest().select(
+        "filename", *_COUNTS, "batch", "processed_at"
+    )
 
 
 @query
@@ -350,6 +349,21 @@ def bronze_trips_append(spark, sf_dir):
     return trips.normalise(stored.drop("trip_id"))
 
 
+@query
+def pipeline_taxi_files(spark, sf_dir):
+    """Files, stored bronze with ids, silver and hourly, each read from the table before."""
+    tables = _tables(spark)
+    raw = fx.trips_raw(spark, sf_dir).select(*RAW_TRIP_NAMES)
+    as_text = [
+        trips.iso_time(F.col(n)).alias(n) if n.endswith("datetime") else n for n in RAW_TRIP_NAMES
+    ]
+    trip_plan.files_to_bronze(tables, raw.select(*as_text), batch=1)
+    silver = trip_plan.silver_from_bronze(tables.read(trip_plan.BRONZE), fx.zones(spark, sf_dir))
+    trip_plan.publish_silver(tables, silver)
+    trip_plan.publish_hourly(tables)
+    return tables.read(trip_plan.HOURLY).select(*GOLD_HOURLY.names)
+
+
 # Change log
 
 
@@ -521,12 +535,12 @@ def _ingested(spark: SparkSession, sf_dir: str, runs: int) -> TripIngest:
 
 @query
 def pipeline_ingest(spark, sf_dir):
-    return _ingested(spark, sf_dir, runs=2).trips().drop("ingested_at")
+    return _ingested(spark, sf_dir, runs=2).trips()
 
 
 @query
 def pipeline_suspicious(spark, sf_dir):
-    return _ingested(spark, sf_dir, runs=1).suspicious().drop("ingested_at")
+    return _ingested(spark, sf_dir, runs=1).suspicious()
 
 
 def _streamed_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -559,14 +573,14 @@ def _trip_gold(spark: SparkSession, sf_dir: str) -> VersionedTables:
 @query
 def pipeline_trips(spark, sf_dir):
     tables = _trip_gold(spark, sf_dir)
-    trip_plan.publish_hourly(tables, cent_mean)
+    trip_plan.publish_hourly(tables)
     return tables.read(trip_plan.HOURLY).select(*GOLD_HOURLY.names)
 
 
 @query
 def pipeline_payment(spark, sf_dir):
     tables = _trip_gold(spark, sf_dir)
-    trip_plan.publish_payment_mix(tables, cent_mean, basis_point_share)
+    trip_plan.publish_payment_mix(tables)
     return tables.read(trip_plan.PAYMENT).select(*GOLD_PAYMENT.names)
 
 
@@ -612,18 +626,20 @@ def mirror_parity(spark, sf_dir):
     )
     last = (
         fx.table(spark, sf_dir, "events")
-        .filter(user % 5 != 0)
+        .filter((user % 5 != 0) & (event % 97 != 0) & (event % 89 != 0))
         .groupBy("user_id")
         .agg(F.max(clock).alias("last"))
         .filter(~((F.col("last.event_type") == "error") & (user % 3 == 0)))
     )
+    steady = user % 7 == 3
+    number = F.col("last.event")
     source = last.select(
         user.cast("int").alias("id"),
         F.concat(F.lit("n"), user).alias("name"),
-        F.concat(F.lit("e"), user, F.lit("_"), F.col("last.event") % 3, F.lit("@x")).alias(
-            "email"
-        ),
-        F.concat(F.lit("C"), F.col("last.event") % 4).alias("country"),
+        F.concat(
+            F.lit("e"), user, F.lit("_"), F.when(steady, 0).otherwise(number % 3), F.lit("@x")
+        ).alias("email"),
+        F.concat(F.lit("C"), F.when(steady, 0).otherwise(number % 4)).alias("country"),
         ((F.col("last.day") - F.floor(user / 3) % 4 * 4) * fx.DAY_MS).alias("last_updated_ms"),
     )
     return cdc_plan.validate(tables, "cdc.silver_customers", source)
@@ -636,7 +652,9 @@ def mirror_stream(spark, sf_dir):
     tables = _tables(spark)
     records = fx.cdc_records(spark, sf_dir)
     for run in (0, 1):
-        write_records(records.filter(F.col("offset") % 2 == run), f"{root}/records")
+        write_records(
+            records.filter(F.floor(F.col("offset") / 2) % 2 == run).repartition(6), f"{root}/records"
+        )
         bronze_cdc_stream(
             stream_records(spark, f"{root}/records"), f"{root}/bronze", f"{root}/bronze-state"
         )
@@ -647,6 +665,7 @@ def mirror_stream(spark, sf_dir):
             "cdc.customer_state",
             CUSTOMERS,
             f"{root}/mirror-state",
+            max_files=2,
         )
     assert read_bronze(spark, f"{root}/bronze", BRONZE_CDC).schema == BRONZE_CDC
     return read_mirror(tables, "cdc.customer_state", CUSTOMERS)
@@ -675,12 +694,18 @@ def rollback_version(spark, sf_dir):
 
 @query
 def schema_evolution(spark, sf_dir):
-    """In the second half of the log the source table has gained a column."""
+    """In the second half of the log the source table has gained a column.
+
+    The mirror gains it between two runs, and the run after that goes on with it.
+    """
     tables = _tables(spark)
-    records = fx.cdc_records(spark, sf_dir, phone_from=_half(spark, sf_dir) + 1)
-    cdc_plan.append_bronze(tables, records)
+    half = _half(spark, sf_dir)
+    records = fx.cdc_records(spark, sf_dir, phone_from=half + 1)
+    cdc_plan.append_bronze(tables, records.filter(F.col("offset") < 2 * half + 2))
     cdc_plan.merge_mirrors(tables)
     cdc_plan.evolve(tables, "cdc.silver_customers", CUSTOMERS, "phone", STRING)
+    cdc_plan.append_bronze(tables, records)
+    cdc_plan.merge_mirrors(tables)
     return tables.read("cdc.silver_customers")
 
 

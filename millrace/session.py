@@ -45,12 +45,16 @@ def build_session(
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only where none is set."""
+    """The folder named by ``spark.checkpoint.dir``.
+
+    Only a session whose executors are threads of the driver may go without the setting; it gets a
+    temporary folder.
+    """
     global _local_root
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.partition("[")[0] != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     if _local_root is None:
         _local_root = tempfile.mkdtemp(prefix="millrace-")

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedup import latest_per_key
-from ..operators.enrich import sized_broadcast
 from ..schemas import MANIFEST
 from ..session import no_rows
 from .tables import path_exists
@@ -110,4 +109,4 @@ def visible(trips: DataFrame, manifest: DataFrame) -> DataFrame:
     newest = latest_per_key(manifest, ["filename"], ["batch"]).select(
         F.col("filename").alias("source_file"), F.col("batch").alias("ingest_batch")
     )
-    return trips.join(sized_broadcast(newest), ["source_file", "ingest_batch"], "left_semi")
+    return trips.join(newest, ["source_file", "ingest_batch"], "left_semi")

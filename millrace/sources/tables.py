@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 from ..operators.cdc import merge_changes
 from ..session import durable, no_rows
 
-_SMALLEST_TASK = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
 _COMMIT = T.StructType(
     [
         T.StructField("version", T.LongType()),
@@ -228,10 +227,20 @@ class CatalogTables:
             return self.spark.table(self._name(name))
         return self.spark.sql(f"SELECT * FROM {self._name(name)} VERSION AS OF {int(version)}")
 
-    def append(self, name: str, df: DataFrame) -> None:
-        df.writeTo(self._name(name)).append()
+    def append(self, name: str, df: DataFrame, batch: int | None = None) -> None:
+        """Add rows. A ``batch`` is a condition of the writer here, by its snapshot property."""
+        writer = df.writeTo(self._name(name))
+        if batch is not None:
+            if self.has_batch(name, batch):
+                return
+            writer = writer.option("snapshot-property.batch", str(batch))
+        writer.append()
+
+    def has_batch(self, name: str, batch: int) -> bool:
+        snapshots = self.spark.table(f"{self._name(name)}.snapshots")
+        return not snapshots.filter(F.col("summary")["batch"] == str(batch)).isEmpty()
 
-    def replace(self, name, df, partition_by=None, operation="replace") -> None:
+    def replace(self, name, df, partition_by=None, operation="replace", batch=None) -> None:
         """Replacing a table also replaces its partitioning, so it is always stated here."""
         self._writer(name, df, partition_by).createOrReplace()
 
@@ -239,7 +248,8 @@ class CatalogTables:
         columns = self.spark.table(self._name(name)).columns
         target, source = f"{self._name(name)}", latest.alias("s")
         row = {column: F.col(f"s.{column}") for column in columns}
-        fresh = F.expr(f"s.last_updated_ms >= {target}.last_updated_ms")
+        # As merge_changes has it: a change is stale only where both times are known.
+        fresh = F.expr(f"coalesce(s.last_updated_ms >= {target}.last_updated_ms, true)")
         (
             source.mergeInto(target, F.expr(f"{target}.{key} <=> s.{key}"))
             .whenMatched(fresh & (F.col("s.op") == "d"))
@@ -281,17 +291,11 @@ def write_by(df: DataFrame, path: str, columns: list[str], mode: str, dynamic: b
 
     The rows of a value are brought together by a rebalance, not a repartition: AQE splits a value
     that holds most rows over several tasks and joins small ones, so files come out near the
-    advisory size. What a small write costs is the number of files, so its tasks may be small.
+    advisory size.
     """
-    conf = df.sparkSession.conf
-    before = conf.get(_SMALLEST_TASK)
-    conf.set(_SMALLEST_TASK, "4k")
-    try:
-        df.hint("rebalance", *columns).write.mode(mode).option(
-            "partitionOverwriteMode", "dynamic" if dynamic else "static"
-        ).partitionBy(*columns).parquet(path)
-    finally:
-        conf.set(_SMALLEST_TASK, before)
+    df.hint("rebalance", *columns).write.mode(mode).option(
+        "partitionOverwriteMode", "dynamic" if dynamic else "static"
+    ).partitionBy(*columns).parquet(path)
 
 
 def append_partitioned(df: DataFrame, path: str, by: str) -> None:

@@ -20,6 +20,8 @@ def spark(tmp_path_factory):
             "spark.driver.memory": "4g",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.maxMetadataStringLength": "4000",
+            # Thousands of small date folders are written here; at scale tasks are larger.
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "4k",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

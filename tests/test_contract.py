@@ -7,24 +7,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from millrace.plans import oracles
+from millrace.plans import queries as registry
 
 SMALL = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="needs the generated tables")
 
-# Left to check_oracles.py: they create one local folder per date, or repeat a pipeline.
-SLOW = {
-    "manifest_commit",
-    "partitioned_publish",
-    "partitioned_readback",
-    "pipeline_churn",
-    "pipeline_ingest",
-    "pipeline_suspicious",
-    "pipeline_trips",
-    "hourly_by_day",
-    "rerun_stable",
-}
-
-
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
@@ -40,10 +28,10 @@ def ordered(columns, records):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(registry.queries()) == set(oracles.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_equals_sql(spark, duck, name):
     df = contract.queries()[name](spark, SMALL)
     found = duck.execute(contract.oracle_sql()[name])

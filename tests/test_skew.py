@@ -4,12 +4,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from millrace.operators.dedup import drop_replays, keep_first, latest_per_key, unseen_records
-from millrace.operators.skew import (
-    hot_keys,
-    previous_values,
-    previous_values_split,
-    range_segments,
-)
+from millrace.operators.skew import previous_values, range_segments
 
 ORDER = ["ts_ms", "lsn"]
 
@@ -42,12 +37,19 @@ def brute(data):
 def test_previous_values_equal_brute_force(spark):
     df = skewed(spark)
     expected = brute(df.collect())
-    names = ["email", "country"]
-    plain = previous_values(df, "k", ORDER, names)
-    assert rows(plain, "lsn", "prev_email", "prev_country") == expected
-    split = previous_values_split(df, "k", ORDER, names, hot=[1, 5])
-    assert rows(split, "lsn", "prev_email", "prev_country") == expected
-    assert split.columns == plain.columns
+    for partitions in (1, 7, 40):
+        found = previous_values(df, "k", ORDER, ["email", "country"], partitions=partitions)
+        assert rows(found, "lsn", "prev_email", "prev_country") == expected
+        assert found.columns == [*df.columns, "prev_email", "prev_country"]
+
+
+def test_a_null_key_loses_no_row(spark):
+    df = skewed(spark).withColumn("k", F.when(F.col("k") > 1, F.col("k")))
+    found = previous_values(df, "k", ORDER, ["email"], partitions=9)
+    assert found.count() == df.count()
+    known = df.withColumn("k", F.coalesce("k", F.lit(-1)))
+    expected = [r[:2] for r in brute(known.collect())]
+    assert rows(found, "lsn", "prev_email") == sorted(expected, key=repr)
 
 
 def test_segments_cut_the_hot_key_evenly(spark):
@@ -57,14 +59,6 @@ def test_segments_cut_the_hot_key_evenly(spark):
     assert max(r["count"] for r in sizes) < 600
 
 
-def test_hot_keys_are_few_and_large(spark):
-    df = skewed(spark)
-    assert hot_keys(df, "k", share=3, rows=100) == [1]
-    assert hot_keys(df, "k", share=3, rows=100_000) == []
-    assert hot_keys(df.sample(0.5, seed=1), "k", share=3, rows=1000, fraction=0.5) == [1]
-    assert hot_keys(df.filter("false"), "k") == []
-
-
 def test_keep_first_follows_the_order(spark):
     df = skewed(spark)
     best = {}
