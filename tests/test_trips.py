@@ -123,11 +123,17 @@ def test_stable_trip_ids(spark):
     assert len(set(made)) == 2
 
 
-def test_lookup_beyond_the_broadcast_limit_gives_the_same(spark):
+def test_lookup_beyond_the_broadcast_threshold_gives_the_same(spark):
     df = raw(spark, dict(tag="a"), dict(tag="b", PULocationID=77), dict(tag="c", PULocationID=None))
     small = enrich(df, zones(spark), "PULocationID", {"Zone": "z"})
-    large = enrich(df, zones(spark), "PULocationID", {"Zone": "z"}, limit=0)
-    assert rows(small, "tag", "z") == rows(large, "tag", "z")
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        large = enrich(df, zones(spark), "PULocationID", {"Zone": "z"})
+        assert rows(large, "tag", "z") == rows(small, "tag", "z")
+    finally:
+        spark.conf.set(threshold, before)
     assert rows(small, "tag", "z") == [("a", "Midtown"), ("b", None), ("c", None)]
 
 
