@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .textkit import chunks, filled, ship, text_bytes
+from .textkit import chunks, filled, rested, ship, text_bytes
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -168,17 +168,17 @@ def softmax(x: np.ndarray) -> np.ndarray:
 def training_windows(labelled: DataFrame, sample: int) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Languages, and windows of about ``sample`` texts of each: ``labelled`` has text and lang."""
     named = labelled.filter("text IS NOT NULL AND lang IS NOT NULL AND length(text) > 0")
-    counts = named.groupBy("lang").agg(F.count("*").alias("n"))
-    languages = sorted(r["lang"] for r in counts.collect())
+    # A row for each language tag; the texts themselves stay where they are until few are left.
+    counts = {r["lang"]: r["count"] for r in named.groupBy("lang").count().collect()}
+    languages = sorted(counts)
     if not languages:
         return [], np.zeros((0, WINDOW), np.uint8), np.zeros(0, np.int64)
-    drawn = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) * F.col("n") < F.lit(sample * 1_000_000)
+    share = F.create_map(*[F.lit(x) for k in languages for x in (k, sample / counts[k])])
+    drawn = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000
     room = F.greatest(F.length("text") - WINDOW, F.lit(0)) + 1
     piece = lambda salt: F.substr("text", 1 + F.pmod(F.xxhash64("text", F.lit(salt)), room).cast("int"), F.lit(WINDOW))
     rows = (
-        named.select("lang", "text")
-        .join(counts, "lang")
-        .filter(drawn)
+        named.filter(drawn)
         .select("lang", F.xxhash64("text").alias("h"), piece(1).alias("a"), piece(2).alias("b"))
         .dropDuplicates(["lang", "h"])
         .orderBy("h", "lang")
@@ -251,8 +251,9 @@ def predict(
                     ],
                     names=[*names, "lang_pred", "score"],
                 )
+        network.made = None  # the worker may go on to other tasks
 
-    return rows.mapInArrow(run, kinds)
+    return rows.mapInArrow(rested(run), kinds)
 
 
 def op4_language_id(spark, sf_dir: str) -> DataFrame:
