@@ -7,9 +7,9 @@ bound that does not grow with it: 12 bytes for each, 0.2 GB for a language at wo
 that in practice. Every text of the corpus is counted, by Spark: tasks count their own n-grams, one
 shuffle adds them up, and continuation counts, discounts and back-off weights are grouped and
 joined from those. The model is then kept as arrays sorted by a hash of (language, order, n-gram) and
-broadcast.
+broadcast. Discounts and bands, a row for each language, are the only other things broadcast.
 
-A text's score is the logarithm of its perplexity. In each language the quartiles of all different
+A text's score is the logarithm of its perplexity, without what only the text itself has shown. In each language the quartiles of all different
 scores (copies count once, so no group of copies can move them) set the band: ``SPREAD`` times the
 distance from median to quartile, ``LEAST`` at least, on either side. What lies above is noise, what
 lies below repeats itself.
@@ -21,6 +21,8 @@ are judged each; other columns take no part; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -28,11 +30,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import durable
-from .textkit import SPACES, U, chunks, filled, mixed, ship, text_bytes, window_hashes, words_of
+from .textkit import (
+    SPACES,
+    U,
+    chunks,
+    filled,
+    mixed,
+    rested,
+    ship,
+    text_bytes,
+    window_hashes,
+    words_of,
+)
 
 ORDER = 4
 SPREAD = 8.0
-LEAST = 0.7
+LEAST = 0.9
 NO_LANGUAGE = ""
 MIN_WORDS = 10
 REPEAT_WINDOW = 5
@@ -57,7 +70,6 @@ def symbols() -> np.ndarray:
 SYMBOLS = symbols()
 IS_MARK = np.zeros(256, bool)
 IS_MARK[list(MARKS)] = True
-_scratch: dict[str, np.ndarray] = {}
 
 
 def ngrams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -115,7 +127,7 @@ def count_ngrams(batches):
 
 
 def kneser_ney(counts: DataFrame) -> DataFrame:
-    """4-gram counts -> ``lang, level, gram, logp, backoff`` of all orders.
+    """4-gram counts -> ``lang, level, gram, logp, backoff, n`` of all orders.
 
     Below the highest order a gram counts once for each different symbol before it. ``backoff`` is
     the logarithm of the weight that the gram, as a context, gives to the next lower order.
@@ -149,7 +161,7 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
         d = F.when(n == 1, F.col("d1")).when(n == 2, F.col("d2")).otherwise(F.col("d3"))
         grams = (
             levels[level]
-            .join(discounts, "lang")
+            .join(F.broadcast(discounts), "lang")
             .select("lang", "gram", F.expr("gram >> 6").alias("context"), "n", d.alias("d"))
             .select(
                 "*",
@@ -158,29 +170,41 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
             )
         )
         share, own = F.col("spared") / F.col("total"), (F.col("n") - F.col("d")) / F.col("total")
+        weights[level - 1] = grams.select(
+            "lang", F.col("context").alias("gram"), F.log(share).alias("backoff")
+        ).distinct()
         if level == 1:
-            made[1] = grams.select("lang", "gram", (own + share / 64).alias("p"))
+            made[1] = grams.select("lang", "gram", "n", (own + share / 64).alias("p"))
         else:
-            weights[level - 1] = grams.select(
-                "lang", F.col("context").alias("gram"), F.log(share).alias("backoff")
-            ).distinct()
             rest = F.col("gram").bitwiseAND(F.lit((1 << (6 * (level - 1))) - 1))
             lower = made[level - 1].select("lang", F.col("gram").alias("rest"), F.col("p").alias("q"))
             made[level] = (
                 grams.withColumn("rest", rest)
                 .join(lower, ["lang", "rest"])
-                .select("lang", "gram", (own + share * F.col("q")).alias("p"))
+                .select("lang", "gram", "n", (own + share * F.col("q")).alias("p"))
             )
         made[level] = durable(made[level], f"level{level}")
-    rows = None
+    # The empty gram: all symbols alike, and its weight for those that a language has never had.
+    rows = weights[0].select(
+        "lang",
+        F.lit(0).alias("level"),
+        "gram",
+        F.lit(-math.log(64)).alias("logp"),
+        "backoff",
+        F.lit(0).cast("long").alias("n"),
+    )
     for level, grams in made.items():
-        of = grams.select("lang", "gram", F.log("p").alias("logp"))
+        of = grams.select("lang", "gram", F.log("p").alias("logp"), "n")
         if level in weights:
-            of = of.join(weights[level], ["lang", "gram"], "left")
+            # Some contexts are never grams themselves: nothing precedes a text's beginning.
+            of = of.join(weights[level], ["lang", "gram"], "full")
         else:
             of = of.withColumn("backoff", F.lit(None).cast("double"))
-        of = of.select("lang", F.lit(level).alias("level"), "gram", "logp", "backoff")
-        rows = of if rows is None else rows.unionByName(of)
+        n = F.coalesce("n", F.lit(0)) if level == ORDER else F.lit(0).cast("long")
+        of = of.select(
+            "lang", F.lit(level).alias("level"), "gram", "logp", "backoff", n.alias("n")
+        )
+        rows = rows.unionByName(of)
     return rows
 
 
@@ -195,7 +219,8 @@ class Model:
         keys = self.key(language, level, rows.column("gram").to_numpy().astype(np.uint64))
         order = np.argsort(keys)
         self.keys = keys[order]
-        self.logp = rows.column("logp").to_numpy().astype(np.float32)[order]
+        self.logp = rows.column("logp").to_numpy(zero_copy_only=False).astype(np.float32)[order]
+        self.count = rows.column("n").to_numpy(zero_copy_only=False)[order].astype(np.float32)
         self.backoff = np.nan_to_num(rows.column("backoff").to_numpy(zero_copy_only=False))[
             order
         ].astype(np.float32)
@@ -209,41 +234,45 @@ class Model:
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return at, self.keys[at] == keys
 
-    def logps(self, language: str, grams: np.ndarray) -> np.ndarray:
-        """Log probability of the last symbol of each 4-gram after the others."""
+    def logps(self, language: str, grams: np.ndarray, top: int = ORDER) -> np.ndarray:
+        """Log probability of the last symbol of each gram of order ``top`` after the others."""
         own = self.languages[language]
         found = np.zeros(len(grams), np.float32)
         open_ = np.arange(len(grams))
-        for level in range(ORDER, 0, -1):
+        for level in range(top, 0, -1):
             short = grams[open_] & np.uint32((1 << (6 * level)) - 1)
             at, known = self.find(own, level, short)
+            known &= ~np.isnan(self.logp[at])
             found[open_[known]] += self.logp[at[known]]
             open_, short = open_[~known], short[~known]
             if not len(open_):
                 return found
-            if level > 1:
-                at, known = self.find(own, level - 1, short >> np.uint32(6))
-                found[open_[known]] += self.backoff[at[known]]
+            at, known = self.find(own, level - 1, short >> np.uint32(6))
+            found[open_[known]] += self.backoff[at[known]]
         found[open_] += np.float32(-np.log(64))
         return found
 
     def scores(self, language: str, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Minus the mean log probability of each text; not a number where it has no symbol."""
-        if not _scratch:
-            _scratch["seen"] = np.zeros(1 << (6 * ORDER), bool)
-            _scratch["logp"] = np.zeros(1 << (6 * ORDER), np.float32)
-        seen, logp = _scratch["seen"], _scratch["logp"]
-        codes = ngrams(data, offsets)
-        seen[codes] = True
-        different = np.flatnonzero(seen).astype(np.uint32)
-        seen[different] = False
-        logp[different] = self.logps(language, different)
+        """Minus the mean log probability of each text; not a number where it has no symbol.
+
+        The text itself is in the counts. A 4-gram that the corpus has only from this text is
+        taken as one that the model has never seen.
+        """
         sizes = np.diff(offsets)
-        sums = np.zeros(len(sizes))
-        some = sizes > 0
-        if some.any():
-            sums[some] = np.add.reduceat(logp[codes].astype(np.float64), offsets[:-1][some])
-        return np.where(some, -sums / np.maximum(sizes, 1), np.nan)
+        text = np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes)
+        pairs, times = np.unique((text << U(24)) | ngrams(data, offsets), return_counts=True)
+        text, grams = (pairs >> U(24)).astype(np.int64), (pairs & U(0xFFFFFF)).astype(np.uint32)
+        different, which = np.unique(grams, return_inverse=True)
+        own = self.languages[language]
+        at, known = self.find(own, ORDER, different)
+        count = np.where(known, self.count[at], 0)
+        at, known = self.find(own, ORDER - 1, different >> np.uint32(6))
+        weight = np.where(known, self.backoff[at], np.float32(0))
+        seen = self.logps(language, different)
+        unseen = weight + self.logps(language, different, ORDER - 1)
+        logp = np.where(times >= count[which], unseen[which], seen[which])
+        sums = np.bincount(text, logp.astype(np.float64) * times, minlength=len(sizes))
+        return np.where(sizes > 0, -sums / np.maximum(sizes, 1), np.nan)
 
 
 def per_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -321,7 +350,7 @@ JUDGED_ROWS = (
 
 def train(documents: DataFrame) -> Model:
     counts = (
-        documents.mapInArrow(count_ngrams, "lang string, gram int, n long")
+        documents.mapInArrow(rested(count_ngrams), "lang string, gram int, n long")
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
     )
@@ -334,7 +363,7 @@ def quality(documents: DataFrame, spread: float = SPREAD, least: float = LEAST)
     ship(spark)
     texts = documents.select("doc_id", "text", "lang")
     model = spark.sparkContext.broadcast(train(texts))
-    judged = durable(texts.mapInArrow(judge(model), JUDGED_ROWS), "judged")
+    judged = durable(texts.mapInArrow(rested(judge(model)), JUDGED_ROWS), "judged")
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")
     )
@@ -355,7 +384,7 @@ def quality(documents: DataFrame, spread: float = SPREAD, least: float = LEAST)
         ).alias("upper"),
     )
     inside = F.col("log_perplexity").between(F.col("lower"), F.col("upper"))
-    return judged.join(bands, "lang", "left").withColumn(
+    return judged.join(F.broadcast(bands), "lang", "left").withColumn(
         "kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True))
     )
 
