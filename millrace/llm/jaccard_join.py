@@ -45,6 +45,7 @@ from .textkit import (
     chunks,
     filled,
     mixed,
+    rested,
     ship,
     text_bytes,
     window_hashes,
@@ -336,7 +337,7 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, per_cent: int) -> Da
     )
     return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select(
         "a", "b", "x", "y"
-    ).mapInArrow(run, "a long, b long")
+    ).mapInArrow(rested(run), "a long, b long")
 
 
 def near_duplicates(
@@ -349,7 +350,7 @@ def near_duplicates(
     spark = documents.sparkSession
     ship(spark)
     texts = documents.select("doc_id", "text")
-    profile = durable(texts.mapInArrow(profiles(size), PROFILE_ROWS), "profiles")
+    profile = durable(texts.mapInArrow(rested(profiles(size)), PROFILE_ROWS), "profiles")
     of_docs = profile.filter("kind = 0").drop("kind")
     sets = durable(
         of_docs.filter("n > 0")
@@ -375,12 +376,12 @@ def near_duplicates(
         most = boundary({r["n"]: r["count"] for r in histogram}, per_cent)
 
     rare = texts.mapInArrow(
-        rare_prefixes(size, per_cent, least_partner(most + 1, per_cent), ranks),
+        rested(rare_prefixes(size, per_cent, least_partner(most + 1, per_cent), ranks)),
         "sid long, n long, blob binary",
     )
     listed = (
         rare.join(sets.select("sid"), "sid", "left_semi")
-        .mapInArrow(postings, "token long, sid long, n int, pos int")
+        .mapInArrow(rested(postings), "token long, sid long, n int, pos int")
         .withColumn("members", F.count("*").over(Window.partitionBy("token")))
         .filter("members > 1")
         .drop("members")

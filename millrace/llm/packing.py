@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import durable
-from .textkit import chunks, filled, ship
+from .textkit import chunks, filled, rested, ship
 from .vocabularies import vocabulary, word_vocabulary
 
 LENGTH = 2048
@@ -100,6 +100,7 @@ def token_pieces(path: str, length: int, end: int):
                 yield pa.record_batch(
                     [pa.array(c, t) for c, t in zip(columns, PIECES.types)], schema=PIECES
                 )
+        cache.empty()
 
     return run
 
@@ -161,7 +162,7 @@ def pack(
     ship(documents.sparkSession)
     pieces = durable(
         documents.select("doc_id", "text").mapInArrow(
-            token_pieces(vocabulary(tokenizer), length, end), PIECE_ROWS
+            rested(token_pieces(vocabulary(tokenizer), length, end)), PIECE_ROWS
         ),
         "pieces",
     )

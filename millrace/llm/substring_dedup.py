@@ -37,6 +37,7 @@ from .textkit import (
     filled,
     flags_of,
     packed,
+    rested,
     ship,
     text_bytes,
     unpacked,
@@ -351,12 +352,12 @@ def remove_repeats(
     names = named.columns
     texts = named.withColumn(BATCH, F.pmod(F.xxhash64("doc_id"), F.lit(batches)))
     by_batch = texts.groupBy(BATCH)
-    probed = by_batch.applyInArrow(probes(length, buckets), PROBE_ROWS)
-    hits = probed.repartitionById(buckets, F.col("bucket")).mapInArrow(anchors, HIT_ROWS)
+    probed = by_batch.applyInArrow(rested(probes(length, buckets)), PROBE_ROWS)
+    hits = probed.repartitionById(buckets, F.col("bucket")).mapInArrow(rested(anchors), HIT_ROWS)
     around = by_batch.cogroup(hits.groupBy(BATCH)).applyInArrow(
-        extensions(length, buckets), EXTENSION_ROWS
+        rested(extensions(length, buckets)), EXTENSION_ROWS
     )
-    found = around.repartitionById(buckets, F.col("bucket")).mapInArrow(repeats, REPEAT_ROWS)
+    found = around.repartitionById(buckets, F.col("bucket")).mapInArrow(rested(repeats), REPEAT_ROWS)
     fields = [f for f in named.schema.fields]
     out = T.StructType(
         [*fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]
@@ -364,7 +365,7 @@ def remove_repeats(
     from pyspark.sql.pandas.types import to_arrow_schema
 
     return by_batch.cogroup(found.groupBy(BATCH)).applyInArrow(
-        cut(length, separator, names, to_arrow_schema(out)), out
+        rested(cut(length, separator, names, to_arrow_schema(out))), out
     )
 
 

@@ -15,7 +15,7 @@ from itertools import chain
 
 import numpy as np
 
-UNITS = 500_000
+UNITS = 300_000
 
 
 def vocabulary(name_or_path: str) -> str:
