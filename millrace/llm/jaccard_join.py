@@ -452,3 +452,32 @@ def near_duplicates(
 
 def op6_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+ORACLE = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 3], ' ') AS shingle
+  FROM texts, unnest(range(1, greatest(len(words) - 3, least(len(words), 1)) + 1)) t(i)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY 1, 2
+), links AS (
+  SELECT x, y FROM shared JOIN sizes s ON s.doc_id = x JOIN sizes t ON t.doc_id = y
+  WHERE 100 * common >= 85 * (s.n + t.n - common)
+), steps AS (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT y, other FROM reached JOIN steps ON x = doc_id
+)
+SELECT doc_id, coalesce(max(n), 0) AS n_shingles, min(other) AS component_id
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""

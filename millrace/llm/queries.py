@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ball_tree
+from . import ball_tree, jaccard_join, substring_dedup
 from .ball_tree import op8_ball_tree
 from .byte_pairs import op10_byte_pairs
 from .html_text import op3_html_text
@@ -28,5 +28,7 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op6_jaccard_join": jaccard_join.ORACLE,
+    "op7_substring_dedup": substring_dedup.ORACLE,
     "op8_ball_tree": ball_tree.ORACLE,
 }

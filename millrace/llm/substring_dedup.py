@@ -376,3 +376,29 @@ def op7_substring_dedup(spark, sf_dir: str) -> DataFrame:
     return kept.select(
         "doc_id", "n_words", "n_removed", F.sha2(F.col("text"), 256).alias("kept_sha256")
     )
+
+
+ORACLE = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), windows AS (
+  SELECT row, i, array_to_string(words[i:i + 34], ' ') AS passage
+  FROM texts, unnest(range(1, len(words) - 33)) t(i)
+), repeated AS (
+  SELECT passage FROM windows GROUP BY passage HAVING count(*) > 1
+), gone AS (
+  SELECT DISTINCT row, i + k AS place
+  FROM windows SEMI JOIN repeated USING (passage), range(35) r(k)
+), placed AS (
+  SELECT row, i AS place, words[i] AS word FROM texts, unnest(range(1, len(words) + 1)) t(i)
+), kept AS (
+  SELECT row, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS text
+  FROM placed ANTI JOIN gone USING (row, place) GROUP BY row
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+  CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(text, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (row)
+"""
