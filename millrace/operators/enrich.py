@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+
 def enrich(
     df: DataFrame,
     lookup: DataFrame,
