@@ -1,19 +1,28 @@
 r"""Quality rules: counts of each text, and a perplexity band for each language.
 
-The language model is an interpolated modified Kneser-Ney model of order 4 over 64 symbols: UTF-8
-bytes with case folded, digits, marks and other bytes grouped (``symbols``). So a language has at
-most 64**4 = 16.8 million different 4-grams however large the corpus is, and the model's size has a
-bound that does not grow with it: 12 bytes for each, 0.2 GB for a language at worst, a hundredth of
-that in practice. Every text of the corpus is counted, by Spark: tasks count their own n-grams, one
-shuffle adds them up, and continuation counts, discounts and back-off weights are grouped and
-joined from those. The model is then kept as arrays sorted by a hash of (language, order, n-gram) and
-broadcast. Discounts and bands, a row for each language, are the only other things broadcast.
-
-A text's score is the logarithm of its perplexity, without what only the text itself has shown. In each language the quartiles of all different
+The language model is an interpolated modified Kneser-Ney model of order 4 over code points as they
+are: nothing is folded, so what is counted grows with the corpus. It is never in one place. Each
+different text is counted once, by Spark: tasks count their own n-grams, one shuffle adds them up,
+and continuation counts, discounts and back-off weights are grouped and joined from those.
+
+Every gram carries the smallest and the largest number of a text that has it. Where both are one, only
+that text has shown the gram, and its score is that of a gram never seen: the context's back-off
+weight and the score of the next shorter gram, for which the same holds. So the score of a gram is
+one number, the same for every text that asks for it, and no text is scored by what only it has shown,
+however many copies it has.
+
+Different texts are dealt by hash into chunks of about ``CHUNK`` bytes. A chunk asks for each of its
+grams once; scores are joined to those by gram and come back to the chunk, which looks them up in
+arrays sorted by hash. Discounts and bands, a row for each language, are the only things broadcast.
+
+A text's score is the logarithm of its perplexity. In each language the quartiles of all different
 scores (copies count once, so no group of copies can move them) set the band: ``SPREAD`` times the
 distance from median to quartile, ``LEAST`` at least, on either side. What lies above is noise, what
 lies below repeats itself.
 
+``train`` and ``Model`` are the same model over 64 folded symbols, small enough for one process. No
+query uses them; a test sums up their probabilities.
+
 Defined cases: a null text has no words and fails the base rules; a null language is a language of
 its own; a text without a symbol has no score and is judged by the base rules alone; repeated rows
 are judged each; other columns take no part; an empty table gives no rows.
@@ -47,6 +56,9 @@ ORDER = 4
 SPREAD = 8.0
 LEAST = 0.9
 NO_LANGUAGE = ""
+#: Text bytes of a chunk, and bits of a code point.
+CHUNK = 4_000_000
+WIDE = 21
 MIN_WORDS = 10
 REPEAT_WINDOW = 5
 MOST_REPEATED = 20  # per cent of all words
@@ -301,50 +313,31 @@ def repeated_words(words) -> np.ndarray:
     return covered[words.first[1:]] - covered[words.first[:-1]]
 
 
-def judge(model):
-    def run(batches):
-        for batch in batches:
-            for language, rows in by_language(batch):
-                column = filled(rows.column("text"))
-                for at, stop in chunks(column):
-                    part = column[at:stop]
-                    data, offsets = text_bytes(part)
-                    words = words_of(data, offsets)
-                    chars = ~SPACES[data] & ((data & 0xC0) != 0x80)
-                    yield pa.record_batch(
-                        [
-                            rows.column("doc_id")[at:stop],
-                            rows.column("lang")[at:stop].fill_null(NO_LANGUAGE),
-                            pa.array(words.counts.astype(np.int64)),
-                            pa.array(per_text(chars, offsets)),
-                            pa.array(per_text(IS_MARK[data], offsets)),
-                            pa.array([duplicate_lines(t) for t in part.to_pylist()], pa.int64()),
-                            pa.array(repeated_words(words).astype(np.int64)),
-                            pa.array(
-                                model.value.scores(language, data, offsets), from_pandas=True
-                            ),
-                        ],
-                        names=JUDGED.names,
-                    )
-
-    return run
+def judge(batches):
+    for batch in batches:
+        column = filled(batch.column("text"))
+        for at, stop in chunks(column):
+            part = column[at:stop]
+            data, offsets = text_bytes(part)
+            words = words_of(data, offsets)
+            chars = ~SPACES[data] & ((data & 0xC0) != 0x80)
+            yield pa.record_batch(
+                [
+                    *[batch.column(n)[at:stop] for n in ("doc_id", "lang", "h", "g")],
+                    pa.array(words.counts.astype(np.int64)),
+                    pa.array(per_text(chars, offsets)),
+                    pa.array(per_text(IS_MARK[data], offsets)),
+                    pa.array([duplicate_lines(t) for t in part.to_pylist()], pa.int64()),
+                    pa.array(repeated_words(words).astype(np.int64)),
+                    pa.array(np.diff(offsets)),
+                ],
+                names=[x.split()[0] for x in JUDGED_ROWS.split(", ")],
+            )
 
 
-JUDGED = pa.schema(
-    [
-        ("doc_id", pa.int64()),
-        ("lang", pa.string()),
-        ("n_words", pa.int64()),
-        ("word_chars", pa.int64()),
-        ("n_symbols", pa.int64()),
-        ("n_dup_lines", pa.int64()),
-        ("n_repeat_words", pa.int64()),
-        ("log_perplexity", pa.float64()),
-    ]
-)
 JUDGED_ROWS = (
-    "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-    "n_repeat_words long, log_perplexity double"
+    "doc_id long, lang string, h long, g long, n_words long, word_chars long, n_symbols long, "
+    "n_dup_lines long, n_repeat_words long, n_bytes long"
 )
 
 
@@ -357,13 +350,266 @@ def train(documents: DataFrame) -> Model:
     return Model(kneser_ney(durable(counts, "ngrams")).toArrow())
 
 
+def first_copies(batches):
+    """The rows of a task without those whose text it has had."""
+    seen: set = set()
+    for batch in batches:
+        keys = zip(batch.column("h").to_pylist(), batch.column("g").to_pylist())
+        keep = []
+        for key in keys:
+            keep.append(key not in seen)
+            seen.add(key)
+        yield batch.filter(pa.array(keep, pa.bool_()))
+
+
+def wide_grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, context (the three code points before) and code point of each place of some texts.
+
+    Code points count from 1; 0 stands before a text.
+    """
+    texts = column.to_pylist()
+    sizes = np.array([len(t) for t in texts], np.int64)
+    symbols = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
+    place = np.arange(len(symbols)) + (ORDER - 1) * (np.repeat(np.arange(len(sizes)), sizes) + 1)
+    padded = np.zeros(len(symbols) + (ORDER - 1) * len(sizes), np.int64)
+    padded[place] = symbols.astype(np.int64) + 1
+    context = np.zeros(len(symbols), np.int64)
+    for back in range(1, ORDER):
+        context |= padded[place - back] << (WIDE * (back - 1))
+    return np.repeat(np.arange(len(sizes)), sizes), context, padded[place]
+
+
+def gram_key(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    return mixed(mixed(context.astype(U)) + symbol.astype(U))
+
+
+def distinct_grams(context, symbol):
+    """One place of each different gram, sorted by hash, and how many there are."""
+    _, at, n = np.unique(gram_key(context, symbol), return_index=True, return_counts=True)
+    return at, n
+
+
+class Grams:
+    """Different grams of some texts, with sums of ``n`` and the range of ``owner``."""
+
+    def __init__(self):
+        self.parts: list[list[np.ndarray]] = []
+        self.rows = 0
+
+    def add(self, context, symbol, n, low, high) -> None:
+        self.parts.append([context, symbol, n, low, high])
+        self.rows += len(n)
+        if len(self.parts) > 15:
+            self.parts = [self.merged()]
+
+    def merged(self) -> list[np.ndarray]:
+        context, symbol, n, low, high = (np.concatenate(x) for x in zip(*self.parts))
+        order = np.argsort(gram_key(context, symbol), kind="stable")
+        context, symbol = context[order], symbol[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (context[1:] != context[:-1]) | (symbol[1:] != symbol[:-1])
+        at = np.flatnonzero(new)
+        if not len(at):
+            return [context, symbol, n, low, high]
+        return [
+            context[at],
+            symbol[at],
+            np.add.reduceat(n[order], at),
+            np.minimum.reduceat(low[order], at),
+            np.maximum.reduceat(high[order], at),
+        ]
+
+    def batches(self, *labels):
+        columns = self.merged()
+        for at in range(0, len(columns[0]), 100_000):
+            part = [c[at : at + 100_000] for c in columns]
+            yield [*([x] * len(part[0]) for x in labels), *part]
+
+
+def count_wide(batches):
+    """Language, gram, how often this task has seen it, and the range of texts that have it."""
+    seen: dict[str, Grams] = {}
+    for batch in batches:
+        for language, rows in by_language(batch):
+            column, owner = filled(rows.column("text")), rows.column("owner").to_numpy()
+            counts = rows.column("counts").to_numpy(zero_copy_only=False).astype(np.int64)
+            for at, stop in chunks(column):
+                text, context, symbol = wide_grams(column[at:stop])
+                one = Grams()
+                whose = owner[at:stop][text]
+                one.add(context, symbol, counts[at:stop][text], whose, whose)
+                seen.setdefault(language, Grams()).add(*one.merged())
+    for language, grams in seen.items():
+        for columns in grams.batches(language):
+            yield pa.record_batch(
+                [pa.array(c) for c in columns], names=["lang", "context", "symbol", "n", "low", "high"]
+            )
+
+
+def ask(batches):
+    """Chunk, language and gram, once for each run of rows of one chunk and language."""
+
+    def asked(grams):
+        for (chunk, language), own in grams.items():
+            for columns in own.batches(chunk, language):
+                yield pa.record_batch(
+                    [pa.array(c) for c in columns[:4]], names=["chunk", "lang", "context", "symbol"]
+                )
+
+    open_: dict[tuple, Grams] = {}
+    for batch in batches:
+        chunk_of = batch.column("chunk")
+        for chunk in pc.unique(chunk_of).to_pylist():
+            # Rows come by chunk, so what is open is done once another begins.
+            if any(c != chunk for c, _ in open_):
+                yield from asked(open_)
+                open_ = {}
+            for language, rows in by_language(batch.filter(pc.equal(chunk_of, chunk))):
+                column = filled(rows.column("text"))
+                for at, stop in chunks(column):
+                    _, context, symbol = wide_grams(column[at:stop])
+                    first, n = distinct_grams(context, symbol)
+                    open_.setdefault((chunk, language), Grams()).add(
+                        context[first], symbol[first], n, n, n
+                    )
+    yield from asked(open_)
+
+
+def answer(texts: pa.Table, scores: pa.Table) -> pa.Table:
+    """Minus the mean score of the grams of each text of a chunk."""
+    found = {"h": [], "g": [], "log_perplexity": []}
+    for batch in texts.combine_chunks().to_batches():
+        for language, rows in by_language(batch):
+            own = scores.filter(pc.equal(scores.column("lang"), language))
+            keys = gram_key(own.column("context").to_numpy(), own.column("symbol").to_numpy())
+            order = np.argsort(keys)
+            keys, score = keys[order], own.column("score").to_numpy()[order]
+            column = filled(rows.column("text"))
+            for at, stop in chunks(column):
+                text, context, symbol = wide_grams(column[at:stop])
+                place = np.searchsorted(keys, gram_key(context, symbol))
+                n = np.bincount(text, minlength=stop - at)
+                sums = np.bincount(text, score[place], minlength=stop - at)
+                found["log_perplexity"] += (-sums / np.maximum(n, 1)).tolist()
+            found["h"] += rows.column("h").to_pylist()
+            found["g"] += rows.column("g").to_pylist()
+    kinds = [pa.int64(), pa.int64(), pa.float64()]
+    return pa.table([pa.array(found[n], k) for n, k in zip(found, kinds)], names=list(found))
+
+
+def gram_scores(counts: DataFrame) -> DataFrame:
+    """Counts of 4-grams -> ``lang, context, symbol, score``: log probabilities without own grams."""
+    levels = {ORDER: counts}
+    for level in range(ORDER - 1, 0, -1):
+        shorter = F.col("context").bitwiseAND(F.lit((1 << (WIDE * (level - 1))) - 1))
+        levels[level] = durable(
+            levels[level + 1]
+            .groupBy("lang", shorter.alias("context"), "symbol")
+            .agg(
+                F.sum((F.col("n") > 0).cast("long")).alias("n"),
+                F.min("low").alias("low"),
+                F.max("high").alias("high"),
+            ),
+            f"grams{level}",
+        )
+    # All symbols that a language has are alike at first, and so is one that it has not.
+    lower = None
+    sizes = levels[1].groupBy("lang").agg((1 / (F.count("*") + 1.0)).alias("q"))
+    for level in range(1, ORDER + 1):
+        times = [F.sum((F.col("n") == k).cast("double")).alias(f"t{k}") for k in (1, 2, 3, 4)]
+        y = F.expr("CASE WHEN t1 + 2 * t2 > 0 THEN t1 / (t1 + 2 * t2) ELSE 0.5 END")
+        discount = [
+            F.when(F.col(f"t{k}") > 0, k - (k + 1) * y * F.col(f"t{k + 1}") / F.col(f"t{k}"))
+            for k in (1, 2, 3)
+        ]
+        discounts = levels[level].groupBy("lang").agg(*times).select(
+            "lang",
+            *[
+                F.greatest(F.lit(0.1), F.least(F.coalesce(d, F.lit(k / 2)), F.lit(k - 0.1))).alias(
+                    f"d{k}"
+                )
+                for k, d in zip((1, 2, 3), discount)
+            ],
+        )
+        n = F.col("n")
+        d = (
+            F.when(n == 0, 0.0)
+            .when(n == 1, F.col("d1"))
+            .when(n == 2, F.col("d2"))
+            .otherwise(F.col("d3"))
+        )
+        grams = levels[level].join(F.broadcast(discounts), "lang").select(
+            "lang", "context", "symbol", "n", "low", "high", d.alias("d")
+        )
+        contexts = grams.groupBy("lang", "context").agg(
+            F.sum("n").alias("total"),
+            F.sum("d").alias("spared"),
+            (F.min("low") == F.max("high")).alias("own_context"),
+        )
+        grams = grams.join(contexts, ["lang", "context"])
+        if level == 1:
+            below = grams.join(F.broadcast(sizes), "lang").withColumn("s", F.log("q"))
+        else:
+            rest = F.col("context").bitwiseAND(F.lit((1 << (WIDE * (level - 2))) - 1))
+            below = grams.withColumn("rest", rest).join(lower, ["lang", "rest", "symbol"])
+        # A context of no counted text, or of one text alone, passes all its weight on.
+        share = F.when(F.col("total") > 0, F.col("spared") / F.col("total")).otherwise(1.0)
+        seen = F.when(F.col("total") > 0, (n - F.col("d")) / F.col("total")).otherwise(0.0)
+        p = seen + share * F.col("q")
+        weight = F.when(F.col("own_context"), 0.0).otherwise(F.log(share))
+        score = F.when(F.col("low") == F.col("high"), weight + F.col("s")).otherwise(F.log(p))
+        made = durable(
+            below.select("lang", "context", "symbol", p.alias("q"), score.alias("s")), f"level{level}"
+        )
+        lower = made.withColumnRenamed("context", "rest")
+    return made.select("lang", "context", "symbol", F.col("s").alias("score"))
+
+
+def perplexities(rows: DataFrame, n_bytes: int) -> DataFrame:
+    """``h, g, log_perplexity`` of each different text; ``rows`` has lang, text and their hashes."""
+    n = max(1, round(n_bytes / CHUNK))
+    texts = durable(
+        rows.filter("text <> ''")
+        .select("lang", "h", "g", "text")
+        .mapInArrow(rested(first_copies), "lang string, h long, g long, text string")
+        .withColumn("chunk", F.pmod("h", F.lit(n)))
+        .repartition("chunk")
+        .dropDuplicates(["chunk", "h", "g"])
+        .sortWithinPartitions("chunk"),
+        "texts",
+    )
+    counts = durable(
+        texts.select("lang", "text", F.col("h").alias("owner"), F.lit(True).alias("counts"))
+        .mapInArrow(
+            rested(count_wide), "lang string, context long, symbol long, n long, low long, high long"
+        )
+        .groupBy("lang", "context", "symbol")
+        .agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")),
+        "ngrams",
+    )
+    asked = texts.select("chunk", "lang", "text").mapInArrow(
+        rested(ask), "chunk long, lang string, context long, symbol long"
+    )
+    scores = asked.join(gram_scores(counts), ["lang", "context", "symbol"])
+    return (
+        texts.groupBy("chunk")
+        .cogroup(scores.groupBy("chunk"))
+        .applyInArrow(rested(answer), "h long, g long, log_perplexity double")
+    )
+
+
 def quality(documents: DataFrame, spread: float = SPREAD, least: float = LEAST) -> DataFrame:
     """Counts, score and verdict for each row of ``documents``."""
-    spark = documents.sparkSession
-    ship(spark)
-    texts = documents.select("doc_id", "text", "lang")
-    model = spark.sparkContext.broadcast(train(texts))
-    judged = durable(texts.mapInArrow(rested(judge(model)), JUDGED_ROWS), "judged")
+    ship(documents.sparkSession)
+    rows = documents.select(
+        "doc_id", "text", F.coalesce("lang", F.lit(NO_LANGUAGE)).alias("lang")
+    ).select("*", F.xxhash64("lang", "text").alias("h"), F.xxhash64("text", "lang").alias("g"))
+    counted = durable(rows.mapInArrow(rested(judge), JUDGED_ROWS), "counted")
+    n_bytes = counted.agg(F.sum("n_bytes")).first()[0] or 0
+    judged = durable(
+        counted.drop("n_bytes").join(perplexities(rows, n_bytes), ["h", "g"], "left").drop("h", "g"),
+        "judged",
+    )
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")
     )
