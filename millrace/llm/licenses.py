@@ -6,7 +6,7 @@ ordered by the number of documents that have them, over the whole corpus, rarest
 that reaches the threshold has one of a template's first few words in that order (``|T| - need + 1``
 of them), so only blocks with such a word are looked at; then a block with too few different words is
 out by length, and one that has missed too many of a template's words at some position is out
-there. Of templates that a block contains, one whose words are all among another's does not count.
+there. Every template that a block contains counts, also one whose words are all among another's.
 
 Only counts of template words travel: their frequencies are summed up by Spark, and the templates,
 a parameter, are the only thing that is broadcast.
@@ -153,12 +153,8 @@ class Join:
                     if len(ordered) - missing < need:
                         break
             else:
-                found.append((label, set(ordered), 1 - missing / len(ordered)))
-        return [
-            (label, share)
-            for label, words, share in found
-            if not any(words < other for _, other, _ in found)
-        ]
+                found.append((label, 1 - missing / len(ordered)))
+        return found
 
 
 SCANNED = (

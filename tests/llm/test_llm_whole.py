@@ -1,9 +1,10 @@
 """Cases in which an operator once did less than its whole job."""
 
 import random
+import re
 from collections import Counter
 
-from millrace.llm import quality
+from millrace.llm import licenses, quality
 
 TEXTS = "doc_id long, text string, lang string"
 
@@ -40,3 +41,27 @@ def test_language_model_counts_code_points_as_they_are(spark):
         codes = [0, 0, 0, *(ord(c) + 1 for c in text)]
         expected.update(tuple(codes[k : k + 4]) for k in range(len(text)))
     assert got == expected
+
+
+def test_every_template_that_a_notice_contains_is_found(spark):
+    notices = [
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "Licensed under CC BY 4.0",
+        "Licensed under CC BY-SA 4.0",
+        "Licensed under CC BY-NC 4.0",
+    ]
+    rows = spark.createDataFrame(list(enumerate(notices)), "doc_id long, text string")
+    found = {r.doc_id: r for r in licenses.scan_licenses(rows, phrases=[("none", "no such phrase")]).collect()}
+    for i, notice in enumerate(notices):
+        own = set(re.findall("[a-z0-9]+", notice.lower()))
+        shares = {}
+        for label, template in licenses.TEMPLATES:
+            words = set(template.split())
+            share = len(words & own) / len(words)
+            if share >= licenses.CONTAINMENT:
+                shares[label] = max(share, shares.get(label, 0))
+        assert found[i].labels == ",".join(sorted(shares))
+        assert abs(found[i].score - max(shares.values())) < 1e-9
+    assert "cc-by" in found[0].labels.split(",") and found[0].score == 1.0
