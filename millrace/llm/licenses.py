@@ -1,12 +1,13 @@
 r"""License scan: fixed phrases, and an exact containment join of text blocks with notice templates.
 
-Blocks are lines, as sets of lower-case words. A block contains a template if it has at least
-``CONTAINMENT`` of the template's different words. The join is a prefix-filtered one: words are
-ordered by the number of documents that have them, over the whole corpus, rarest first. A block
-that reaches the threshold has one of a template's first few words in that order (``|T| - need + 1``
-of them), so only blocks with such a word are looked at; then a block with too few different words is
-out by length, and one that has missed too many of a template's words at some position is out
-there. Every template that a block contains counts, also one whose words are all among another's.
+Blocks are stretches of ``STRETCH`` times a template's words, anywhere in a text and across its lines, as
+sets of lower-case words. A block contains a template if it has at least ``CONTAINMENT`` of the
+template's different words. The join is a prefix-filtered one: words are ordered by the number of
+documents that have them, over the whole corpus, rarest first. A block that reaches the threshold has
+one of a template's first few words in that order (``|T| - need + 1`` of them), so only the words around
+such a word are looked at; where too few of them are the template's it is out by position, and then
+the blocks around are counted out one by one. Templates of up to ``SHORT`` words have to stand on one
+line. Every template that a block contains counts, also one whose words are all among another's.
 
 Only counts of template words travel: their frequencies are summed up by Spark, and the templates,
 a parameter, are the only thing that is broadcast.
@@ -71,6 +72,8 @@ TEMPLATES = [
     ("all-rights-reserved", "all rights reserved"),
 ]
 CONTAINMENT = 0.9
+STRETCH = 1.25
+SHORT = 3
 
 #: Bytes outside ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]`` once A-Z are lower-cased.
 BREAKS = np.zeros(256, bool)
@@ -91,6 +94,7 @@ class Vocabulary:
         self.hashes, self.number = hashes[order], order
         self.phrases = [(x, [number[w] for w in t.split()]) for x, t in phrases]
         self.templates = [(x, sorted({number[w] for w in t.split()})) for x, t in templates]
+        self.sizes = [len(t.split()) for _, t in templates]
 
     def find(self, data, words) -> np.ndarray:
         """The number of each word of a text, -1 for those in no phrase or template."""
@@ -128,33 +132,56 @@ class Join:
     def __init__(self, vocabulary: Vocabulary, texts: dict[int, int], containment: float):
         self.vocabulary = vocabulary
         self.templates = []
+        self.sizes = [int(np.ceil(STRETCH * n)) for n in vocabulary.sizes]
+        # The last place is that of the words of no template, which have the number -1.
+        self.is_start = np.zeros(len(vocabulary.words) + 1, bool)
         for label, words in vocabulary.templates:
             ordered = sorted(words, key=lambda w: (texts.get(w, 0), w))
             need = int(np.ceil(containment * len(ordered) - 1e-9))
             self.templates.append((label, ordered, need))
-        self.starts: dict[int, list[int]] = {}
-        for i, (_, ordered, need) in enumerate(self.templates):
-            for word in ordered[: len(ordered) - need + 1]:
-                self.starts.setdefault(word, []).append(i)
-        self.is_start = np.zeros(len(vocabulary.words) + 1, bool)
-        self.is_start[list(self.starts)] = True
-
-    def of_block(self, known: set[int], different: int) -> list[tuple[str, float]]:
-        """Labels and containment of the templates that a block with these words contains."""
-        found = []
-        for i in sorted({i for w in known if self.is_start[w] for i in self.starts[w]}):
-            label, ordered, need = self.templates[i]
-            if different < need:
+            self.is_start[ordered[: len(ordered) - need + 1]] = True
+
+    def of_words(self, number, text_bounds, line_bounds):
+        """Template, containment, first and last word of each stretch that contains a template.
+
+        ``number`` has the words of some texts; the bounds are those of each word's text and line.
+        """
+        starts = np.flatnonzero(self.is_start[number])
+        for i, (label, ordered, need) in enumerate(self.templates):
+            own = np.zeros(len(self.is_start), bool)
+            own[ordered] = True
+            inside = own[number]
+            first = np.zeros(len(self.is_start), bool)
+            first[ordered[: len(ordered) - need + 1]] = True
+            at = starts[first[number[starts]]]
+            if not len(at):
                 continue
-            missing = 0
-            for word in ordered:
-                if word not in known:
-                    missing += 1
-                    if len(ordered) - missing < need:
-                        break
-            else:
-                found.append((label, 1 - missing / len(ordered)))
-        return found
+            size = self.sizes[i]
+            low, high = line_bounds if len(ordered) <= SHORT else text_bounds
+            begin, end = np.maximum(at - size + 1, low[at]), np.minimum(at + size, high[at])
+            before = np.r_[0, np.cumsum(inside)]
+            able = before[end] - before[begin] >= need
+            for a, b in zip(begin[able].tolist(), end[able].tolist()):
+                places = (a + np.flatnonzero(inside[a:b])).tolist()
+                best = self.best(places, number[places].tolist(), size)
+                if best[0] >= need:
+                    yield label, best[0] / len(ordered), best[1], best[2]
+
+    @staticmethod
+    def best(places: list[int], words: list[int], size: int) -> tuple[int, int, int]:
+        """The most different words in ``size`` places in a row, and the first and last of those."""
+        counts: dict[int, int] = {}
+        most, left = (0, 0, 0), 0
+        for right, word in enumerate(words):
+            counts[word] = counts.get(word, 0) + 1
+            while places[right] - places[left] >= size:
+                counts[words[left]] -= 1
+                if not counts[words[left]]:
+                    del counts[words[left]]
+                left += 1
+            if len(counts) > most[0]:
+                most = len(counts), places[left], places[right]
+        return most
 
 
 SCANNED = (
@@ -203,18 +230,19 @@ def scan(join: Join):
                     places[text].append(place)
                     labels[text].add(label)
                     score[text] = 1.0
+                text = words.text
                 edges = np.union1d(np.flatnonzero(data == 10), offsets)
                 line = np.searchsorted(edges, words.starts, "right")
-                for x in np.unique(line[join.is_start[number]]).tolist():
-                    a, b = np.searchsorted(line, [x, x + 1])
-                    known = set(number[a:b].tolist()) - {-1}
-                    found = join.of_block(known, len(np.unique(words.hashes[a:b])))
-                    if found:
-                        text = int(np.searchsorted(words.first, a, "right")) - 1
-                        own[text] |= {label for label, _ in found}
-                        score[text] = max(score[text], *(share for _, share in found))
-                        block = data[edges[x - 1] : edges[x] if x < len(edges) else len(data)]
-                        blocks[text].append(block.tobytes().decode("utf-8", "replace").strip("\n"))
+                bounds = [
+                    (np.searchsorted(x, x), np.searchsorted(x, x, "right")) for x in (text, line)
+                ]
+                stretches: list[set] = [set() for _ in range(n)]
+                for label, share, a, b in join.of_words(number, *bounds):
+                    own[text[a]].add(label)
+                    score[text[a]] = max(score[text[a]], share)
+                    stretches[text[a]].add((int(words.starts[a]), int(words.ends[b])))
+                for of, parts in zip(blocks, stretches):
+                    of += [data[a:b].tobytes().decode("utf-8", "replace") for a, b in sorted(parts)]
                 columns = [
                     batch.column("doc_id")[at:stop],
                     words.counts.astype(np.int64),

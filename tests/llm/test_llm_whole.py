@@ -65,3 +65,26 @@ def test_every_template_that_a_notice_contains_is_found(spark):
         assert found[i].labels == ",".join(sorted(shares))
         assert abs(found[i].score - max(shares.values())) < 1e-9
     assert "cc-by" in found[0].labels.split(",") and found[0].score == 1.0
+
+
+def test_notices_over_lines_are_found_and_scattered_words_are_not(spark):
+    rng = random.Random(3)
+    mit = (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this\n"
+        "software and associated documentation files (the \"Software\"), to deal in the\n"
+        "Software without restriction, including without limitation the rights to use"
+    )
+    texts, expected = [mit, "word " * 40 + mit + " and" * 40], ["mit", "mit"]
+    for label, template in licenses.TEMPLATES:
+        words = template.split()
+        if len(words) > licenses.SHORT:
+            texts.append("\n".join(["it", "was", *words, "so", "far"]))
+            expected.append(label)
+            spread = [w for x in words for w in (x, *["other"] * 30)]
+            texts.append(" ".join(rng.sample(spread, len(spread)) if len(words) > 9 else spread))
+            expected.append("")
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in licenses.scan_licenses(rows, phrases=[("none", "no such phrase")]).collect()}
+    for i, label in enumerate(expected):
+        assert (label in found[i].labels.split(",")) and (label != "" or not found[i].blocks), texts[i]
+    assert "obtaining a copy of this\nsoftware" in found[0].blocks[0]
