@@ -8,8 +8,11 @@ largest sum the path up to the body gives the threshold, the least density on it
 with the largest sum among nodes that reach the threshold, blocks in page order.
 
 Left out everywhere, before any density is counted: scripts, styles and other markup that is not
-read, menus, forms, and elements whose name, role, class or id says header, footer, sidebar, notice,
-advert, or comments. A header inside the main text stays if it holds a heading only.
+read, menus, forms, and elements whose name or role, or one of whose classes or id, as a whole, says
+header, footer, sidebar, notice, advert, or comments. What is only called so stays if it is a heading, a header
+that holds a heading only, or holds ``MOST`` of the page's text and no article or main
+stands beside it. A
+part of a class ("has-sidebar", "no-comments") says nothing: density decides on such elements.
 
 Defined cases: a null or empty page, or one without text, has the empty text; repeated rows are
 extracted each; other columns take no part; an empty table gives no rows.
@@ -46,14 +49,28 @@ ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar "
     "status toolbar tablist".split()
 )
-#: Words of a class or an id that name a part around the main text.
+#: Share of the text above which an element is not cut for its class or id.
+MOST = 0.5
+#: Classes and ids, as wholes, that name a part around the main text. A hyphen stands for an underscore or none, too.
 AROUND = frozenset(
     "nav navbar navigation menu menubar submenu breadcrumb breadcrumbs header masthead banner footer "
     "sidebar aside rail widget widgets ad ads adv advert adverts advertisement advertisements "
     "advertising sponsor sponsored sponsors promo promos promotion promoted cookie cookies consent "
     "gdpr notice notices alert alerts popup modal overlay newsletter subscribe subscription signup "
     "login form search comment comments commentlist disqus respond replies reply related "
-    "recommended share sharing social toolbar pagination pager skip copyright".split()
+    "recommended share sharing social toolbar pagination pager skip copyright "
+    "main-nav site-nav top-nav nav-bar nav-menu nav-links main-navigation site-navigation "
+    "main-menu site-menu top-menu side-menu menu-bar page-header site-header main-header top-header "
+    "header-top header-bar top-bar page-footer site-footer main-footer footer-bottom footer-links "
+    "side-bar left-sidebar right-sidebar sidebar-left sidebar-right sidebar-inner widget-area "
+    "ad-banner ad-box ad-slot ad-unit ad-container ad-wrapper ads-box top-ad side-ad sponsored-content "
+    "sponsored-links promo-box promo-banner cookie-notice cookie-banner cookie-bar cookie-consent "
+    "cookie-policy consent-banner gdpr-banner site-notice alert-banner alert-box newsletter-signup "
+    "newsletter-box newsletter-form subscribe-form subscribe-box login-form search-form search-box "
+    "comment-list comments-area comments-section comment-section comment-form comment-respond user-comments disqus-thread "
+    "related-posts related-articles related-links related-stories recommended-posts share-buttons "
+    "share-bar share-links social-links social-share social-media social-buttons sharing-buttons skip-link "
+    "copyright-notice".split()
 )
 CLOSED_BY = {
     "li": frozenset(["li"]),
@@ -74,19 +91,20 @@ TAG = re.compile(
     re.S,
 )
 NAMED = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
-WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+WORD = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z0-9]+(?![a-z])")
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "cut", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("name", "parent", "children", "cut", "called", "chars", "tags", "link_chars", "link_tags", "density", "sum")
 
     def __init__(self, name: str, parent: Node | None, cut: bool):
         self.name, self.parent, self.cut = name, parent, cut
+        self.called = False
         self.children: list[Node | str] = []
 
 
 def is_around(name: str, attributes: str) -> bool:
-    """Whether an element is a part around the main text, by what it is called."""
+    """Whether an element is a part around the main text, by its name, its role or as hidden."""
     if name in CUT:
         return True
     if not attributes or name in KEEPS:
@@ -99,13 +117,50 @@ def is_around(name: str, attributes: str) -> bool:
             return True
         if key == "role" and value.lower() in ROLES:
             return True
-        if key in ("class", "id") and not AROUND.isdisjoint(
-            w.lower() for w in WORD.findall(value)
-        ):
-            return True
     return False
 
 
+def is_called_around(name: str, attributes: str) -> bool:
+    """Whether a whole class or id is one of those around the main text."""
+    if not attributes or name in KEEPS or name in HEADINGS:
+        return False
+    return any(
+        "-".join(w.lower() for w in WORD.findall(token)) in AROUND
+        for key, value in NAMED.findall(attributes)
+        if key.lower() in ("class", "id")
+        for token in value.strip("\"'").split()
+    )
+
+
+def is_below(node: Node | None, above: Node) -> bool:
+    while node is not None and node is not above:
+        node = node.parent
+    return node is not None
+
+
+def cut_called(root: Node) -> None:
+    """Cuts what is called a part around, if it is no heading-only header and not most of the text."""
+    order, waiting = [], [root]
+    while waiting:
+        node = waiting.pop()
+        if not node.cut:
+            order.append(node)
+            waiting += [c for c in node.children if isinstance(c, Node)]
+    for node in reversed(order):
+        node.chars = sum(
+            len(" ".join(html.unescape(c).split())) if isinstance(c, str) else 0 if c.cut else c.chars
+            for c in node.children
+        )
+    named = [n for n in order if n.name in ("article", "main") and n.chars]
+    for node in order:
+        if node.called and not (
+            node.chars >= MOST * root.chars
+            and all(is_below(n, node) or is_below(node, n) for n in named)
+            or node.name == "header" and all_heading(node)
+        ):
+            node.cut = True
+
+
 def parse(page: str) -> Node:
     root = Node("html", None, False)
     here, at = root, 0
@@ -143,6 +198,7 @@ def parse(page: str) -> Node:
         if name in HEADINGS and here.name in HEADINGS:
             here = here.parent
         node = Node(name, here, name in UNREAD or is_around(name, attributes))
+        node.called = is_called_around(name, attributes)
         here.children.append(node)
         if name in VOID or attributes.endswith("/") and name in ("svg", "math", "path"):
             continue
@@ -265,6 +321,13 @@ def only_heading(header: Node) -> bool:
     return any(isinstance(c, Node) and c.name in HEADINGS for c in header.children)
 
 
+def all_heading(header: Node) -> bool:
+    """Whether all text of a header stands in headings."""
+    return header.chars == sum(
+        c.chars for c in header.children if isinstance(c, Node) and not c.cut and c.name in HEADINGS
+    )
+
+
 def extract(page: str | None) -> str:
     if not page:
         return ""
@@ -273,6 +336,7 @@ def extract(page: str | None) -> str:
         # A page's own header, as opposed to an article's, is not part of the text.
         if isinstance(node, Node) and node.name == "header":
             node.cut = True
+    cut_called(root)
     return "\n".join(blocks(main_node(root)))
 
 

@@ -4,7 +4,7 @@ import random
 import re
 from collections import Counter
 
-from millrace.llm import licenses, quality
+from millrace.llm import html_text, licenses, quality
 
 TEXTS = "doc_id long, text string, lang string"
 
@@ -88,3 +88,22 @@ def test_notices_over_lines_are_found_and_scattered_words_are_not(spark):
     for i, label in enumerate(expected):
         assert (label in found[i].labels.split(",")) and (label != "" or not found[i].blocks), texts[i]
     assert "obtaining a copy of this\nsoftware" in found[0].blocks[0]
+
+
+def test_names_that_only_mention_a_part_around_do_not_cut_the_text():
+    body = "<p>" + "A sentence of the main text, with some words in it. " * 8 + "</p>"
+    for name in ("content has-sidebar", "with-sidebar", "no-comments", "layout-header-fixed",
+                 "elementor-widget", "header", "comments"):
+        page = f'<nav><a href="/">Home</a></nav><div class="{name}"><h1>Title</h1>{body * 2}</div>'
+        assert html_text.extract(page).count("main text") == 16, name
+    widgets = "".join(f'<div class="elementor-widget">{body}</div>' for _ in range(4))
+    assert html_text.extract(f"<div>{widgets}</div>").count("main text") == 32
+    for title in ('<header class="entry-header"><h1>Title</h1></header>', '<h1 class="page-header">Title</h1>'):
+        page = f'<article>{title}{body}<div class="cookie-notice">We use cookies.</div></article>'
+        text = html_text.extract(page)
+        assert text.startswith("Title") and "cookies" not in text
+
+
+def test_a_long_advert_beside_a_short_article_is_cut():
+    page = f'<div class="ad">{"Buy this. " * 20}</div><article><h1>Title</h1><p>Few words.</p></article>'
+    assert html_text.extract(page) == "Title\nFew words."
