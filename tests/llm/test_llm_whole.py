@@ -107,3 +107,14 @@ def test_names_that_only_mention_a_part_around_do_not_cut_the_text():
 def test_a_long_advert_beside_a_short_article_is_cut():
     page = f'<div class="ad">{"Buy this. " * 20}</div><article><h1>Title</h1><p>Few words.</p></article>'
     assert html_text.extract(page) == "Title\nFew words."
+
+
+def test_copies_of_noise_are_scored_as_one(spark):
+    rng = random.Random(4)
+    noise = lambda: "".join(chr(rng.randrange(33, 0x2000)) if rng.random() < 0.8 else " " for _ in range(300))
+    texts = plain_texts()
+    for copies in (1, 2, 10, 100):
+        texts += [noise() + " end of it all"] * copies
+    rows = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], TEXTS)
+    dropped = {r.doc_id for r in quality.quality(rows).filter("not kept").collect()}
+    assert dropped == set(range(200, 313))
