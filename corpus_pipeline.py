@@ -29,8 +29,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter go, and those that are in no language the network has learned."""
-    told = predict(docs, fit(docs), docs.columns)
+    """Documents without a letter go, and those that are in no language the network has learned.
+
+    Where no row has a language there is nothing to learn, and all with a letter stay.
+    """
+    model = fit(docs)
+    if model is None:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    told = predict(docs, model, docs.columns)
     known = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)
     return told.filter(known).select(docs.columns)
 

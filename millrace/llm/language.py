@@ -31,6 +31,8 @@ WIDTHS = (2, 3, 4)
 FILTERS = 24
 DEPTH = 8
 SAMPLE = 1500
+#: Counts of different texts are estimates, and so few as the sample are all taken.
+MARGIN = 1.1
 EPOCHS = 6
 RATE = 0.01
 SEED = 7
@@ -169,11 +171,12 @@ def training_windows(labelled: DataFrame, sample: int) -> tuple[list[str], np.nd
     """Languages, and windows of about ``sample`` texts of each: ``labelled`` has text and lang."""
     named = labelled.filter("text IS NOT NULL AND lang IS NOT NULL AND length(text) > 0")
     # A row for each language tag; the texts themselves stay where they are until few are left.
-    counts = {r["lang"]: r["count"] for r in named.groupBy("lang").count().collect()}
+    different = F.approx_count_distinct(F.xxhash64("text"), 0.02).alias("n")
+    counts = {r["lang"]: r["n"] for r in named.groupBy("lang").agg(different).collect()}
     languages = sorted(counts)
     if not languages:
         return [], np.zeros((0, WINDOW), np.uint8), np.zeros(0, np.int64)
-    share = F.create_map(*[F.lit(x) for k in languages for x in (k, sample / counts[k])])
+    share = F.create_map(*[F.lit(x) for k in languages for x in (k, MARGIN * sample / counts[k])])
     drawn = F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000
     room = F.greatest(F.length("text") - WINDOW, F.lit(0)) + 1
     piece = lambda salt: F.substr("text", 1 + F.pmod(F.xxhash64("text", F.lit(salt)), room).cast("int"), F.lit(WINDOW))

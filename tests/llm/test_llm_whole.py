@@ -4,7 +4,8 @@ import random
 import re
 from collections import Counter
 
-from millrace.llm import html_text, licenses, quality
+import corpus_pipeline
+from millrace.llm import html_text, language, licenses, quality
 
 TEXTS = "doc_id long, text string, lang string"
 
@@ -118,3 +119,12 @@ def test_copies_of_noise_are_scored_as_one(spark):
     rows = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], TEXTS)
     dropped = {r.doc_id for r in quality.quality(rows).filter("not kept").collect()}
     assert dropped == set(range(200, 313))
+
+
+def test_language_sample_is_a_share_of_different_texts(spark):
+    rows = [(i, f"text number {i % 20} of a few", "en") for i in range(4000)]
+    docs = spark.createDataFrame(rows, TEXTS)
+    languages, x, y = language.training_windows(docs.select("text", "lang"), 100)
+    assert languages == ["en"] and len(x) == len(y) == 40
+    unnamed = spark.createDataFrame([(1, "a text", None), (2, "12 !", None), (3, None, None)], TEXTS)
+    assert [r.doc_id for r in corpus_pipeline.language_id(spark, unnamed, "").collect()] == [1]
