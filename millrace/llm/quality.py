@@ -305,7 +305,10 @@ def repeated_words(words) -> np.ndarray:
     keys = mixed(hashes + words.text[at].astype(np.uint64) * U(0x9E3779B97F4A7C15))
     order = np.argsort(keys)
     same = keys[order][1:] == keys[order][:-1]
-    begins = at[order][np.r_[False, same] | np.r_[same, False]]
+    twice = np.zeros(len(at), bool)
+    twice[1:] |= same
+    twice[:-1] |= same
+    begins = at[order][twice]
     cover = np.zeros(len(words.hashes) + 1, np.int64)
     np.add.at(cover, begins, 1)
     np.add.at(cover, begins + REPEAT_WINDOW, -1)
