@@ -7,6 +7,7 @@ from .ball_tree import op8_ball_tree
 from .byte_pairs import op10_byte_pairs
 from .html_text import op3_html_text
 from .jaccard_join import op6_jaccard_join
+from .katz import op11_katz_backoff
 from .language import op4_language_id
 from .licenses import op9_license_scan
 from .packing import op1_best_fit_packing
@@ -25,6 +26,7 @@ QUERIES = {
     "op9_license_scan": op9_license_scan,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_substring_dedup": op7_substring_dedup,
+    "op11_katz_backoff": op11_katz_backoff,
 }
 
 ORACLES: dict[str, str] = {

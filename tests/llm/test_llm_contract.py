@@ -24,6 +24,7 @@ COLUMNS = {
     "op8": "query_id rank vec_id score",
     "op9": "doc_id n_words n_base first_word last_word base_labels labels score",
     "op10": "doc_id n_tokens ids_sha256 decoded_sha256",
+    "op11": "doc_id held_out n_tokens n_known train_tokens base_score score",
 }
 
 
