@@ -46,10 +46,10 @@ CUTOFF = 5
 #: Contexts with at least this share of all training tokens are split; so there are no more of them.
 SPLIT = 1024
 #: Text bytes of a bucket, and of the rows that a task writes together.
-BUCKET = 24_000_000
-RUN = 14_000_000
+BUCKET = 16_000_000
+RUN = 12_000_000
 START, END = U(0x5BD1E995A5A5A5A5), U(0x2545F4914F6CDD1D)
-BLOBS = ["ids", "marks", "trains", "contexts", "sizes", "words", "counts", "places"]
+BLOBS = ["ids", "marks", "trains", "contexts", "sizes", "lexicon", "words", "counts", "places"]
 RUNS = "bucket int, " + ", ".join(f"{x} binary" for x in BLOBS)
 WIDTH = 2 * CUTOFF + 4  # of the sums of a context: tokens, pairs by count, words by count
 SUMS = "id long, mark int, n_tokens long, n_known long, base_score double, score double"
@@ -105,6 +105,11 @@ def count_words(batches):
             )
 
 
+def narrow(n: int) -> str:
+    """The type of places in an array of n."""
+    return "<u2" if n <= 1 << 16 else "<u4"
+
+
 def contained(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
     if not len(sorted_values):
         return np.zeros(len(values), bool)
@@ -140,6 +145,7 @@ def runs(buckets: int, split: np.ndarray):
             mine, place = np.unique(text[a:b], return_inverse=True)
             pairs = begins(context[a:b], word[a:b])
             first = begins(context[a:b][pairs])
+            lexicon, words = np.unique(word[a:b][pairs], return_inverse=True)
             yield {
                 "bucket": int(bucket[a]),
                 "ids": ids[mine].tobytes(),
@@ -147,9 +153,10 @@ def runs(buckets: int, split: np.ndarray):
                 "trains": trains[mine].tobytes(),
                 "contexts": context[a:b][pairs][first].tobytes(),
                 "sizes": np.diff(np.r_[first, len(pairs)]).astype("<u4").tobytes(),
-                "words": word[a:b][pairs].tobytes(),
+                "lexicon": lexicon.tobytes(),
+                "words": words.astype(narrow(len(lexicon))).tobytes(),
                 "counts": np.diff(np.r_[pairs, b - a]).astype("<u4").tobytes(),
-                "places": place.astype("<u2" if len(mine) <= 1 << 16 else "<u4").tobytes(),
+                "places": place.astype(narrow(len(mine))).tobytes(),
             }
 
     def run(batches):
@@ -173,29 +180,36 @@ class Bucket:
         def column(name, kind):
             return [np.frombuffer(x, kind) for x in table.column(name).to_pylist()]
 
-        ids = column("ids", np.int64)
-        places = [
-            np.frombuffer(x, "<u2" if len(own) <= 1 << 16 else "<u4").astype(np.int64)
-            for x, own in zip(table.column("places").to_pylist(), ids)
-        ]
+        def looked_up(name, of):
+            """Places in each of the arrays ``of``."""
+            return [
+                np.frombuffer(x, narrow(len(own)))
+                for x, own in zip(table.column(name).to_pylist(), of)
+            ]
+
+        ids, lexica = column("ids", np.int64), column("lexicon", U)
         starts = np.cumsum([0, *[len(own) for own in ids]])
         self.ids, self.marks = np.concatenate(ids), np.concatenate(column("marks", np.int32))
         trains = np.concatenate(column("trains", bool))
-        self.text = np.concatenate([p + s for p, s in zip(places, starts)])
+        self.text = np.concatenate(
+            [p.astype(np.int32) + np.int32(s) for p, s in zip(looked_up("places", ids), starts)]
+        )
         sizes = np.concatenate(column("sizes", "<u4"))
         context = np.repeat(np.concatenate(column("contexts", U)), sizes)
-        word = np.concatenate(column("words", U))
-        counts = np.concatenate(column("counts", "<u4")).astype(np.int64)
+        word = np.concatenate([x[p] for x, p in zip(lexica, looked_up("words", lexica))])
+        counts = np.concatenate(column("counts", "<u4"))
         # What several runs have of a pair belongs together, and so do the pairs of a context.
         key = pair_key(context, word)
         order = np.argsort(key)
         first = begins(key[order])
-        pair = np.empty(len(order), np.int64)
-        pair[order] = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(order)]))
-        context, word = context[order][first], word[order][first]
-        order = np.argsort(context, kind="stable")
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
+        pair = np.empty(len(order), np.int32)
+        times = np.diff(np.r_[first, len(order)])
+        pair[order] = np.repeat(np.arange(len(first), dtype=np.int32), times)
+        context, word = context[order[first]], word[order[first]]
+        del key, times
+        order = np.argsort(context)
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
         self.context, self.word = context[order], word[order]
         self.pair = np.repeat(place[pair], counts)
         self.count = np.bincount(self.pair[trains[self.text]], minlength=len(order))
@@ -208,7 +222,7 @@ class Bucket:
 
 def ask(table: pa.Table) -> pa.Table:
     """A bucket's different words."""
-    word = np.unique(np.concatenate([np.frombuffer(x, U) for x in table.column("words").to_pylist()]))
+    word = np.unique(np.concatenate([np.frombuffer(x, U) for x in table.column("lexicon").to_pylist()]))
     own = np.full(len(word), table.column("bucket")[0].as_py(), np.int32)
     return pa.table([pa.array(own), pa.array(word.view(np.int64))], names=["bucket", "word"])
 
