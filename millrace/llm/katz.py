@@ -20,7 +20,7 @@ words, and the texts that have the pair. A pair that many texts of a task have i
 dealt by context; contexts above that share are dealt by pair, so none has to fit one task. The runs
 are shuffled once and read from there three times: each bucket asks for the counts of its different
 words; it adds up what it has of split contexts, whose sums (``SPLIT`` rows at most) go to all buckets;
-and it adds up what each text gains in it, which Spark adds up by text. What is gathered - words,
+and it adds up what each text gains in it, a row for each run, and these are added up by run. What is gathered - words,
 runs, asked words, sums - grows with the corpus; the driver holds split contexts and counts of
 counts only.
 
@@ -50,9 +50,10 @@ BUCKET = 16_000_000
 RUN = 12_000_000
 START, END = U(0x5BD1E995A5A5A5A5), U(0x2545F4914F6CDD1D)
 BLOBS = ["ids", "marks", "trains", "contexts", "sizes", "lexicon", "words", "counts", "places"]
-RUNS = "bucket int, " + ", ".join(f"{x} binary" for x in BLOBS)
+RUNS = "bucket int, run long, " + ", ".join(f"{x} binary" for x in BLOBS)
 WIDTH = 2 * CUTOFF + 4  # of the sums of a context: tokens, pairs by count, words by count
 SUMS = "id long, mark int, n_tokens long, n_known long, base_score double, score double"
+GAINS = {"ids": "<i8", "marks": "<i4", "tokens": "<i4", "known": "<i4", "base": "<f8", "gain": "<f8"}
 
 
 def tokens_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -148,6 +149,7 @@ def runs(buckets: int, split: np.ndarray):
             lexicon, words = np.unique(word[a:b][pairs], return_inverse=True)
             yield {
                 "bucket": int(bucket[a]),
+                "run": int(ids[0]),
                 "ids": ids[mine].tobytes(),
                 "marks": marks[mine].tobytes(),
                 "trains": trains[mine].tobytes(),
@@ -160,7 +162,8 @@ def runs(buckets: int, split: np.ndarray):
             }
 
     def run(batches):
-        schema = pa.schema([("bucket", pa.int32()), *[(x, pa.binary()) for x in BLOBS]])
+        kinds = [("bucket", pa.int32()), ("run", pa.int64()), *[(x, pa.binary()) for x in BLOBS]]
+        schema = pa.schema(kinds)
         for batch in batches:
             column = filled(batch.column("text"))
             ids, marks = (batch.column(x).to_numpy() for x in ("id", "mark"))
@@ -188,7 +191,8 @@ class Bucket:
             ]
 
         ids, lexica = column("ids", np.int64), column("lexicon", U)
-        starts = np.cumsum([0, *[len(own) for own in ids]])
+        self.runs = table.column("run").to_pylist()
+        self.edges = starts = np.cumsum([0, *[len(own) for own in ids]])
         self.ids, self.marks = np.concatenate(ids), np.concatenate(column("marks", np.int32))
         trains = np.concatenate(column("trains", bool))
         self.text = np.concatenate(
@@ -327,13 +331,12 @@ def weights(n, seen, below, kept: np.ndarray, words: Words) -> tuple[np.ndarray,
 
 
 def scorer(words: Words, distinct: int):
-    """What each text gains from the tokens of one bucket."""
-    names = [x.split()[0] for x in SUMS.split(", ")]
+    """What each text gains from the tokens of one bucket, a row for each run."""
+    schema = pa.schema([("run", pa.int64()), *[(x, pa.binary()) for x in GAINS]])
 
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         if not table.num_rows:
-            empty = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-            return pa.table([pa.array([], k) for k in empty], names=names)
+            return schema.empty_table()
         told = answers.column("told").drop_null().to_pylist()
         told = np.array([row for rows in told for row in rows], np.int64).reshape(-1, WIDTH + 2)
         kept = discounts(told[told[:, 0] == 0, 2:].sum(axis=0)[: CUTOFF + 2])
@@ -361,21 +364,43 @@ def scorer(words: Words, distinct: int):
         def added(values):
             return np.bincount(bucket.text, values[bucket.pair], minlength=rows)
 
-        return pa.table(
-            [
-                pa.array(bucket.ids),
-                pa.array(bucket.marks),
-                pa.array(np.bincount(bucket.text, minlength=rows)),
-                pa.array(added((known > 0).astype(np.float64)).astype(np.int64)),
-                pa.array(added(base)),
-                pa.array(added(np.log10(p))),
-            ],
-            names=names,
+        gains = dict(
+            ids=bucket.ids,
+            marks=bucket.marks,
+            tokens=np.bincount(bucket.text, minlength=rows),
+            known=added((known > 0).astype(np.float64)),
+            base=added(base),
+            gain=added(np.log10(p)),
         )
+        gains = {name: gains[name].astype(kind) for name, kind in GAINS.items()}
+        made = [
+            {"run": own} | {name: values[a:b].tobytes() for name, values in gains.items()}
+            for own, a, b in zip(bucket.runs, bucket.edges, bucket.edges[1:])
+        ]
+        return pa.Table.from_pylist(made, schema)
 
     return run
 
 
+def total(table: pa.Table) -> pa.Table:
+    """What the texts of one run gain in all buckets."""
+    parts = {
+        name: np.concatenate([np.frombuffer(x, kind) for x in table.column(name).to_pylist()])
+        for name, kind in GAINS.items()
+    }
+    order = np.lexsort((parts["marks"], parts["ids"]))
+    parts = {name: values[order] for name, values in parts.items()}
+    first = begins(parts["ids"], parts["marks"])
+    sums = [
+        np.add.reduceat(parts[name].astype(kind), first)
+        for name, kind in (("tokens", "i8"), ("known", "i8"), ("base", "f8"), ("gain", "f8"))
+    ]
+    return pa.table(
+        [pa.array(parts["ids"][first]), pa.array(parts["marks"][first]), *map(pa.array, sums)],
+        names=[x.split()[0] for x in SUMS.split(", ")],
+    )
+
+
 def katz_scores(documents: DataFrame, train, bucket: int = BUCKET, share: int = SPLIT) -> DataFrame:
     """``doc_id, trains, n_tokens, n_known, train_tokens, base_score, score`` of each row.
 
@@ -439,7 +464,12 @@ def katz_scores(documents: DataFrame, train, bucket: int = BUCKET, share: int =
     scores = (
         pairs.groupBy("bucket")
         .cogroup(full.groupBy("bucket"))
-        .applyInArrow(rested(scorer(words, told.distinct)), SUMS)
+        .applyInArrow(
+            rested(scorer(words, told.distinct)),
+            "run long, " + ", ".join(f"{x} binary" for x in GAINS),
+        )
+        .groupBy("run")
+        .applyInArrow(rested(total), SUMS)
         .groupBy("id", "mark")
         .agg(*[F.sum(x).alias(x) for x in ("n_tokens", "n_known", "base_score", "score")])
     )
