@@ -46,7 +46,7 @@ CUTOFF = 5
 #: Contexts with at least this share of all training tokens are split; so there are no more of them.
 SPLIT = 1024
 #: Text bytes of a bucket, and of the rows that a task writes together.
-BUCKET = 20_000_000
+BUCKET = 24_000_000
 RUN = 12_000_000
 START, END = U(0x5BD1E995A5A5A5A5), U(0x2545F4914F6CDD1D)
 BLOBS = ["ids", "marks", "trains", "contexts", "sizes", "lexicon", "words", "counts", "places"]
@@ -69,7 +69,7 @@ def tokens_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         context = np.empty(len(word), U)
         context[1:] = word[:-1]
         context[np.r_[0, ends[:-1] + 1]] = START
-        texts.append(at + np.repeat(np.arange(stop - at), found.counts + 1))
+        texts.append(np.repeat(np.arange(at, stop, dtype=np.int32), found.counts + 1))
         contexts.append(context)
         words.append(word)
     return np.concatenate(texts), np.concatenate(contexts), np.concatenate(words)
@@ -133,14 +133,18 @@ def runs(buckets: int, split: np.ndarray):
 
     bits = (64 - max(buckets - 1, 1).bit_length()) // 2
 
-    def written(ids, marks, trains, text, context, word):
+    def written(ids, marks, trains, column):
+        text, context, word = tokens_of(column)
         of_context, of_pair = mixed(context), pair_key(context, word)
-        bucket = np.where(contained(split, context), of_pair, of_context) % U(buckets)
+        bucket = (np.where(contained(split, context), of_pair, of_context) % U(buckets)).astype(U)
         # One sort brings equal pairs together. Contexts that are alike in these bits are mixed, and
         # then written in more than one run.
-        key = (((bucket << U(bits)) | (of_context >> U(64 - bits))) << U(bits)) | (of_pair >> U(64 - bits))
-        order = np.argsort(key)
+        of_context >>= U(64 - bits)
+        of_pair >>= U(64 - bits)
+        order = np.argsort((((bucket << U(bits)) | of_context) << U(bits)) | of_pair)
+        del of_context, of_pair
         bucket, context, word, text = bucket[order], context[order], word[order], text[order]
+        del order
         edges = begins(bucket)
         for a, b in zip(edges, [*edges[1:], len(bucket)]):
             mine, place = np.unique(text[a:b], return_inverse=True)
@@ -169,8 +173,7 @@ def runs(buckets: int, split: np.ndarray):
             ids, marks = (batch.column(x).to_numpy() for x in ("id", "mark"))
             trains = batch.column("train").to_numpy(zero_copy_only=False)
             for at, stop in chunks(column, RUN):
-                tokens = tokens_of(column[at:stop])
-                rows = written(ids[at:stop], marks[at:stop], trains[at:stop], *tokens)
+                rows = written(ids[at:stop], marks[at:stop], trains[at:stop], column[at:stop])
                 yield pa.RecordBatch.from_pylist(list(rows), schema)
 
     return run
@@ -210,12 +213,13 @@ class Bucket:
         times = np.diff(np.r_[first, len(order)])
         pair[order] = np.repeat(np.arange(len(first), dtype=np.int32), times)
         context, word = context[order[first]], word[order[first]]
-        del key, times
+        del key, times, order
         order = np.argsort(context)
         place = np.empty(len(order), np.int32)
         place[order] = np.arange(len(order), dtype=np.int32)
         self.context, self.word = context[order], word[order]
         self.pair = np.repeat(place[pair], counts)
+        del pair, counts
         self.count = np.bincount(self.pair[trains[self.text]], minlength=len(order))
         self.starts = begins(self.context)
 
@@ -356,8 +360,9 @@ def scorer(words: Words, distinct: int):
         size, alpha = weights(n, seen, below, kept, words)
         of = np.repeat(np.arange(len(context)), np.diff(np.r_[bucket.starts, len(bucket.word)]))
         count = bucket.count
-        share = np.where(count > CUTOFF, 1.0, kept[np.minimum(count, CUTOFF)])
-        p = np.where(count > 0, share * count / size[of], alpha[of] * words.probability(known))
+        share = np.where(count > CUTOFF, 1.0, kept[np.minimum(count, CUTOFF)]) * count / size[of]
+        p = np.log10(np.where(count > 0, share, alpha[of] * words.probability(known)))
+        del of, share
         base = np.log10((known + 0.5) / (words.total + 0.5 * (distinct + 1)))
         rows = len(bucket.ids)
 
@@ -370,7 +375,7 @@ def scorer(words: Words, distinct: int):
             tokens=np.bincount(bucket.text, minlength=rows),
             known=added((known > 0).astype(np.float64)),
             base=added(base),
-            gain=added(np.log10(p)),
+            gain=added(p),
         )
         gains = {name: gains[name].astype(kind) for name, kind in GAINS.items()}
         made = [
