@@ -441,6 +441,15 @@ SELECT count(*) AS mirror_rows, count(*) AS source_rows, CAST(0 AS BIGINT) AS on
 FROM silver_customers""",
     "silver_preview": "SELECT * FROM silver_customers ORDER BY id LIMIT 5",
     "pipeline_cdc": "SELECT * FROM activity",
+    "incremental_log": """
+SELECT topic, kafka_partition, kafka_offset, kafka_timestamp, op, ts_ms, lsn, "before", "after"
+FROM log""",
+    "incremental_mirror": "SELECT * FROM silver_customers",
+    "incremental_activity": "SELECT * FROM activity",
+    "incremental_churn": _CHURN,
+    "positions_held": """
+SELECT topic, kafka_partition, count(*) AS records, max(kafka_offset) AS last_offset
+FROM log GROUP BY 1, 2""",
     "pipeline_churn": _CHURN,
     "rerun_stable": """
 SELECT count(*) AS count_before, count(*) AS count_after, true AS same_content FROM activity""",

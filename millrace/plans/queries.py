@@ -23,13 +23,16 @@ from ..schemas import (
     STRING,
 )
 from ..session import durable, no_rows, workspace
+from ..sources.buckets import BucketedState
 from ..sources.files import append_manifest, list_files, load_manifest, new_files, read_drops
+from ..sources.ledger import held
 from ..sources.records import read_records, stream_records, write_records
 from ..sources.tables import VersionedTables, append_partitioned, overwrite_partitions
 from ..streaming.bronze import bronze_cdc_stream, read_bronze
 from ..streaming.mirror import read_mirror, run_mirror_stream
 from . import cdc as cdc_plan
 from . import trips as trip_plan
+from .incremental import IncrementalCdc, state_schema
 from .ingest import TripIngest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -649,7 +652,7 @@ def mirror_parity(spark, sf_dir):
 def mirror_stream(spark, sf_dir):
     """Bronze streamed and folded in two runs, several micro-batches each."""
     root = workspace(spark, "mirror-stream")
-    tables = _tables(spark)
+    state = BucketedState(spark, f"{root}/state", state_schema(spark, CUSTOMERS), "id", 8)
     records = fx.cdc_records(spark, sf_dir)
     for run in (0, 1):
         write_records(
@@ -661,14 +664,53 @@ def mirror_stream(spark, sf_dir):
         run_mirror_stream(
             spark,
             f"{root}/bronze",
-            tables,
-            "cdc.customer_state",
+            state,
             CUSTOMERS,
             f"{root}/mirror-state",
             max_files=2,
         )
     assert read_bronze(spark, f"{root}/bronze", BRONZE_CDC).schema == BRONZE_CDC
-    return read_mirror(tables, "cdc.customer_state", CUSTOMERS)
+    return read_mirror(state, CUSTOMERS)
+
+
+def _incremental(spark: SparkSession, sf_dir: str) -> IncrementalCdc:
+    """The log in three batches: most of the older half, some that came late with most of the newer
+    half, then all records again with those that were missing."""
+    job = IncrementalCdc(spark, workspace(spark, "incremental"), buckets=8)
+    records = _recorded(spark, sf_dir)
+    half = _half(spark, sf_dir)
+    event = F.floor(F.col("offset") / 2)
+    older, late = event <= half, event % 10 == 0
+    job.run(records.filter(older & ~late))
+    job.run(records.filter(older & (event % 20 == 0) | ~older & ~late))
+    job.run(records)
+    return job
+
+
+@query
+def incremental_log(spark, sf_dir):
+    return _incremental(spark, sf_dir).log()
+
+
+@query
+def incremental_mirror(spark, sf_dir):
+    return _incremental(spark, sf_dir).mirror("customers")
+
+
+@query
+def incremental_activity(spark, sf_dir):
+    return _incremental(spark, sf_dir).activity(fx.AS_OF)
+
+
+@query
+def incremental_churn(spark, sf_dir):
+    return _incremental(spark, sf_dir).churn(fx.AS_OF)
+
+
+@query
+def positions_held(spark, sf_dir):
+    """Records and last offset of each topic partition, by the ledger's bitmaps alone."""
+    return held(_incremental(spark, sf_dir).ledger())
 
 
 def _merged_halves(spark: SparkSession, sf_dir: str) -> VersionedTables:

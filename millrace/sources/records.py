@@ -31,7 +31,10 @@ def stream_records(
 
 
 def write_records(records: DataFrame, path: str) -> None:
-    records.select(*RECORD.names).write.mode("append").json(path)
+    """Times keep their microseconds, which the writer's own format would cut."""
+    records.select(*RECORD.names).write.mode("append").json(
+        path, timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+    )
 
 
 def read_kafka(

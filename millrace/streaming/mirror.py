@@ -6,26 +6,26 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.cdc import fold_state, latest_changes, mirror_rows
 from ..schemas import BRONZE_CDC, Entity
+from ..sources.buckets import BucketedState
 
 
 def run_mirror_stream(
     spark: SparkSession,
     bronze_path: str,
-    tables,
-    name: str,
+    state: BucketedState,
     entity: Entity,
     checkpoint: str,
     max_files: int | None = None,
 ) -> None:
-    """Fold the new bronze events of one entity into its state table, then stop.
+    """Fold the new bronze events of one entity into its state, then stop.
 
-    The state keeps deleted keys, so an older event that comes late cannot bring a row back. A
-    batch that Spark replays after a failure is folded again without effect.
+    A batch reads and writes the buckets that its keys fall in. The state keeps deleted keys, so an
+    older event that comes late cannot bring a row back. A batch that Spark replays after a failure
+    is folded once.
     """
 
     def fold(batch: DataFrame, number: int) -> None:
-        state = tables.read(name) if tables.exists(name) else None
-        tables.replace(name, fold_state(state, latest_changes(batch, entity)), operation="fold")
+        state.fold(latest_changes(batch, entity), number, fold_state)
 
     reader = spark.readStream.schema(BRONZE_CDC)
     if max_files:
@@ -40,5 +40,5 @@ def run_mirror_stream(
     query.awaitTermination()
 
 
-def read_mirror(tables, name: str, entity: Entity) -> DataFrame:
-    return mirror_rows(tables.read(name), entity)
+def read_mirror(state: BucketedState, entity: Entity) -> DataFrame:
+    return mirror_rows(state.read(), entity)
