@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from .operators.trips import encode_records
 from .schemas import CUSTOMERS, DRIVERS, RAW_TRIP_NAMES, RECORD
 
 AS_OF = datetime(2024, 1, 31)
+WEEK = date(1995, 3, 6)
 DAY_MS = 86_400_000
 FIRST_JOINED = datetime(2023, 6, 1)
 

@@ -83,6 +83,24 @@ def quality_report(df: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     return counts.select(F.inline(F.array(*entries)))
 
 
+def rule_metrics(rules: tuple[Rule, ...], shown: list[str]) -> list[Column]:
+    """Aggregates over all rows: how many there are, and of each rule the bad ones and the first of them.
+
+    They need no grouping, so ``observe`` can collect them while the rows are on their way elsewhere.
+    """
+    row = F.struct(*shown)
+    found = [F.count(F.lit(1)).alias("rows")]
+    for rule in rules:
+        found.append(F.count_if(rule.bad).alias(f"{rule.name}.bad"))
+        found.append(F.to_json(F.min(F.when(rule.bad, row))).alias(f"{rule.name}.first"))
+    return found
+
+
+def metric_rows(metrics: dict, rules: tuple[Rule, ...]) -> list[tuple[str, int, str | None]]:
+    """``(rule, bad_rows, first_bad)`` out of what ``rule_metrics`` has found."""
+    return [(r.name, metrics[f"{r.name}.bad"], metrics[f"{r.name}.first"]) for r in rules]
+
+
 def bad_samples(
     df: DataFrame, rules: tuple[Rule, ...], order: list[str], per_rule: int = 3
 ) -> DataFrame:

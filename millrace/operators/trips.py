@@ -168,13 +168,20 @@ def flag_suspicious(df: DataFrame) -> DataFrame:
     )
 
 
-def publishable(typed: DataFrame, zones: DataFrame, ingested_at: datetime | None) -> DataFrame:
+def publishable(
+    typed: DataFrame, zones: DataFrame, ingested_at: datetime | None, counted: bool = False
+) -> DataFrame:
     """Clean trips, deduplicated and enriched, in the published layout with the flag.
 
     All other published columns follow from the dedup key, so the distinct runs on the key alone
-    (hash aggregation on both sides of one shuffle) and the rest is derived after it.
+    (hash aggregation on both sides of one shuffle) and the rest is derived after it. ``counted``
+    adds how many clean rows each one stands for, as ``copies``.
     """
-    unique = clean(typed).select(*PUBLISH_KEY).distinct()
+    keys = clean(typed).select(*PUBLISH_KEY)
+    if counted:
+        unique = keys.groupBy(*PUBLISH_KEY).agg(F.count("*").alias("copies"))
+    else:
+        unique = keys.distinct()
     stamp = F.current_timestamp() if ingested_at is None else F.lit(ingested_at)
     derived = derive(unique).withColumn("ingested_at", stamp.cast("timestamp"))
     named = enrich(

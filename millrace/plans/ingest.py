@@ -1,15 +1,22 @@
-"""Incremental file ingestion: discover, clean, publish by date, record."""
+"""Incremental file ingestion: discover, clean, publish clustered by date, report, record.
+
+The drops are scanned once: rule counts and first offenders are observed on the rows as they go to the
+write, clean and kept rows of each file are counted in what was written, and raw rows are what the
+file footers say.
+"""
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.rules import EXAMPLE_RULES, INGEST_RULES, metric_rows, rule_metrics
 from ..operators.enrich import union_frames
-from ..operators.trips import funnel, normalise, publishable, scan_filter
-from ..schemas import INGEST_ABOVE_ZERO, INGEST_PRESENT, LONG, PUBLISHED_TRIPS, T
+from ..operators.trips import normalise, publishable
+from ..schemas import LONG, PUBLISHED_TRIPS, RAW_TRIP_NAMES, STRING, T, struct
 from ..session import no_rows
 from ..sources.files import (
     append_manifest,
@@ -19,16 +26,35 @@ from ..sources.files import (
     read_drops,
     visible,
 )
-from ..sources.tables import path_exists, write_by
+from ..sources.tables import path_exists, write_clustered
+
+MONTH = "pickup_month"
+CLUSTER = ["pickup_date", "PULocationID", "tpep_pickup_datetime"]
+REPORTED = INGEST_RULES + EXAMPLE_RULES
+REPORT = struct(batch=LONG, rule=STRING, bad_rows=LONG, first_bad=STRING)
+_WRITTEN = T.StructType([*PUBLISHED_TRIPS.fields, T.StructField("copies", LONG)])
+_STORED = T.StructType(
+    [
+        *PUBLISHED_TRIPS.fields,
+        T.StructField(MONTH, STRING),
+        T.StructField("ingest_batch", LONG),
+    ]
+)
+
 
-_STORED = T.StructType([*PUBLISHED_TRIPS.fields, T.StructField("ingest_batch", LONG)])
+def _observed(watch: Observation) -> dict:
+    try:
+        return watch.get
+    except Py4JJavaError:  # there are no metrics
+        return {}
 
 
 class TripIngest:
-    """Files of an inbox to a date-partitioned trip dataset with a manifest.
+    """Files of an inbox to a trip dataset clustered by date, with a report and a manifest.
 
     Each run writes one batch folder and records its files last. A run that dies in between leaves
-    a folder that readers do not see and that the next run replaces.
+    a folder that readers do not see and that the next run replaces. Below a batch there is a folder
+    for each month; dates and zones are found by the statistics of row groups.
     """
 
     def __init__(self, spark: SparkSession, inbox: str, out: str):
@@ -37,6 +63,7 @@ class TripIngest:
         self.trips_path = f"{out}/trips_enriched"
         self.suspicious_path = f"{out}/suspicious_trips"
         self.manifest_path = f"{out}/manifest"
+        self.report_path = f"{out}/reports"
 
     def manifest(self) -> DataFrame:
         return load_manifest(self.spark, self.manifest_path)
@@ -56,43 +83,83 @@ class TripIngest:
         batch = (self.manifest().agg(F.max("batch")).first()[0] or 0) + 1
         drops = read_drops(self.spark, [f.path for f in files])
         typed = union_frames([normalise(drop) for drop in drops])
-        usable = union_frames(
-            [
-                normalise(scan_filter(drop, INGEST_PRESENT, INGEST_ABOVE_ZERO))
-                for drop in drops
-            ]
-        )
-
-        self._write(publishable(usable, zones, at), self.trips_path, batch)
-        written = self.spark.read.schema(PUBLISHED_TRIPS).parquet(
-            f"{self.trips_path}/ingest_batch={batch}"
-        )
-        self._write(written.filter("is_suspicious"), self.suspicious_path, batch)
-        self._record(files, funnel(typed), batch, at)
+        watch = Observation()
+        metrics = rule_metrics(REPORTED, sorted(set(typed.columns) & {*RAW_TRIP_NAMES, "source_file"}))
+        watched = typed.observe(watch, *metrics)
+
+        self._write(publishable(watched, zones, at, counted=True), self.trips_path, batch)
+        folder = f"{self.trips_path}/ingest_batch={batch}"
+        written = self.spark.read.schema(_WRITTEN).parquet(folder)
+        self._write(written.filter("is_suspicious").drop("copies"), self.suspicious_path, batch)
+        counts = self._counts(drops, written)
+        found = _observed(watch)
+        if found.get("rows") != sum(c.raw_row_count for c in counts):
+            # Tasks of the observed stage have run twice, as an executor was lost; or nothing was
+            # left to write, and the plan that ran in the end has lost its metrics.
+            found = typed.agg(*metrics).first().asDict()
+        self._report(metric_rows(found, REPORTED), batch)
+        self._record(files, counts, batch, at)
         return len(files)
 
-    def trips(self) -> DataFrame:
-        """All published trips of recorded files, with the suspicious flag."""
-        return self._read(self.trips_path)
+    def trips(self, since: date | None = None, until: date | None = None) -> DataFrame:
+        """Published trips of recorded files, with the suspicious flag, of all dates or from
+        ``since`` to ``until``."""
+        return self._read(self.trips_path, since, until)
 
-    def suspicious(self) -> DataFrame:
-        return self._read(self.suspicious_path)
+    def suspicious(self, since: date | None = None, until: date | None = None) -> DataFrame:
+        return self._read(self.suspicious_path, since, until)
+
+    def report(self) -> DataFrame:
+        """Bad rows and the first bad row of each rule, for each recorded batch."""
+        if not path_exists(self.spark, self.report_path):
+            return no_rows(self.spark, REPORT)
+        found = self.spark.read.schema(REPORT).json(self.report_path)
+        return found.join(self.manifest().select("batch").distinct(), "batch", "left_semi")
 
     def _write(self, df: DataFrame, path: str, batch: int) -> None:
-        write_by(df, f"{path}/ingest_batch={batch}", ["pickup_date"], "overwrite")
+        month = {MONTH: F.date_format("pickup_date", "yyyy-MM")}
+        write_clustered(df, f"{path}/ingest_batch={batch}", month, CLUSTER)
 
-    def _read(self, path: str) -> DataFrame:
+    def _read(self, path: str, since: date | None, until: date | None) -> DataFrame:
         if not path_exists(self.spark, path):
             return no_rows(self.spark, PUBLISHED_TRIPS)
         stored = self.spark.read.schema(_STORED).parquet(path)
+        if since is not None:
+            stored = stored.filter(
+                (F.col(MONTH) >= f"{since:%Y-%m}") & (F.col("pickup_date") >= F.lit(since))
+            )
+        if until is not None:
+            stored = stored.filter(
+                (F.col(MONTH) <= f"{until:%Y-%m}") & (F.col("pickup_date") <= F.lit(until))
+            )
         return visible(stored, self.manifest()).select(*PUBLISHED_TRIPS.names)
 
-    def _record(self, files: list, counts: DataFrame, batch: int, at: datetime) -> None:
+    def _counts(self, drops: list[DataFrame], written: DataFrame) -> list:
+        """Raw, clean and kept rows of each file; raw ones by a scan of no column."""
+        raw = union_frames([drop.select("source_file") for drop in drops])
+        raw = raw.groupBy("source_file").agg(F.count("*").alias("raw_row_count"))
+        kept = written.groupBy("source_file").agg(
+            F.sum("copies").alias("clean_row_count"),
+            F.count("*").alias("after_dedup_row_count"),
+        )
+        return raw.join(kept, "source_file", "left").collect()
+
+    def _report(self, rows: list, batch: int) -> None:
+        """A batch's own folder, written over where a run before has left one."""
+        made = self.spark.createDataFrame([(batch, *row) for row in rows], REPORT).coalesce(1)
+        made.write.mode("overwrite").option("ignoreNullFields", "false").json(
+            f"{self.report_path}/run={batch}"
+        )
+
+    def _record(self, files: list, counts: list, batch: int, at: datetime) -> None:
         facts = self.spark.createDataFrame(
             [(f.filename, f.size_bytes, f.modified_at) for f in files],
             "filename string, size_bytes long, modified_at timestamp",
         )
-        named = counts.withColumnRenamed("source_file", "filename")
+        named = self.spark.createDataFrame(
+            [tuple(c) for c in counts],
+            "filename string, raw_row_count long, clean_row_count long, after_dedup_row_count long",
+        )
         zero = F.lit(0).cast("long")
         append_manifest(
             facts.join(named, "filename", "left").select(

@@ -358,6 +358,11 @@ SELECT coalesce(CAST("VendorID" AS VARCHAR), '') AS "key", 'taxi-trips' AS topic
   TIMESTAMP '2024-01-01 00:00:00' + to_hours(rec_id % 2) AS kafka_timestamp
 FROM trips_raw""",
     "pipeline_ingest": "SELECT * FROM published",
+    "ingest_report": _REPORT,
+    "ingest_manifest": _FUNNEL,
+    "trips_of_a_week": """
+SELECT * FROM published
+WHERE pickup_date BETWEEN DATE '1995-03-06' AND DATE '1995-03-12'""",
     "pipeline_suspicious": "SELECT * FROM published WHERE is_suspicious",
     "pipeline_trips": "SELECT * FROM hourly",
     "pipeline_payment": "SELECT * FROM mix",

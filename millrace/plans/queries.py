@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -541,6 +542,29 @@ def pipeline_ingest(spark, sf_dir):
     return _ingested(spark, sf_dir, runs=2).trips()
 
 
+@query
+def ingest_report(spark, sf_dir):
+    """Bad rows of each rule over both runs, as observed while the trips were written."""
+    found = _ingested(spark, sf_dir, runs=2).report()
+    return found.groupBy("rule").agg(F.sum("bad_rows").alias("bad_rows"))
+
+
+@query
+def ingest_manifest(spark, sf_dir):
+    """Raw, clean and kept rows of each file, as recorded by the runs."""
+    names = ("raw_row_count", "clean_row_count", "after_dedup_row_count")
+    return _ingested(spark, sf_dir, runs=2).manifest().select(
+        F.col("filename").alias("source_file"), *names
+    )
+
+
+@query
+def trips_of_a_week(spark, sf_dir):
+    """Published trips of seven days, by the clustered layout."""
+    ingest = _ingested(spark, sf_dir, runs=1)
+    return ingest.trips(fx.WEEK, fx.WEEK + timedelta(days=6))
+
+
 @query
 def pipeline_suspicious(spark, sf_dir):
     return _ingested(spark, sf_dir, runs=1).suspicious()

@@ -8,7 +8,7 @@ from __future__ import annotations
 import json
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -298,6 +298,21 @@ def write_by(df: DataFrame, path: str, columns: list[str], mode: str, dynamic: b
     ).partitionBy(*columns).parquet(path)
 
 
+def write_clustered(
+    df: DataFrame, path: str, folder: dict[str, Column], by: list[str], mode: str = "overwrite"
+) -> None:
+    """Write parquet in a few coarse folders, the rows of each file in a narrow range of ``by``.
+
+    Rows are split by range over all of ``by``, so a busy date is spread over several files, and
+    sorted inside: the least and largest values that parquet keeps of each row group then tell a
+    filter on ``by`` which few to read. ``folder`` names the coarse columns and what they hold;
+    they should rise with ``by``, or every task writes to every folder.
+    """
+    wide = df.withColumns(folder)
+    ranged = wide.repartitionByRange(*folder, *by).sortWithinPartitions(*folder, *by)
+    ranged.write.mode(mode).partitionBy(*folder).parquet(path)
+
+
 def append_partitioned(df: DataFrame, path: str, by: str) -> None:
     write_by(df, path, [by], "append")
 

@@ -3,12 +3,15 @@ import glob
 
 import pytest
 from conftest import rows
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from trip_rows import raw, zones
 
-from millrace.plans.ingest import TripIngest
+from millrace.functions.rules import rule_metrics
+from millrace.operators.trips import normalise, publishable
+from millrace.plans.ingest import REPORTED, TripIngest
 from millrace.session import workspace
-from millrace.sources.files import last_run, list_files, load_manifest
+from millrace.sources.files import last_run, list_files, load_manifest, read_drops
 
 AT = dt.datetime(2025, 2, 1)
 
@@ -152,3 +155,86 @@ def test_listing_reads_no_content(spark, inbox):
     inbox.drop("a.parquet", dict())
     plan = list_files(spark, f"{inbox.root}/inbox")._jdf.queryExecution().executedPlan()
     assert "content" not in plan.toString()
+
+
+def test_report_of_a_run(spark, inbox):
+    inbox.drop("a.parquet", dict(trip_distance=0.0), dict(trip_distance=-1.0), dict(fare_amount=1.0))
+    inbox.drop("b.parquet", dict(passenger_count=9.0), dict(fare_amount=1.0), dict(fare_amount=1.0))
+    inbox.run()
+    found = {r.rule: (r.batch, r.bad_rows, r.first_bad) for r in inbox.ingest.report().collect()}
+    assert found["distance_positive"][:2] == (1, 2) and found["bad_distance"][:2] == (1, 2)
+    assert '"source_file":"a.parquet"' in found["distance_positive"][2]
+    assert found["passengers_0_to_8"][:2] == (1, 1) and found["total_not_negative"] == (1, 0, None)
+    kept = rows(inbox.ingest.manifest(), "raw_row_count", "clean_row_count", "after_dedup_row_count")
+    assert kept == [(3, 1, 1), (3, 2, 1)]
+    inbox.drop("c.parquet", dict(trip_distance=0.0))
+    inbox.run()
+    assert rows(inbox.ingest.report().filter("rule = 'bad_distance'"), "batch", "bad_rows") == [
+        (1, 2), (2, 1)
+    ]
+
+
+def test_report_counts_again_when_a_stage_ran_twice(spark, inbox, monkeypatch):
+    inbox.drop("a.parquet", dict(trip_distance=0.0), dict(fare_amount=1.0))
+    real = Observation.get
+
+    def doubled(self):
+        return {k: 2 * v if isinstance(v, int) else v for k, v in real.fget(self).items()}
+
+    monkeypatch.setattr(Observation, "get", property(doubled))
+    inbox.run()
+    assert rows(inbox.ingest.report().filter("rule = 'bad_distance'"), "bad_rows") == [(1,)]
+
+
+def test_drops_are_scanned_once(spark, inbox):
+    inbox.drop("a.parquet", dict(fare_amount=1.0), dict(fare_amount=2.0))
+    [drop] = read_drops(spark, [f"{inbox.root}/inbox/a.parquet"])
+    watched = normalise(drop).observe(Observation(), *rule_metrics(REPORTED, ["fare_amount"]))
+    found = publishable(watched, zones(spark), AT, counted=True)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan parquet") == 1 and "CollectMetrics" in text
+    # Raw rows of a file are counted without any column.
+    raw = drop.groupBy("source_file").count()._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in raw
+
+
+def test_a_date_reads_few_rows(spark, tmp_path):
+    from millrace.sources.tables import write_clustered
+
+    days = spark.range(0, 60_000, 1, 8).select(
+        F.expr("date_add(date'2025-01-01', int(id % 60))").alias("day"),
+        (F.col("id") % 7).alias("zone"),
+        F.col("id").alias("n"),
+    )
+    path = f"{tmp_path}/clustered"
+    month = {"month": F.date_format("day", "yyyy-MM")}
+    write_clustered(days.repartition(5), path, month, ["day", "zone", "n"])
+    folders = sorted(p.split("=")[1] for p in map(str, glob.glob(f"{path}/month=*")))
+    assert folders == ["2025-01", "2025-02", "2025-03"]
+    found = spark.read.parquet(path).filter("month = '2025-02' AND day = date'2025-02-10'")
+    plan = found._jdf.queryExecution().executedPlan()
+    assert found.count() == 1000
+    rows_read = plan.collectLeaves().apply(0)
+    plan.executeCollect()
+    scanned = rows_read.metrics().apply("numOutputRows").value()
+    files = rows_read.metrics().apply("numFiles").value()
+    assert 1000 <= scanned < 20_000 and files <= 6
+
+
+def test_dates_of_a_range(spark, inbox):
+    times = [f"2025-0{m}-{d:02d} 10:00:00" for m in (1, 2, 3) for d in (1, 15)]
+    inbox.drop(
+        "a.parquet",
+        *[
+            dict(
+                tpep_pickup_datetime=dt.datetime.fromisoformat(t),
+                tpep_dropoff_datetime=dt.datetime.fromisoformat(t) + dt.timedelta(minutes=9),
+            )
+            for t in times
+        ],
+    )
+    inbox.run()
+    since, until = dt.date(2025, 1, 15), dt.date(2025, 2, 15)
+    found = rows(inbox.ingest.trips(since, until), "pickup_date")
+    assert [r[0] for r in found] == [dt.date(2025, 1, 15), dt.date(2025, 2, 1), dt.date(2025, 2, 15)]
+    assert inbox.ingest.trips(until=dt.date(2024, 12, 31)).count() == 0
