@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..schemas import MONEY_COLUMNS
@@ -83,22 +83,45 @@ def quality_report(df: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     return counts.select(F.inline(F.array(*entries)))
 
 
-def rule_metrics(rules: tuple[Rule, ...], shown: list[str]) -> list[Column]:
-    """Aggregates over all rows: how many there are, and of each rule the bad ones and the first of them.
+def rule_metrics(rules: tuple[Rule, ...], examples: tuple[Rule, ...] = ()) -> list[Column]:
+    """Aggregates over ``marked`` rows: how many there are, of each rule the bad ones, and one bad
+    row of each of ``examples``, which are copied for every row and so should be few.
 
     They need no grouping, so ``observe`` can collect them while the rows are on their way elsewhere.
+    Which bad row is the example is not fixed; ``bad_samples`` has an order.
     """
-    row = F.struct(*shown)
     found = [F.count(F.lit(1)).alias("rows")]
-    for rule in rules:
-        found.append(F.count_if(rule.bad).alias(f"{rule.name}.bad"))
-        found.append(F.to_json(F.min(F.when(rule.bad, row))).alias(f"{rule.name}.first"))
+    for place, rule in enumerate(rules):
+        bad = F.getbit("_bad", F.lit(place)) == 1
+        found.append(F.count_if(bad).alias(f"{rule.name}.bad"))
+        if rule in examples:
+            example = F.first(F.when(bad, F.col("_row")), ignorenulls=True)
+            found.append(F.to_json(example).alias(f"{rule.name}.example"))
     return found
 
 
+def marked(df: DataFrame, rules: tuple[Rule, ...], shown: list[str]) -> DataFrame:
+    """Rows with a bit for each rule that they break (63 at most), and what an example shows."""
+    bits = [F.when(r.bad, F.lit(1 << n)).otherwise(F.lit(0)) for n, r in enumerate(rules)]
+    broken = reduce(lambda a, b: a.bitwiseOR(b), [b.cast("long") for b in bits])
+    return df.select("*", broken.alias("_bad"), F.struct(*shown).alias("_row"))
+
+
+def observed(
+    df: DataFrame,
+    watch: Observation,
+    rules: tuple[Rule, ...],
+    examples: tuple[Rule, ...],
+    shown: list[str],
+) -> DataFrame:
+    """The same rows; ``watch`` has their ``rule_metrics`` once they have been written."""
+    metrics = rule_metrics(rules, examples)
+    return marked(df, rules, shown).observe(watch, *metrics).drop("_bad", "_row")
+
+
 def metric_rows(metrics: dict, rules: tuple[Rule, ...]) -> list[tuple[str, int, str | None]]:
-    """``(rule, bad_rows, first_bad)`` out of what ``rule_metrics`` has found."""
-    return [(r.name, metrics[f"{r.name}.bad"], metrics[f"{r.name}.first"]) for r in rules]
+    """``(rule, bad_rows, example)`` out of what ``rule_metrics`` has found."""
+    return [(r.name, metrics[f"{r.name}.bad"], metrics.get(f"{r.name}.example")) for r in rules]
 
 
 def bad_samples(

@@ -1,6 +1,6 @@
 """Incremental file ingestion: discover, clean, publish clustered by date, report, record.
 
-The drops are scanned once: rule counts and first offenders are observed on the rows as they go to the
+The drops are scanned once: rule counts and examples are observed on the rows as they go to the
 write, clean and kept rows of each file are counted in what was written, and raw rows are what the
 file footers say.
 """
@@ -13,7 +13,14 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.rules import EXAMPLE_RULES, INGEST_RULES, metric_rows, rule_metrics
+from ..functions.rules import (
+    EXAMPLE_RULES,
+    INGEST_RULES,
+    marked,
+    metric_rows,
+    observed,
+    rule_metrics,
+)
 from ..operators.enrich import union_frames
 from ..operators.trips import normalise, publishable
 from ..schemas import LONG, PUBLISHED_TRIPS, RAW_TRIP_NAMES, STRING, T, struct
@@ -28,15 +35,15 @@ from ..sources.files import (
 )
 from ..sources.tables import path_exists, write_clustered
 
-MONTH = "pickup_month"
+YEAR = "pickup_year"
 CLUSTER = ["pickup_date", "PULocationID", "tpep_pickup_datetime"]
 REPORTED = INGEST_RULES + EXAMPLE_RULES
-REPORT = struct(batch=LONG, rule=STRING, bad_rows=LONG, first_bad=STRING)
+REPORT = struct(batch=LONG, rule=STRING, bad_rows=LONG, example=STRING)
 _WRITTEN = T.StructType([*PUBLISHED_TRIPS.fields, T.StructField("copies", LONG)])
 _STORED = T.StructType(
     [
         *PUBLISHED_TRIPS.fields,
-        T.StructField(MONTH, STRING),
+        T.StructField(YEAR, STRING),
         T.StructField("ingest_batch", LONG),
     ]
 )
@@ -54,7 +61,7 @@ class TripIngest:
 
     Each run writes one batch folder and records its files last. A run that dies in between leaves
     a folder that readers do not see and that the next run replaces. Below a batch there is a folder
-    for each month; dates and zones are found by the statistics of row groups.
+    for each year; dates and zones are found by the statistics of row groups.
     """
 
     def __init__(self, spark: SparkSession, inbox: str, out: str):
@@ -84,8 +91,8 @@ class TripIngest:
         drops = read_drops(self.spark, [f.path for f in files])
         typed = union_frames([normalise(drop) for drop in drops])
         watch = Observation()
-        metrics = rule_metrics(REPORTED, sorted(set(typed.columns) & {*RAW_TRIP_NAMES, "source_file"}))
-        watched = typed.observe(watch, *metrics)
+        shown = [name for name in [*RAW_TRIP_NAMES, "source_file"] if name in typed.columns]
+        watched = observed(typed, watch, REPORTED, EXAMPLE_RULES, shown)
 
         self._write(publishable(watched, zones, at, counted=True), self.trips_path, batch)
         folder = f"{self.trips_path}/ingest_batch={batch}"
@@ -96,7 +103,8 @@ class TripIngest:
         if found.get("rows") != sum(c.raw_row_count for c in counts):
             # Tasks of the observed stage have run twice, as an executor was lost; or nothing was
             # left to write, and the plan that ran in the end has lost its metrics.
-            found = typed.agg(*metrics).first().asDict()
+            rows = marked(typed, REPORTED, shown)
+            found = rows.agg(*rule_metrics(REPORTED, EXAMPLE_RULES)).first().asDict()
         self._report(metric_rows(found, REPORTED), batch)
         self._record(files, counts, batch, at)
         return len(files)
@@ -110,15 +118,15 @@ class TripIngest:
         return self._read(self.suspicious_path, since, until)
 
     def report(self) -> DataFrame:
-        """Bad rows and the first bad row of each rule, for each recorded batch."""
+        """Bad rows of each rule for each recorded batch, and an example of the shown faults."""
         if not path_exists(self.spark, self.report_path):
             return no_rows(self.spark, REPORT)
         found = self.spark.read.schema(REPORT).json(self.report_path)
         return found.join(self.manifest().select("batch").distinct(), "batch", "left_semi")
 
     def _write(self, df: DataFrame, path: str, batch: int) -> None:
-        month = {MONTH: F.date_format("pickup_date", "yyyy-MM")}
-        write_clustered(df, f"{path}/ingest_batch={batch}", month, CLUSTER)
+        year = {YEAR: F.date_format("pickup_date", "yyyy")}
+        write_clustered(df, f"{path}/ingest_batch={batch}", year, CLUSTER)
 
     def _read(self, path: str, since: date | None, until: date | None) -> DataFrame:
         if not path_exists(self.spark, path):
@@ -126,11 +134,11 @@ class TripIngest:
         stored = self.spark.read.schema(_STORED).parquet(path)
         if since is not None:
             stored = stored.filter(
-                (F.col(MONTH) >= f"{since:%Y-%m}") & (F.col("pickup_date") >= F.lit(since))
+                (F.col(YEAR) >= f"{since:%Y}") & (F.col("pickup_date") >= F.lit(since))
             )
         if until is not None:
             stored = stored.filter(
-                (F.col(MONTH) <= f"{until:%Y-%m}") & (F.col("pickup_date") <= F.lit(until))
+                (F.col(YEAR) <= f"{until:%Y}") & (F.col("pickup_date") <= F.lit(until))
             )
         return visible(stored, self.manifest()).select(*PUBLISHED_TRIPS.names)
 

@@ -7,7 +7,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from trip_rows import raw, zones
 
-from millrace.functions.rules import rule_metrics
+from millrace.functions.rules import observed
 from millrace.operators.trips import normalise, publishable
 from millrace.plans.ingest import REPORTED, TripIngest
 from millrace.session import workspace
@@ -161,9 +161,9 @@ def test_report_of_a_run(spark, inbox):
     inbox.drop("a.parquet", dict(trip_distance=0.0), dict(trip_distance=-1.0), dict(fare_amount=1.0))
     inbox.drop("b.parquet", dict(passenger_count=9.0), dict(fare_amount=1.0), dict(fare_amount=1.0))
     inbox.run()
-    found = {r.rule: (r.batch, r.bad_rows, r.first_bad) for r in inbox.ingest.report().collect()}
+    found = {r.rule: (r.batch, r.bad_rows, r.example) for r in inbox.ingest.report().collect()}
     assert found["distance_positive"][:2] == (1, 2) and found["bad_distance"][:2] == (1, 2)
-    assert '"source_file":"a.parquet"' in found["distance_positive"][2]
+    assert '"source_file":"a.parquet"' in found["bad_distance"][2]
     assert found["passengers_0_to_8"][:2] == (1, 1) and found["total_not_negative"] == (1, 0, None)
     kept = rows(inbox.ingest.manifest(), "raw_row_count", "clean_row_count", "after_dedup_row_count")
     assert kept == [(3, 1, 1), (3, 2, 1)]
@@ -189,7 +189,7 @@ def test_report_counts_again_when_a_stage_ran_twice(spark, inbox, monkeypatch):
 def test_drops_are_scanned_once(spark, inbox):
     inbox.drop("a.parquet", dict(fare_amount=1.0), dict(fare_amount=2.0))
     [drop] = read_drops(spark, [f"{inbox.root}/inbox/a.parquet"])
-    watched = normalise(drop).observe(Observation(), *rule_metrics(REPORTED, ["fare_amount"]))
+    watched = observed(normalise(drop), Observation(), REPORTED, (), ["fare_amount"])
     found = publishable(watched, zones(spark), AT, counted=True)
     text = found._jdf.queryExecution().executedPlan().toString()
     assert text.count("FileScan parquet") == 1 and "CollectMetrics" in text
