@@ -358,6 +358,10 @@ SELECT coalesce(CAST("VendorID" AS VARCHAR), '') AS "key", 'taxi-trips' AS topic
   TIMESTAMP '2024-01-01 00:00:00' + to_hours(rec_id % 2) AS kafka_timestamp
 FROM trips_raw""",
     "pipeline_ingest": "SELECT * FROM published",
+    "silver_stream": "SELECT * EXCLUDE (trip_id) FROM silver",
+    "hourly_stream": """
+SELECT * FROM hourly
+WHERE hour + INTERVAL 3 HOUR <= (SELECT max(pickup_datetime) FROM silver)""",
     "ingest_report": _REPORT,
     "ingest_manifest": _FUNNEL,
     "trips_of_a_week": """

@@ -31,6 +31,7 @@ from ..sources.records import read_records, stream_records, write_records
 from ..sources.tables import VersionedTables, append_partitioned, overwrite_partitions
 from ..streaming.bronze import bronze_cdc_stream, read_bronze
 from ..streaming.mirror import read_mirror, run_mirror_stream
+from ..streaming.silver import write_hourly, write_silver
 from . import cdc as cdc_plan
 from . import trips as trip_plan
 from .incremental import IncrementalCdc, state_schema
@@ -589,6 +590,32 @@ def bronze_stream_availablenow(spark, sf_dir):
     return _streamed_bronze(spark, sf_dir).drop("value")
 
 
+@query
+def silver_stream(spark, sf_dir):
+    """Messages streamed to silver in two runs of one checkpoint; the second brings the copies."""
+    root = workspace(spark, "silver-stream")
+    records, lookup = fx.trip_records(spark, sf_dir), fx.zones(spark, sf_dir)
+    for run in (0, 1):
+        write_records(records.filter(F.col("offset") % 2 == run), f"{root}/records")
+        messages = stream_records(spark, f"{root}/records", ["taxi-trips"])
+        bronze = messages.select(*trips.record_columns())
+        write_silver(bronze, lookup, f"{root}/silver", f"{root}/state")
+    return spark.read.parquet(f"{root}/silver").drop("kafka_timestamp")
+
+
+@query
+def hourly_stream(spark, sf_dir):
+    """Closed hours of silver trips that come in two runs, in the order of their dates."""
+    root = workspace(spark, "hourly-stream")
+    silver = durable(_silver(spark, sf_dir), "silver")
+    for run in (True, False):
+        part = silver.filter((F.col("pickup_datetime") < F.lit(fx.WEEK)) == run)
+        part.write.mode("append").parquet(f"{root}/silver")
+        arriving = spark.readStream.schema(silver.schema).parquet(f"{root}/silver")
+        write_hourly(arriving, f"{root}/hourly", f"{root}/state")
+    return spark.read.parquet(f"{root}/hourly")
+
+
 def _trip_gold(spark: SparkSession, sf_dir: str) -> VersionedTables:
     tables = _tables(spark)
     bronze = _streamed_bronze(spark, sf_dir)
