@@ -100,7 +100,6 @@ def token_pieces(path: str, length: int, end: int):
                 yield pa.record_batch(
                     [pa.array(c, t) for c, t in zip(columns, PIECES.types)], schema=PIECES
                 )
-        cache.empty()
 
     return run
 

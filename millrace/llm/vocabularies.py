@@ -2,8 +2,8 @@
 
 A unit is a piece of text whose tokens do not depend on what stands around it. Units repeat far more
 often than texts do, so most of a text costs one lookup for each unit, and only new units are
-encoded. The cache lives in one Python worker, holds at most ``UNITS`` units, and is emptied when
-full: that costs time, never results.
+encoded. The cache lives in one Python worker and goes from one of its tasks to the next. It holds about
+``UNITS`` units and is emptied when full: that costs time, never results.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from itertools import chain
 
 import numpy as np
 
-UNITS = 300_000
+UNITS = 600_000
 
 
 def vocabulary(name_or_path: str) -> str:
