@@ -70,7 +70,19 @@ def durable(df: DataFrame, purpose: str = "stage") -> DataFrame:
     """Cut the lineage with a written table, so that a lost executor cannot change the rows."""
     path = workspace(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found._durable_path = path
+    return found
+
+
+def discard(*stages: DataFrame) -> None:
+    """Delete what ``durable`` has written, once all that follows from it is written itself."""
+    for stage in stages:
+        path = getattr(stage, "_durable_path", None)
+        if path:
+            hadoop = stage.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            files = hadoop.getFileSystem(stage.sparkSession._jsc.hadoopConfiguration())
+            files.delete(hadoop, True)
 
 
 def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
