@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import durable
+from ..session import discard, durable
 from .textkit import (
     SPACES,
     U,
@@ -500,8 +500,11 @@ def answer(texts: pa.Table, scores: pa.Table) -> pa.Table:
     return pa.table([pa.array(found[n], k) for n, k in zip(found, kinds)], names=list(found))
 
 
-def gram_scores(counts: DataFrame) -> DataFrame:
-    """Counts of 4-grams -> ``lang, context, symbol, score``: log probabilities without own grams."""
+def gram_scores(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Counts of 4-grams -> ``lang, context, symbol, score``: log probabilities without own grams.
+
+    ``counts`` is discarded. Also the stage that holds the scores.
+    """
     levels = {ORDER: counts}
     for level in range(ORDER - 1, 0, -1):
         shorter = F.col("context").bitwiseAND(F.lit((1 << (WIDE * (level - 1))) - 1))
@@ -516,7 +519,7 @@ def gram_scores(counts: DataFrame) -> DataFrame:
             f"grams{level}",
         )
     # All symbols that a language has are alike at first, and so is one that it has not.
-    lower = None
+    lower, consumed = None, []
     sizes = levels[1].groupBy("lang").agg((1 / (F.count("*") + 1.0)).alias("q"))
     for level in range(1, ORDER + 1):
         times = [F.sum((F.col("n") == k).cast("double")).alias(f"t{k}") for k in (1, 2, 3, 4)]
@@ -564,12 +567,17 @@ def gram_scores(counts: DataFrame) -> DataFrame:
         made = durable(
             below.select("lang", "context", "symbol", p.alias("q"), score.alias("s")), f"level{level}"
         )
+        discard(levels[level], *consumed)
+        consumed = [made]
         lower = made.withColumnRenamed("context", "rest")
-    return made.select("lang", "context", "symbol", F.col("s").alias("score"))
+    return made.select("lang", "context", "symbol", F.col("s").alias("score")), made
 
 
-def perplexities(rows: DataFrame, n_bytes: int) -> DataFrame:
-    """``h, g, log_perplexity`` of each different text; ``rows`` has lang, text and their hashes."""
+def perplexities(rows: DataFrame, n_bytes: int) -> tuple[DataFrame, list[DataFrame]]:
+    """``h, g, log_perplexity`` of each different text; ``rows`` has lang, text and their hashes.
+
+    Also the stages to discard once that is written.
+    """
     n = max(1, round(n_bytes / CHUNK))
     texts = durable(
         rows.filter("text <> ''")
@@ -593,12 +601,14 @@ def perplexities(rows: DataFrame, n_bytes: int) -> DataFrame:
     asked = texts.select("chunk", "lang", "text").mapInArrow(
         rested(ask), "chunk long, lang string, context long, symbol long"
     )
-    scores = asked.join(gram_scores(counts), ["lang", "context", "symbol"])
-    return (
+    scored, last = gram_scores(counts)
+    scores = asked.join(scored, ["lang", "context", "symbol"])
+    found = (
         texts.groupBy("chunk")
         .cogroup(scores.groupBy("chunk"))
         .applyInArrow(rested(answer), "h long, g long, log_perplexity double")
     )
+    return found, [texts, last]
 
 
 def quality(documents: DataFrame, spread: float = SPREAD, least: float = LEAST) -> DataFrame:
@@ -609,10 +619,11 @@ def quality(documents: DataFrame, spread: float = SPREAD, least: float = LEAST)
     ).select("*", F.xxhash64("lang", "text").alias("h"), F.xxhash64("text", "lang").alias("g"))
     counted = durable(rows.mapInArrow(rested(judge), JUDGED_ROWS), "counted")
     n_bytes = counted.agg(F.sum("n_bytes")).first()[0] or 0
+    scores, consumed = perplexities(rows, n_bytes)
     judged = durable(
-        counted.drop("n_bytes").join(perplexities(rows, n_bytes), ["h", "g"], "left").drop("h", "g"),
-        "judged",
+        counted.drop("n_bytes").join(scores, ["h", "g"], "left").drop("h", "g"), "judged"
     )
+    discard(counted, *consumed)
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")
     )
