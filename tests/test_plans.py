@@ -79,6 +79,8 @@ def test_small_changes_leave_the_target_unshuffled(spark):
 
 # Queries that write and read tables: their last plan is a plain scan.
 STORED = ("pipeline", "table", "partition", "bronze", "mirror", "read_", "rollback", "rerun", "op")
+STORED += ("incremental", "positions", "ingest_report", "ingest_manifest", "trips_of", "silver_stream")
+STORED += ("hourly_stream",)
 STORED += ("manifest", "new_files", "source_tagged", "schema_", "hourly_by", "silver_customers_m")
 
 
