@@ -76,7 +76,7 @@ def test_fewer_rows_than_wanted_and_empty(spark):
 
 
 def test_query_keeps_to_valid_rows(spark, tmp_path):
-    good = [(i, [float(i % 5), 1.0], i % 2) for i in range(0, 300, 10)]
+    good = [(i, [i // 10 % 7 + 1.0, 1.0], i // 10 % 2) for i in range(0, 300, 10)]
     bad = [
         (401, [None, 1.0], 1),
         (402, None, 1),
