@@ -3,7 +3,9 @@ r"""Quality rules: counts of each text, and a perplexity band for each language.
 The language model is an interpolated modified Kneser-Ney model of order 4 over code points as they
 are: nothing is folded, so what is counted grows with the corpus. It is never in one place. Each
 different text is counted once, by Spark: tasks count their own n-grams, one shuffle adds them up,
-and continuation counts, discounts and back-off weights are grouped and joined from those.
+and continuation counts, discounts and back-off weights are grouped and joined from those. The model
+learns from plain texts only, those whose share of ``MARKS`` is at most ``FEW_MARKS`` or ``MEDIANS`` times
+their language's median; grams that no plain text has are there, with a count of zero, and are scored by backing off.
 
 Every gram carries the smallest and the largest number of a text that has it. Where both are one, only
 that text has shown the gram, and its score is that of a gram never seen: the context's back-off
@@ -11,32 +13,36 @@ weight and the score of the next shorter gram, for which the same holds. So the
 one number, the same for every text that asks for it, and no text is scored by what only it has shown,
 however many copies it has.
 
-Different texts are dealt by hash into chunks of about ``CHUNK`` bytes. A chunk asks for each of its
-grams once; scores are joined to those by gram and come back to the chunk, which looks them up in
-arrays sorted by hash. Discounts and bands, a row for each language, are the only things broadcast.
+Texts are not dealt out to be counted. A bitmap of ``BITS`` bits, whatever the input, marks the hashes
+of texts that stand in several rows, and of a few others; only marked texts travel, so that one of each is
+counted, and all others are counted where they are read.
+
+For the scores, rows that stand together in a file are a chunk of about ``CHUNK`` bytes. Rows of 16, 256, ...
+times the mean length have chunks of fewer rows, so none has more than 16 times that. A chunk asks for
+each of its grams once; scores are joined to those by gram and come back to the chunk's rows, which travel
+once, compressed, and look them up in arrays sorted by hash. Discounts and bands, a row for each
+language, limits of marks and the bitmap are the only things broadcast. Stages are deleted once the next is written.
 
 A text's score is the logarithm of its perplexity. In each language the quartiles of all different
-scores (copies count once, so no group of copies can move them) set the band: ``SPREAD`` times the
+scores of plain texts (copies count once, so no group of copies can move them) set the band: ``SPREAD`` times the
 distance from median to quartile, ``LEAST`` at least, on either side. What lies above is noise, what
 lies below repeats itself.
 
-``train`` and ``Model`` are the same model over 64 folded symbols, small enough for one process. No
-query uses them; a test sums up their probabilities.
-
 Defined cases: a null text has no words and fails the base rules; a null language is a language of
-its own; a text without a symbol has no score and is judged by the base rules alone; repeated rows
-are judged each; other columns take no part; an empty table gives no rows.
+its own; a text without a symbol has no score and is judged by the base rules alone, as is one of a
+language without plain texts; repeated rows are judged each; other columns take no part; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import discard, durable
 from .textkit import (
@@ -57,236 +63,27 @@ SPREAD = 8.0
 LEAST = 0.9
 NO_LANGUAGE = ""
 #: Text bytes of a chunk, and bits of a code point.
-CHUNK = 4_000_000
+CHUNK = 16_000_000
 WIDE = 21
+#: Bits of the map of copied texts, and grams that a task holds before it passes them on.
+BITS = 1 << 24
+HELD = 2_000_000
 MIN_WORDS = 10
 REPEAT_WINDOW = 5
 MOST_REPEATED = 20  # per cent of all words
 MARKS = b"#*$%&|<>"
-
-
-def symbols() -> np.ndarray:
-    """The symbol of each byte: 0 before a text, 1 white space, 2-27 letters, 28-33 other ASCII."""
-    table = np.full(256, 33, np.uint8)
-    table[SPACES] = 1
-    for letter in range(26):
-        table[[65 + letter, 97 + letter]] = 2 + letter
-    table[48:58] = 28
-    table[ord(".")], table[ord(",")] = 29, 30
-    table[list(MARKS)] = 31
-    table[[ord("'"), ord('"')]] = 32
-    table[0x80:] = 34 + np.arange(128) % 30
-    return table
-
-
-SYMBOLS = symbols()
+FEW_MARKS = 0.01
+MEDIANS = 2.0
 IS_MARK = np.zeros(256, bool)
 IS_MARK[list(MARKS)] = True
 
 
-def ngrams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """The 4-gram that ends at each byte, 6 bits a symbol; texts begin after three zeros."""
-    sizes = np.diff(offsets)
-    place = np.arange(len(data)) + (ORDER - 1) * (np.repeat(np.arange(len(sizes)), sizes) + 1)
-    padded = np.zeros(len(data) + (ORDER - 1) * len(sizes), np.uint32)
-    padded[place] = SYMBOLS[data]
-    code = padded[place]
-    for back in range(1, ORDER):
-        code |= padded[place - back] << np.uint32(6 * back)
-    return code
-
-
 def by_language(batch: pa.RecordBatch):
     languages = batch.column("lang").fill_null(NO_LANGUAGE)
     for language in pc.unique(languages).to_pylist():
         yield language, batch.filter(pc.equal(languages, language))
 
 
-def count_ngrams(batches):
-    """Language, 4-gram and how often this task has seen it."""
-    seen: dict[str, list] = {}
-
-    def add(parts: list) -> tuple[np.ndarray, np.ndarray]:
-        codes, counts = (np.concatenate(x) for x in zip(*parts))
-        order = np.argsort(codes, kind="stable")
-        codes = codes[order]
-        edges = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
-        return codes[edges], np.add.reduceat(counts[order], edges)
-
-    for batch in batches:
-        for language, rows in by_language(batch):
-            column = filled(rows.column("text"))
-            for at, stop in chunks(column):
-                found = np.unique(ngrams(*text_bytes(column[at:stop])), return_counts=True)
-                if len(found[0]):
-                    parts = seen.setdefault(language, [])
-                    parts.append(found)
-                    if len(parts) > 15:
-                        seen[language] = [add(parts)]
-    for language, parts in seen.items():
-        codes, counts = add(parts)
-        for at in range(0, len(codes), 100_000):
-            part = slice(at, at + 100_000)
-            n = len(codes[part])
-            yield pa.record_batch(
-                [
-                    pa.array([language] * n),
-                    pa.array(codes[part].astype(np.int32)),
-                    pa.array(counts[part].astype(np.int64)),
-                ],
-                names=["lang", "gram", "n"],
-            )
-
-
-def kneser_ney(counts: DataFrame) -> DataFrame:
-    """4-gram counts -> ``lang, level, gram, logp, backoff, n`` of all orders.
-
-    Below the highest order a gram counts once for each different symbol before it. ``backoff`` is
-    the logarithm of the weight that the gram, as a context, gives to the next lower order.
-    """
-    levels = {ORDER: counts}
-    for level in range(ORDER - 1, 0, -1):
-        shorter = F.col("gram").bitwiseAND(F.lit((1 << (6 * level)) - 1)).alias("gram")
-        levels[level] = levels[level + 1].groupBy("lang", shorter).agg(F.count("*").alias("n"))
-
-    made: dict[int, DataFrame] = {}
-    weights: dict[int, DataFrame] = {}
-    for level in range(1, ORDER + 1):
-        times = [F.sum((F.col("n") == k).cast("double")).alias(f"t{k}") for k in (1, 2, 3, 4)]
-        y = F.expr("CASE WHEN t1 + 2 * t2 > 0 THEN t1 / (t1 + 2 * t2) ELSE 0.5 END")
-        discount = [
-            F.when(F.col(f"t{k}") > 0, k - (k + 1) * y * F.col(f"t{k + 1}") / F.col(f"t{k}"))
-            for k in (1, 2, 3)
-        ]
-        # Few grams can give a discount outside what a count of 1, 2 or 3 can spare.
-        discounts = levels[level].groupBy("lang").agg(*times).select(
-            "lang",
-            *[
-                F.greatest(F.lit(0.1), F.least(F.coalesce(d, F.lit(k / 2)), F.lit(k - 0.1))).alias(
-                    f"d{k}"
-                )
-                for k, d in zip((1, 2, 3), discount)
-            ],
-        )
-        context = Window.partitionBy("lang", "context")
-        n = F.col("n")
-        d = F.when(n == 1, F.col("d1")).when(n == 2, F.col("d2")).otherwise(F.col("d3"))
-        grams = (
-            levels[level]
-            .join(F.broadcast(discounts), "lang")
-            .select("lang", "gram", F.expr("gram >> 6").alias("context"), "n", d.alias("d"))
-            .select(
-                "*",
-                F.sum("n").over(context).alias("total"),
-                F.sum("d").over(context).alias("spared"),
-            )
-        )
-        share, own = F.col("spared") / F.col("total"), (F.col("n") - F.col("d")) / F.col("total")
-        weights[level - 1] = grams.select(
-            "lang", F.col("context").alias("gram"), F.log(share).alias("backoff")
-        ).distinct()
-        if level == 1:
-            made[1] = grams.select("lang", "gram", "n", (own + share / 64).alias("p"))
-        else:
-            rest = F.col("gram").bitwiseAND(F.lit((1 << (6 * (level - 1))) - 1))
-            lower = made[level - 1].select("lang", F.col("gram").alias("rest"), F.col("p").alias("q"))
-            made[level] = (
-                grams.withColumn("rest", rest)
-                .join(lower, ["lang", "rest"])
-                .select("lang", "gram", "n", (own + share * F.col("q")).alias("p"))
-            )
-        made[level] = durable(made[level], f"level{level}")
-    # The empty gram: all symbols alike, and its weight for those that a language has never had.
-    rows = weights[0].select(
-        "lang",
-        F.lit(0).alias("level"),
-        "gram",
-        F.lit(-math.log(64)).alias("logp"),
-        "backoff",
-        F.lit(0).cast("long").alias("n"),
-    )
-    for level, grams in made.items():
-        of = grams.select("lang", "gram", F.log("p").alias("logp"), "n")
-        if level in weights:
-            # Some contexts are never grams themselves: nothing precedes a text's beginning.
-            of = of.join(weights[level], ["lang", "gram"], "full")
-        else:
-            of = of.withColumn("backoff", F.lit(None).cast("double"))
-        n = F.coalesce("n", F.lit(0)) if level == ORDER else F.lit(0).cast("long")
-        of = of.select(
-            "lang", F.lit(level).alias("level"), "gram", "logp", "backoff", n.alias("n")
-        )
-        rows = rows.unionByName(of)
-    return rows
-
-
-class Model:
-    """Sorted hashes of all n-grams with their log probabilities and back-off weights."""
-
-    def __init__(self, rows: pa.Table):
-        languages = rows.column("lang").to_pylist()
-        self.languages = {x: i for i, x in enumerate(sorted(set(languages)))}
-        language = np.array([self.languages[x] for x in languages], np.uint64)
-        level = rows.column("level").to_numpy().astype(np.uint64)
-        keys = self.key(language, level, rows.column("gram").to_numpy().astype(np.uint64))
-        order = np.argsort(keys)
-        self.keys = keys[order]
-        self.logp = rows.column("logp").to_numpy(zero_copy_only=False).astype(np.float32)[order]
-        self.count = rows.column("n").to_numpy(zero_copy_only=False)[order].astype(np.float32)
-        self.backoff = np.nan_to_num(rows.column("backoff").to_numpy(zero_copy_only=False))[
-            order
-        ].astype(np.float32)
-
-    @staticmethod
-    def key(language, level, gram) -> np.ndarray:
-        return mixed((language << U(28)) | (level << U(25)) | gram)
-
-    def find(self, language: int, level: int, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        keys = self.key(U(language), U(level), grams.astype(np.uint64))
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return at, self.keys[at] == keys
-
-    def logps(self, language: str, grams: np.ndarray, top: int = ORDER) -> np.ndarray:
-        """Log probability of the last symbol of each gram of order ``top`` after the others."""
-        own = self.languages[language]
-        found = np.zeros(len(grams), np.float32)
-        open_ = np.arange(len(grams))
-        for level in range(top, 0, -1):
-            short = grams[open_] & np.uint32((1 << (6 * level)) - 1)
-            at, known = self.find(own, level, short)
-            known &= ~np.isnan(self.logp[at])
-            found[open_[known]] += self.logp[at[known]]
-            open_, short = open_[~known], short[~known]
-            if not len(open_):
-                return found
-            at, known = self.find(own, level - 1, short >> np.uint32(6))
-            found[open_[known]] += self.backoff[at[known]]
-        found[open_] += np.float32(-np.log(64))
-        return found
-
-    def scores(self, language: str, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Minus the mean log probability of each text; not a number where it has no symbol.
-
-        The text itself is in the counts. A 4-gram that the corpus has only from this text is
-        taken as one that the model has never seen.
-        """
-        sizes = np.diff(offsets)
-        text = np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes)
-        pairs, times = np.unique((text << U(24)) | ngrams(data, offsets), return_counts=True)
-        text, grams = (pairs >> U(24)).astype(np.int64), (pairs & U(0xFFFFFF)).astype(np.uint32)
-        different, which = np.unique(grams, return_inverse=True)
-        own = self.languages[language]
-        at, known = self.find(own, ORDER, different)
-        count = np.where(known, self.count[at], 0)
-        at, known = self.find(own, ORDER - 1, different >> np.uint32(6))
-        weight = np.where(known, self.backoff[at], np.float32(0))
-        seen = self.logps(language, different)
-        unseen = weight + self.logps(language, different, ORDER - 1)
-        logp = np.where(times >= count[which], unseen[which], seen[which])
-        sums = np.bincount(text, logp.astype(np.float64) * times, minlength=len(sizes))
-        return np.where(sizes > 0, -sums / np.maximum(sizes, 1), np.nan)
-
-
 def per_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.diff(np.r_[0, np.cumsum(flags, dtype=np.int64)][offsets])
 
@@ -316,53 +113,81 @@ def repeated_words(words) -> np.ndarray:
     return covered[words.first[1:]] - covered[words.first[:-1]]
 
 
-def judge(batches):
-    for batch in batches:
-        column = filled(batch.column("text"))
-        for at, stop in chunks(column):
-            part = column[at:stop]
-            data, offsets = text_bytes(part)
-            words = words_of(data, offsets)
-            chars = ~SPACES[data] & ((data & 0xC0) != 0x80)
-            yield pa.record_batch(
-                [
-                    *[batch.column(n)[at:stop] for n in ("doc_id", "lang", "h", "g")],
-                    pa.array(words.counts.astype(np.int64)),
-                    pa.array(per_text(chars, offsets)),
-                    pa.array(per_text(IS_MARK[data], offsets)),
-                    pa.array([duplicate_lines(t) for t in part.to_pylist()], pa.int64()),
-                    pa.array(repeated_words(words).astype(np.int64)),
-                    pa.array(np.diff(offsets)),
-                ],
-                names=[x.split()[0] for x in JUDGED_ROWS.split(", ")],
-            )
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-JUDGED_ROWS = (
-    "doc_id long, lang string, h long, g long, n_words long, word_chars long, n_symbols long, "
-    "n_dup_lines long, n_repeat_words long, n_bytes long"
-)
+def measures(column: pa.Array) -> list[np.ndarray]:
+    """``MEASURES`` of each text."""
+    data, offsets = text_bytes(column)
+    words = words_of(data, offsets)
+    chars = ~SPACES[data] & ((data & 0xC0) != 0x80)
+    return [
+        words.counts.astype(np.int64),
+        per_text(chars, offsets),
+        per_text(IS_MARK[data], offsets),
+        np.array([duplicate_lines(t) for t in column.to_pylist()], np.int64),
+        repeated_words(words).astype(np.int64),
+    ]
 
 
-def train(documents: DataFrame) -> Model:
-    counts = (
-        documents.mapInArrow(rested(count_ngrams), "lang string, gram int, n long")
-        .groupBy("lang", "gram")
-        .agg(F.sum("n").alias("n"))
+def mark_share() -> Column:
+    """The share of ``MARKS`` among the code points of a text's words."""
+    words = F.translate("text", " \t\n\x0b\x0c\r", "")
+    marks = F.length(words) - F.length(F.translate(words, MARKS.decode(), ""))
+    return marks / F.greatest(F.length(words), F.lit(1))
+
+
+def most_marks(texts: DataFrame) -> DataFrame:
+    """``lang, limit``: the share of marks that a plain text has at most."""
+    median = F.percentile_approx("share", 0.5)
+    return (
+        texts.groupBy("lang", "owner", "g")
+        .agg(F.min("share").alias("share"))
+        .groupBy("lang")
+        .agg(F.greatest(F.lit(FEW_MARKS), MEDIANS * median).alias("limit"))
     )
-    return Model(kneser_ney(durable(counts, "ngrams")).toArrow())
 
 
-def first_copies(batches):
-    """The rows of a task without those whose text it has had."""
-    seen: set = set()
-    for batch in batches:
-        keys = zip(batch.column("h").to_pylist(), batch.column("g").to_pylist())
-        keep = []
-        for key in keys:
-            keep.append(key not in seen)
-            seen.add(key)
-        yield batch.filter(pa.array(keep, pa.bool_()))
+def copied(texts: DataFrame) -> bytes:
+    """A bitmap with the bit of every text that stands in more than one row; texts may share bits."""
+    # Spark's buckets of 32,768 bits are numbered from one, and so are their places.
+    place = F.pmod("owner", F.lit(BITS)) + 1
+    several = texts.groupBy("owner", "g").agg(F.count("*").alias("rows")).filter("rows > 1")
+    maps = (
+        several.select(place.alias("place"))
+        .groupBy((F.expr("bitmap_bucket_number(place)") - 1).alias("bucket"))
+        .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(place))").alias("bits"))
+    )
+    found, size = bytearray(BITS // 8), 4096
+    # At most BITS / 32,768 rows of 4096 bytes.
+    for row in maps.collect():
+        found[row["bucket"] * size : (row["bucket"] + 1) * size] = row["bits"]
+    return bytes(found)
+
+
+def marked(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    place = hashes % BITS
+    return (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+
+
+def some_rows(bits: bytes, wanted: bool):
+    """Rows whose text is marked, one for each text of the task; or all others."""
+    table = np.frombuffer(bits, np.uint8)
+
+    def run(batches):
+        seen: set = set()
+        for batch in batches:
+            is_marked = marked(table, batch.column("owner").to_numpy())
+            batch = batch.filter(pa.array(is_marked == wanted))
+            if wanted:
+                keep = []
+                for key in zip(batch.column("owner").to_pylist(), batch.column("g").to_pylist()):
+                    keep.append(key not in seen)
+                    seen.add(key)
+                batch = batch.filter(pa.array(keep, pa.bool_()))
+            yield batch
+
+    return run
 
 
 def wide_grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -397,11 +222,13 @@ class Grams:
 
     def __init__(self):
         self.parts: list[list[np.ndarray]] = []
-        self.rows = 0
+
+    @property
+    def held(self) -> int:
+        return sum(len(part[0]) for part in self.parts)
 
     def add(self, context, symbol, n, low, high) -> None:
         self.parts.append([context, symbol, n, low, high])
-        self.rows += len(n)
         if len(self.parts) > 15:
             self.parts = [self.merged()]
 
@@ -429,9 +256,21 @@ class Grams:
             yield [*([x] * len(part[0]) for x in labels), *part]
 
 
+GRAMS = "lang string, context long, symbol long, n long, low long, high long"
+
+
 def count_wide(batches):
     """Language, gram, how often this task has seen it, and the range of texts that have it."""
     seen: dict[str, Grams] = {}
+
+    def drained():
+        for language, grams in seen.items():
+            for columns in grams.batches(language):
+                yield pa.record_batch(
+                    [pa.array(c) for c in columns], names=[x.split()[0] for x in GRAMS.split(", ")]
+                )
+        seen.clear()
+
     for batch in batches:
         for language, rows in by_language(batch):
             column, owner = filled(rows.column("text")), rows.column("owner").to_numpy()
@@ -442,31 +281,26 @@ def count_wide(batches):
                 whose = owner[at:stop][text]
                 one.add(context, symbol, counts[at:stop][text], whose, whose)
                 seen.setdefault(language, Grams()).add(*one.merged())
-    for language, grams in seen.items():
-        for columns in grams.batches(language):
-            yield pa.record_batch(
-                [pa.array(c) for c in columns], names=["lang", "context", "symbol", "n", "low", "high"]
-            )
+        if sum(g.held for g in seen.values()) > HELD:
+            yield from drained()
+    yield from drained()
 
 
 def ask(batches):
-    """Chunk, language and gram, once for each run of rows of one chunk and language."""
+    """Chunk, language and gram, once or a few times for each task that reads the chunk."""
+    open_: dict[tuple, Grams] = {}
 
-    def asked(grams):
-        for (chunk, language), own in grams.items():
+    def asked():
+        for (chunk, language), own in open_.items():
             for columns in own.batches(chunk, language):
                 yield pa.record_batch(
                     [pa.array(c) for c in columns[:4]], names=["chunk", "lang", "context", "symbol"]
                 )
+        open_.clear()
 
-    open_: dict[tuple, Grams] = {}
     for batch in batches:
         chunk_of = batch.column("chunk")
         for chunk in pc.unique(chunk_of).to_pylist():
-            # Rows come by chunk, so what is open is done once another begins.
-            if any(c != chunk for c, _ in open_):
-                yield from asked(open_)
-                open_ = {}
             for language, rows in by_language(batch.filter(pc.equal(chunk_of, chunk))):
                 column = filled(rows.column("text"))
                 for at, stop in chunks(column):
@@ -475,29 +309,90 @@ def ask(batches):
                     open_.setdefault((chunk, language), Grams()).add(
                         context[first], symbol[first], n, n, n
                     )
-    yield from asked(open_)
+        if sum(g.held for g in open_.values()) > HELD:
+            yield from asked()
+    yield from asked()
+
+
+def shut(batches):
+    """Rows of each chunk as one compressed Arrow stream, or as a few."""
+    open_: dict[int, list] = {}
+    held = 0
+
+    def streams():
+        for chunk, parts in open_.items():
+            sink = pa.BufferOutputStream()
+            options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))
+            # One block, so that all its texts are compressed together.
+            table = pa.Table.from_batches(parts).combine_chunks()
+            with pa.ipc.new_stream(sink, table.schema, options=options) as to:
+                to.write_table(table)
+            yield pa.record_batch(
+                [pa.array([chunk]), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+                names=["chunk", "rows"],
+            )
+        open_.clear()
 
+    for batch in batches:
+        chunk_of = batch.column("chunk")
+        for chunk in pc.unique(chunk_of).to_pylist():
+            rows = batch.filter(pc.equal(chunk_of, chunk)).drop_columns(["chunk"])
+            open_.setdefault(chunk, []).append(rows)
+            held += rows.nbytes
+        if held > CHUNK:
+            yield from streams()
+            held = 0
+    yield from streams()
 
-def answer(texts: pa.Table, scores: pa.Table) -> pa.Table:
-    """Minus the mean score of the grams of each text of a chunk."""
-    found = {"h": [], "g": [], "log_perplexity": []}
-    for batch in texts.combine_chunks().to_batches():
-        for language, rows in by_language(batch):
-            own = scores.filter(pc.equal(scores.column("lang"), language))
-            keys = gram_key(own.column("context").to_numpy(), own.column("symbol").to_numpy())
-            order = np.argsort(keys)
-            keys, score = keys[order], own.column("score").to_numpy()[order]
-            column = filled(rows.column("text"))
-            for at, stop in chunks(column):
-                text, context, symbol = wide_grams(column[at:stop])
-                place = np.searchsorted(keys, gram_key(context, symbol))
-                n = np.bincount(text, minlength=stop - at)
-                sums = np.bincount(text, score[place], minlength=stop - at)
-                found["log_perplexity"] += (-sums / np.maximum(n, 1)).tolist()
-            found["h"] += rows.column("h").to_pylist()
-            found["g"] += rows.column("g").to_pylist()
-    kinds = [pa.int64(), pa.int64(), pa.float64()]
-    return pa.table([pa.array(found[n], k) for n, k in zip(found, kinds)], names=list(found))
+
+def answer(carried: list[str]):
+    """Chunks and the scores of their grams -> measures and score of each row."""
+
+    def scored(language: str, column: pa.Array, scores: pa.Table) -> np.ndarray:
+        own = scores.filter(pc.equal(scores.column("lang"), language))
+        keys = gram_key(own.column("context").to_numpy(), own.column("symbol").to_numpy())
+        order = np.argsort(keys)
+        keys, score = keys[order], own.column("score").to_numpy()[order]
+        found = np.full(len(column), np.nan)
+        for at, stop in chunks(column):
+            text, context, symbol = wide_grams(column[at:stop])
+            if not len(text):
+                continue
+            wanted = gram_key(context, symbol)
+            place = np.searchsorted(keys, wanted)
+            if not len(keys) or not (keys[np.minimum(place, len(keys) - 1)] == wanted).all():
+                raise RuntimeError("a chunk holds a gram that it has not asked for")
+            n = np.bincount(text, minlength=stop - at)
+            sums = np.bincount(text, score[place], minlength=stop - at)
+            found[at:stop] = np.where(n > 0, -sums / np.maximum(n, 1), np.nan)
+        return found
+
+    def run(streams: pa.Table, scores: pa.Table) -> pa.Table:
+        made = []
+        for stream in streams.column("rows").to_pylist():
+            batches = pa.ipc.open_stream(stream)
+            for batch in batches:
+                for language, rows in by_language(batch):
+                    column = filled(rows.column("text"))
+                    counted = [
+                        np.concatenate(x)
+                        for x in zip(*(measures(column[a:b]) for a, b in chunks(column)))
+                    ]
+                    own = [rows.column(n) for n in carried]
+                    made.append(
+                        pa.table(
+                            [
+                                pa.StructArray.from_arrays(own, names=carried),
+                                pa.array([language] * len(rows)),
+                                *map(pa.array, counted),
+                                pa.array(scored(language, column, scores), from_pandas=True),
+                            ],
+                            names=["row", "lang", *MEASURES, "log_perplexity"],
+                        )
+                    )
+        return pa.concat_tables(made)
+
+    return run
 
 
 def gram_scores(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -573,63 +468,92 @@ def gram_scores(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return made.select("lang", "context", "symbol", F.col("s").alias("score")), made
 
 
-def perplexities(rows: DataFrame, n_bytes: int) -> tuple[DataFrame, list[DataFrame]]:
-    """``h, g, log_perplexity`` of each different text; ``rows`` has lang, text and their hashes.
+def with_chunks(rows: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """``rows`` with the ``chunk`` that each is in, and a stage that has been written for it, if any.
 
-    Also the stages to discard once that is written.
+    A row is told by its file and place, so every scan finds the same chunks, however files are split.
     """
-    n = max(1, round(n_bytes / CHUNK))
-    texts = durable(
-        rows.filter("text <> ''")
-        .select("lang", "h", "g", "text")
-        .mapInArrow(rested(first_copies), "lang string, h long, g long, text string")
-        .withColumn("chunk", F.pmod("h", F.lit(n)))
-        .repartition("chunk")
-        .dropDuplicates(["chunk", "h", "g"])
-        .sortWithinPartitions("chunk"),
-        "texts",
+    written = []
+    try:
+        place = rows.select("*", "_metadata.file_path", "_metadata.row_index")
+    except AnalysisException:
+        # These rows are not read straight from Parquet.
+        written = [durable(rows, "rows")]
+        place = written[0].select("*", "_metadata.file_path", "_metadata.row_index")
+    size = F.octet_length("text")
+    total = place.agg(F.count("*").alias("n"), F.sum(size).alias("bytes")).first()
+    mean = max(1.0, (total["bytes"] or 0) / max(1, total["n"]))
+    longer = F.greatest(F.lit(0), F.floor(F.log(16.0, F.coalesce(size, F.lit(0)) / mean + 1e-9)))
+    step = F.greatest(F.lit(1), F.floor(F.lit(CHUNK / mean) / F.pow(F.lit(16.0), longer)))
+    chunk = F.xxhash64("file_path", longer, F.floor(F.col("row_index") / step))
+    return place.select(*rows.columns, chunk.alias("chunk")), written
+
+
+def with_scores(documents: DataFrame, carried: list[str]):
+    """``row`` (a struct of ``carried``), language, measures and log perplexity of each row.
+
+    Also the limits of marks, and the stages to discard once the rows are written.
+    """
+    needed = list(dict.fromkeys([*carried, "text", "lang"]))
+    rows, written = with_chunks(documents.select(needed))
+    language = F.coalesce("lang", F.lit(NO_LANGUAGE)).alias("lang")
+    texts = rows.filter("text <> ''").select("text", "chunk", language)
+    numbered = texts.select(
+        "lang",
+        "text",
+        F.xxhash64("lang", "text").alias("owner"),
+        F.xxhash64("text", "lang").alias("g"),
+        mark_share().alias("share"),
     )
+    limits = durable(most_marks(numbered), "limits")
+    bits = copied(numbered)
+    told = numbered.join(limits, "lang").select(
+        "lang", "text", "owner", "g", (F.col("share") <= F.col("limit")).alias("counts")
+    )
+    once = told.mapInArrow(some_rows(bits, False), told.schema)
+    several = told.mapInArrow(some_rows(bits, True), told.schema).dropDuplicates(["owner", "g"])
     counts = durable(
-        texts.select("lang", "text", F.col("h").alias("owner"), F.lit(True).alias("counts"))
-        .mapInArrow(
-            rested(count_wide), "lang string, context long, symbol long, n long, low long, high long"
-        )
+        once.mapInArrow(rested(count_wide), GRAMS)
+        .unionByName(several.mapInArrow(rested(count_wide), GRAMS))
         .groupBy("lang", "context", "symbol")
         .agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")),
         "ngrams",
     )
-    asked = texts.select("chunk", "lang", "text").mapInArrow(
+    scored, last = gram_scores(counts)
+    asked = texts.mapInArrow(
         rested(ask), "chunk long, lang string, context long, symbol long"
     )
-    scored, last = gram_scores(counts)
     scores = asked.join(scored, ["lang", "context", "symbol"])
+    fields = [T.StructField("row", T.StructType([documents.schema[n] for n in carried]))]
+    fields += [T.StructField("lang", T.StringType())]
+    fields += [T.StructField(n, T.LongType()) for n in MEASURES]
+    fields += [T.StructField("log_perplexity", T.DoubleType())]
     found = (
-        texts.groupBy("chunk")
+        rows.mapInArrow(rested(shut), "chunk long, rows binary")
+        .groupBy("chunk")
         .cogroup(scores.groupBy("chunk"))
-        .applyInArrow(rested(answer), "h long, g long, log_perplexity double")
+        .applyInArrow(rested(answer(carried)), T.StructType(fields))
     )
-    return found, [texts, last]
+    return found, limits, [last, *written]
 
 
-def quality(documents: DataFrame, spread: float = SPREAD, least: float = LEAST) -> DataFrame:
-    """Counts, score and verdict for each row of ``documents``."""
+def judged_rows(
+    documents: DataFrame, carried: list[str], spread: float = SPREAD, least: float = LEAST
+) -> DataFrame:
+    """``row`` (a struct of ``carried``), measures, score and verdict for each row of ``documents``."""
     ship(documents.sparkSession)
-    rows = documents.select(
-        "doc_id", "text", F.coalesce("lang", F.lit(NO_LANGUAGE)).alias("lang")
-    ).select("*", F.xxhash64("lang", "text").alias("h"), F.xxhash64("text", "lang").alias("g"))
-    counted = durable(rows.mapInArrow(rested(judge), JUDGED_ROWS), "counted")
-    n_bytes = counted.agg(F.sum("n_bytes")).first()[0] or 0
-    scores, consumed = perplexities(rows, n_bytes)
-    judged = durable(
-        counted.drop("n_bytes").join(scores, ["h", "g"], "left").drop("h", "g"), "judged"
-    )
-    discard(counted, *consumed)
+    scores, limits, consumed = with_scores(documents, carried)
+    judged = durable(scores, "judged")
+    discard(*consumed)
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")
     )
     judged = judged.withColumn("base_failed", failed)
+    few = F.col("n_symbols") / F.greatest("word_chars", F.lit(1)) <= F.col("limit")
     different = (
         judged.filter(~failed & F.col("log_perplexity").isNotNull())
+        .join(limits, "lang")
+        .filter(few)
         .select("lang", "n_words", "log_perplexity")
         .distinct()
     )
@@ -649,6 +573,13 @@ def quality(documents: DataFrame, spread: float = SPREAD, least: float = LEAST)
     )
 
 
+def quality(documents: DataFrame, spread: float = SPREAD, least: float = LEAST) -> DataFrame:
+    """``doc_id``, language, measures, score and verdict for each row of ``documents``."""
+    return judged_rows(documents, ["doc_id"], spread, least).select(
+        "row.doc_id", "lang", *MEASURES, "log_perplexity", "base_failed", "kept"
+    )
+
+
 def op2_quality_rules(spark, sf_dir: str) -> DataFrame:
     judged = quality(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return judged.select(

@@ -2,6 +2,7 @@
 
 import hashlib
 import html
+import math
 import random
 import re
 import zlib
@@ -12,6 +13,7 @@ import pytest
 from public_tokenizers import path as vocabulary_file
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from millrace.llm import ball_tree, byte_pairs, html_text, language, licenses, packing, quality
 from millrace.llm import url_filter
 from millrace.llm.components import components
@@ -122,12 +124,88 @@ def test_quality_counts(documents, nothing):
     assert quality.quality(nothing).count() == 0
 
 
-def test_kneser_ney_probabilities_add_up(documents):
-    model = quality.train(documents)
-    seen = np.flatnonzero(np.arange(1 << 24) % 999_983 == 5).astype(np.uint32)
-    for context in [*(seen[:3] >> 6).tolist(), 0, (2 << 12) | (3 << 6) | 4]:
-        grams = (np.uint32(context) << np.uint32(6)) | np.arange(64, dtype=np.uint32)
-        assert abs(np.exp(model.logps("en", grams).astype(float)).sum() - 1) < 1e-3
+def brute_force_scores(texts, plain):
+    """Interpolated modified Kneser-Ney over code points, by dictionaries; own grams are unseen."""
+    tables = [Counter()]
+    owners = [{}]
+    for i, text in enumerate(texts):
+        codes = (0, 0, 0, *(ord(c) + 1 for c in text))
+        for k in range(len(text)):
+            gram = codes[k : k + 4]
+            tables[0][gram] += plain[i]
+            owners[0].setdefault(gram, set()).add(i)
+    for _ in range(3):
+        shorter, whose = Counter(), {}
+        for gram, n in tables[-1].items():
+            shorter[gram[1:]] += n > 0
+            whose.setdefault(gram[1:], set()).update(owners[-1][gram])
+        tables.append(shorter)
+        owners.append(whose)
+    q, s = {(): 1 / (len(tables[3]) + 1)}, {(): math.log(1 / (len(tables[3]) + 1))}
+    for table, whose in zip(tables[::-1], owners[::-1]):
+        times = [sum(n == k for n in table.values()) for k in range(5)]
+        y = times[1] / (times[1] + 2 * times[2]) if times[1] + times[2] else 0.5
+        spare = [0.0] + [
+            min(max(k - (k + 1) * y * times[k + 1] / times[k] if times[k] else k / 2, 0.1), k - 0.1)
+            for k in (1, 2, 3)
+        ]
+        contexts: dict = {}
+        for gram, n in table.items():
+            own = contexts.setdefault(gram[:-1], [0, 0.0, set()])
+            own[0] += n
+            own[1] += spare[min(n, 3)]
+            own[2] |= whose[gram]
+        lower_q, lower_s, q, s = q, s, {}, {}
+        for gram, n in table.items():
+            total, spared, of = contexts[gram[:-1]]
+            share = spared / total if total else 1.0
+            below = gram[1:] if len(gram) > 1 else ()
+            q[gram] = (n - spare[min(n, 3)]) / total * (total > 0) + share * lower_q[below] if total else lower_q[below]
+            weight = 0.0 if len(of) == 1 else math.log(share)
+            s[gram] = weight + lower_s[below] if len(whose[gram]) == 1 else math.log(q[gram])
+    found = []
+    for text in texts:
+        codes = (0, 0, 0, *(ord(c) + 1 for c in text))
+        found.append(-sum(s[codes[k : k + 4]] for k in range(len(text))) / len(text))
+    return found
+
+
+def test_perplexities_equal_brute_force(spark, tmp_path):
+    rng = random.Random(8)
+    words = ["ab", "ba", "cab", "中b", "é", "#a"]
+    texts = sorted({" ".join(rng.choice(words[:5]) for _ in range(rng.randint(1, 30))) for _ in range(20)})
+    texts += ["## ab $$ cab ##", "ab #a ba #a", "ab"]
+    plain = [sum(c in "#$" for c in t) <= 0.01 * len(t.replace(" ", "")) for t in texts]
+    expected = brute_force_scores(texts, plain)
+    # Every third text in three rows, in one file and in many.
+    rows = [(i, t, "en") for i, t in enumerate(texts)]
+    rows += [(100 * k + i, t, "en") for k in (1, 2) for i, t, _ in rows[::3]]
+    rows += [(1000, "", "en"), (1001, None, None)]
+    made = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for files in (1, 5):
+        path = str(tmp_path / f"docs{files}")
+        made.repartition(files).write.parquet(path)
+        got = {r.doc_id: r.log_perplexity for r in quality.quality(spark.read.parquet(path)).collect()}
+        assert len(got) == len(rows) and got[1000] is None and got[1001] is None
+        for i, _, _ in rows[:-2]:
+            assert abs(got[i] - expected[i % 100]) < 1e-9
+
+
+def test_texts_that_share_a_bit_with_a_copied_one_are_counted_once(spark, monkeypatch):
+    rows = [(i, f"text {i % 40}", "en") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    wide = {r.doc_id: r.log_perplexity for r in quality.quality(docs).collect()}
+    monkeypatch.setattr(quality, "copied", lambda texts: b"\xff" * (quality.BITS // 8))
+    assert wide == pytest.approx({r.doc_id: r.log_perplexity for r in quality.quality(docs).collect()})
+
+
+def test_quality_on_one_short_text_null_texts_and_a_short_one_before_a_long(spark):
+    for texts in (["short"], [None, None], ["short", "a long text of words " * 15_000]):
+        docs = spark.createDataFrame(
+            [(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string"
+        )
+        assert quality.quality(docs).count() == len(texts)
+        assert corpus_pipeline.quality_rules(spark, docs, "").columns == docs.columns
 
 
 def test_perplexity_rejects_noise(spark):
