@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from millrace.llm.jaccard_join import near_duplicates
 from millrace.llm.language import UNKNOWN, fit, predict
 from millrace.llm.packing import pack
-from millrace.llm.quality import quality
+from millrace.llm.quality import judged_rows
 from millrace.llm.substring_dedup import remove_repeats
 from millrace.session import durable
 
@@ -24,8 +24,7 @@ LEAST_SCORE = 0.4
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or their language's perplexity band go."""
-    kept = quality(docs).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    return judged_rows(docs, docs.columns).filter("kept").select("row.*")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
