@@ -113,7 +113,7 @@ def repeated_words(words) -> np.ndarray:
     return covered[words.first[1:]] - covered[words.first[:-1]]
 
 
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_chars")
 
 
 def measures(column: pa.Array) -> list[np.ndarray]:
@@ -127,14 +127,14 @@ def measures(column: pa.Array) -> list[np.ndarray]:
         per_text(IS_MARK[data], offsets),
         np.array([duplicate_lines(t) for t in column.to_pylist()], np.int64),
         repeated_words(words).astype(np.int64),
+        per_text((data & 0xC0) != 0x80, offsets),
     ]
 
 
 def mark_share() -> Column:
-    """The share of ``MARKS`` among the code points of a text's words."""
-    words = F.translate("text", " \t\n\x0b\x0c\r", "")
-    marks = F.length(words) - F.length(F.translate(words, MARKS.decode(), ""))
-    return marks / F.greatest(F.length(words), F.lit(1))
+    """The share of ``MARKS`` among the code points of a text that is not empty."""
+    chars = F.length("text")
+    return (chars - F.length(F.translate("text", MARKS.decode(), ""))) / chars
 
 
 def most_marks(texts: DataFrame) -> DataFrame:
@@ -549,7 +549,7 @@ def judged_rows(
         100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")
     )
     judged = judged.withColumn("base_failed", failed)
-    few = F.col("n_symbols") / F.greatest("word_chars", F.lit(1)) <= F.col("limit")
+    few = F.col("n_symbols") <= F.col("limit") * F.col("n_chars")
     different = (
         judged.filter(~failed & F.col("log_perplexity").isNotNull())
         .join(limits, "lang")
