@@ -8,11 +8,15 @@ largest sum the path up to the body gives the threshold, the least density on it
 with the largest sum among nodes that reach the threshold, blocks in page order.
 
 Left out everywhere, before any density is counted: scripts, styles and other markup that is not
-read, menus, forms, and elements whose name or role, or one of whose classes or id, as a whole, says
-header, footer, sidebar, notice, advert, or comments. What is only called so stays if it is a heading, a header
-that holds a heading only, or holds ``MOST`` of the page's text and no article or main
-stands beside it. A
-part of a class ("has-sidebar", "no-comments") says nothing: density decides on such elements.
+read, menus, and elements whose name or role, or one of whose classes or id, as a whole, says
+footer, notice, advert or comments, whatever they hold. Forms and what is called a header, a sidebar or another
+part that pages also wrap around their text go where a paragraph stands beside them, outside of all these; where
+none does, they hold the main text. Headings and headers that hold a heading only stay. A
+part of a class ("has-sidebar", "no-comments") says nothing: density decides on such elements. The last h1
+before a main text that has none is its title.
+
+Pages are read in one pass. A tag ends at the first ``>`` outside of quoted values; once a page has shown a tag
+that ends nowhere, at the first ``>`` at all, and where there is none the rest is text.
 
 Defined cases: a null or empty page, or one without text, has the empty text; repeated rows are
 extracted each; other columns take no part; an empty table gives no rows.
@@ -44,13 +48,13 @@ BLOCKS = frozenset(
     "ol p pre search section summary table tbody td tfoot th thead tr ul caption".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-CUT = frozenset("nav menu aside footer form dialog search".split())
+CUT = frozenset("nav menu aside footer dialog search".split())
 ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar "
     "status toolbar tablist".split()
 )
-#: Share of the text above which an element is not cut for its class or id.
-MOST = 0.5
+#: Code points of an element's own text from which it is a paragraph, whatever its name.
+PARAGRAPH = 80
 #: Classes and ids, as wholes, that name a part around the main text. A hyphen stands for an underscore or none, too.
 AROUND = frozenset(
     "nav navbar navigation menu menubar submenu breadcrumb breadcrumbs header masthead banner footer "
@@ -72,6 +76,12 @@ AROUND = frozenset(
     "share-bar share-links social-links social-share social-media social-buttons sharing-buttons skip-link "
     "copyright-notice".split()
 )
+#: Those of them that are also found around the main text itself.
+WRAPPERS = frozenset(
+    "header masthead banner rail aside sidebar widget widgets widget-area form modal popup overlay "
+    "page-header site-header main-header top-header header-top left-sidebar right-sidebar "
+    "sidebar-left sidebar-right sidebar-inner side-bar".split()
+)
 CLOSED_BY = {
     "li": frozenset(["li"]),
     "dt": frozenset(["dt", "dd"]),
@@ -85,21 +95,18 @@ LISTS = frozenset("ul ol menu dl table".split())
 INSIDE_P = BLOCKS - frozenset("td th tr tbody thead tfoot caption body html".split())
 KEEPS = frozenset("article main body html".split())
 
-TAG = re.compile(
-    r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S,
-)
+TAG = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*))")
+ATTRIBUTES = re.compile(r"(?:[^>\"']+|\"[^\"]*\"|'[^']*')*+>")
 NAMED = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 WORD = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z0-9]+(?![a-z])")
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "cut", "called", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("name", "parent", "children", "cut", "called", "wraps", "chars", "paragraphs", "tags", "link_chars", "link_tags", "density", "sum")
 
     def __init__(self, name: str, parent: Node | None, cut: bool):
         self.name, self.parent, self.cut = name, parent, cut
-        self.called = False
+        self.called = self.wraps = False
         self.children: list[Node | str] = []
 
 
@@ -120,26 +127,23 @@ def is_around(name: str, attributes: str) -> bool:
     return False
 
 
-def is_called_around(name: str, attributes: str) -> bool:
-    """Whether a whole class or id is one of those around the main text."""
+def called_around(name: str, attributes: str) -> tuple[bool, bool]:
+    """Whether a whole class or id names a part around the main text, and whether only such as also wrap it."""
+    if name == "form":
+        return True, True
     if not attributes or name in KEEPS or name in HEADINGS:
-        return False
-    return any(
-        "-".join(w.lower() for w in WORD.findall(token)) in AROUND
+        return False, False
+    names = {
+        "-".join(w.lower() for w in WORD.findall(token))
         for key, value in NAMED.findall(attributes)
         if key.lower() in ("class", "id")
         for token in value.strip("\"'").split()
-    )
-
-
-def is_below(node: Node | None, above: Node) -> bool:
-    while node is not None and node is not above:
-        node = node.parent
-    return node is not None
+    } & AROUND
+    return bool(names), names <= WRAPPERS
 
 
-def cut_called(root: Node) -> None:
-    """Cuts what is called a part around, if it is no heading-only header and not most of the text."""
+def count_paragraphs(root: Node) -> list[Node]:
+    """Characters and paragraphs of every kept node; parents come first in the list."""
     order, waiting = [], [root]
     while waiting:
         node = waiting.pop()
@@ -147,80 +151,149 @@ def cut_called(root: Node) -> None:
             order.append(node)
             waiting += [c for c in node.children if isinstance(c, Node)]
     for node in reversed(order):
-        node.chars = sum(
-            len(" ".join(html.unescape(c).split())) if isinstance(c, str) else 0 if c.cut else c.chars
-            for c in node.children
-        )
-    named = [n for n in order if n.name in ("article", "main") and n.chars]
+        texts = [c for c in node.children if isinstance(c, str)]
+        own = sum(len(" ".join(html.unescape(c).split())) for c in texts)
+        kept = [c for c in node.children if isinstance(c, Node) and not c.cut]
+        node.chars = own + sum(c.chars for c in kept)
+        node.paragraphs = sum(c.paragraphs for c in kept)
+        if own >= PARAGRAPH or node.name == "p" and node.chars:
+            node.paragraphs += 1
+    return order
+
+
+def cut_called(root: Node) -> None:
+    """Cuts what is called a part around, if it is no heading-only header and does not wrap the main text."""
+    order = count_paragraphs(root)
     for node in order:
-        if node.called and not (
-            node.chars >= MOST * root.chars
-            and all(is_below(n, node) or is_below(node, n) for n in named)
-            or node.name == "header" and all_heading(node)
-        ):
+        if node.called and not node.wraps and not (node.name == "header" and all_heading(node)):
             node.cut = True
+    order = count_paragraphs(root)
+    # Paragraphs outside of all forms, headers and the like.
+    plain, waiting = 0, [root]
+    while waiting:
+        node = waiting.pop()
+        inner = [c for c in node.children if isinstance(c, Node) and not c.cut]
+        plain += node.paragraphs - sum(c.paragraphs for c in inner)
+        waiting += [c for c in inner if not c.called]
+    called = [n for n in order if n.called]
+    most = max((n.paragraphs for n in called), default=0)
+    for node in called:
+        if node.name == "header" and all_heading(node):
+            continue
+        node.cut = bool(plain) or node.paragraphs < most or not most and node.name == "form"
+
+
+class Opened:
+    """The open elements of a page, with the depths of each name's and of the blocks'."""
+
+    def __init__(self, root: Node):
+        self.nodes = [root]
+        self.depths: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def push(self, node: Node) -> None:
+        self.depths.setdefault(node.name, []).append(len(self.nodes))
+        if node.name in BLOCKS:
+            self.blocks.append(len(self.nodes))
+        self.nodes.append(node)
+
+    def cut(self, depth: int) -> None:
+        """Closes all elements from a depth on."""
+        while len(self.nodes) > depth:
+            name = self.nodes.pop().name
+            self.depths[name].pop()
+            if name in BLOCKS:
+                self.blocks.pop()
+
+    def last(self, names) -> int:
+        """The depth of the innermost open element of some names, 0 if there is none."""
+        return max((self.depths[n][-1] for n in names if self.depths.get(n)), default=0)
+
+    def imply(self, name: str) -> None:
+        """Closes what the start of an element closes."""
+        if name in INSIDE_P and self.blocks and self.nodes[self.blocks[-1]].name == "p":
+            self.cut(self.blocks[-1])
+        if name in CLOSED_BY:
+            names = CLOSED_BY[name]
+            depth = self.last(names)
+            if depth > self.last(LISTS):
+                # A row closes its cells and itself.
+                while self.nodes[depth - 1].name in names:
+                    depth -= 1
+                self.cut(depth)
+        if name in HEADINGS and self.nodes[-1].name in HEADINGS:
+            self.cut(len(self.nodes) - 1)
+
+    def end(self, name: str) -> bool:
+        """Closes the innermost element of a name; not one beyond a block, if it is inline."""
+        depth = self.last((name,))
+        if not depth or name not in BLOCKS and self.blocks and self.blocks[-1] > depth:
+            return False
+        self.cut(depth)
+        return True
+
+
+def tokens(page: str):
+    """Texts, and ``(closing, name, attributes, end)`` of each tag. The end of raw text may be sent back."""
+    at, begun, quoted = 0, 0, True
+    while found := TAG.search(page, at):
+        comment, other, closing, name = found.groups()
+        attributes, end = "", -1
+        if comment:
+            end = page.find("-->", found.end())
+            end = end + 3 if end >= 0 else len(page)
+        elif other:
+            end = page.find("]]>" if page.startswith("[CDATA[", found.end()) else ">", found.end())
+            end = len(page) if end < 0 else page.index(">", end) + 1
+        else:
+            inside = ATTRIBUTES.match(page, found.end()) if quoted else None
+            # Only one tag of a page is looked through to its end in vain.
+            quoted = inside is not None
+            end = inside.end() if inside else page.find(">", found.end()) + 1
+            if not end:
+                break
+            attributes = page[found.end() : end - 1]
+        if found.start() > begun:
+            yield page[begun : found.start()]
+        at = begun = end
+        if name:
+            sent = yield closing, name.lower(), attributes, end
+            if sent is not None:
+                at = begun = sent
+                yield
+    if begun < len(page):
+        yield page[begun:]
 
 
 def parse(page: str) -> Node:
     root = Node("html", None, False)
-    here, at = root, 0
-    while True:
-        found = TAG.search(page, at)
-        text = page[at : found.start()] if found else page[at:]
-        if text:
-            here.children.append(text)
-        if not found:
-            return root
-        at = found.end()
-        closing, name, attributes = found.groups()
-        if not name:
+    opened = Opened(root)
+    found = tokens(page)
+    for token in found:
+        here = opened.nodes[-1]
+        if isinstance(token, str):
+            here.children.append(token)
             continue
-        name = name.lower()
+        closing, name, attributes, at = token
         if closing:
-            open_ = here
-            while open_ is not root and open_.name != name:
-                # An inline end tag does not close blocks around it.
-                if open_.name in BLOCKS and name not in BLOCKS:
-                    open_ = root
-                else:
-                    open_ = open_.parent
-            if open_ is not root:
-                here = open_.parent
-            elif name == "p":
+            if not opened.end(name) and name == "p":
                 here.children.append(Node("p", here, False))
             continue
         if name in ("html", "body"):
             continue
-        if name in INSIDE_P:
-            here = closed(here, frozenset(["p"]), BLOCKS - {"p"})
-        if name in CLOSED_BY:
-            here = closed(here, CLOSED_BY[name], LISTS)
-        if name in HEADINGS and here.name in HEADINGS:
-            here = here.parent
+        opened.imply(name)
+        here = opened.nodes[-1]
         node = Node(name, here, name in UNREAD or is_around(name, attributes))
-        node.called = is_called_around(name, attributes)
+        node.called, node.wraps = called_around(name, attributes)
         here.children.append(node)
         if name in VOID or attributes.endswith("/") and name in ("svg", "math", "path"):
             continue
         if name in RAW:
             end = re.compile(rf"</{name}\b[^>]*>?", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            found.send(end.end() if end else len(page))
             continue
-        here = node
-
-
-def closed(here: Node, names: frozenset, stop: frozenset) -> Node:
-    """Where a start tag goes that closes the nearest open element of ``names``, if there is one."""
-    open_ = here
-    while open_.parent is not None and open_.name not in stop:
-        if open_.name in names:
-            last = open_.parent
-            # A row closes its cells and itself.
-            return closed(last, names, stop) if last.name in names else last
-        open_ = open_.parent
-    if open_.parent is not None and open_.name in names:
-        return open_.parent
-    return here
+        opened.push(node)
+    return root
 
 
 def measure(root: Node) -> list[Node]:
@@ -328,6 +401,25 @@ def all_heading(header: Node) -> bool:
     )
 
 
+def title_before(root: Node, top: Node) -> Node | None:
+    """The last kept h1 before a subtree that has none."""
+    title, waiting = None, [root]
+    while waiting:
+        node = waiting.pop()
+        if node is top:
+            break
+        if node.name == "h1" and node.chars:
+            title = node
+        waiting += [c for c in reversed(node.children) if isinstance(c, Node) and not c.cut]
+    waiting = [top]
+    while waiting:
+        node = waiting.pop()
+        if node.name == "h1":
+            return None
+        waiting += [c for c in node.children if isinstance(c, Node) and not c.cut]
+    return title
+
+
 def extract(page: str | None) -> str:
     if not page:
         return ""
@@ -337,7 +429,9 @@ def extract(page: str | None) -> str:
         if isinstance(node, Node) and node.name == "header":
             node.cut = True
     cut_called(root)
-    return "\n".join(blocks(main_node(root)))
+    top = main_node(root)
+    title = title_before(root, top)
+    return "\n".join([*(blocks(title) if title else []), *blocks(top)])
 
 
 def main_text(pages: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter
 
 import corpus_pipeline
@@ -128,3 +129,30 @@ def test_language_sample_is_a_share_of_different_texts(spark):
     assert languages == ["en"] and len(x) == len(y) == 40
     unnamed = spark.createDataFrame([(1, "a text", None), (2, "12 !", None), (3, None, None)], TEXTS)
     assert [r.doc_id for r in corpus_pipeline.language_id(spark, unnamed, "").collect()] == [1]
+
+
+PARAGRAPH = "<p>" + "Words of a main text that go on for a while, and then some more of them. " * 4 + "</p>"
+
+
+def test_main_text_beside_and_inside_of_parts_around_it():
+    own = html_text.extract(PARAGRAPH)
+    comments = '<div id="comments"><p>' + "Says a reader of this page. " * 90 + "</p></div>"
+    notice = '<div class="cookie-notice"><p>' + "We use cookies. " * 90 + "</p></div>"
+    for extra in (comments, notice, '<form class="login-form"><p>Log in</p></form>'):
+        assert html_text.extract(f"<body><div class=post>{PARAGRAPH}</div>{extra}</body>") == own
+    wrapped = f'<body><form id="page"><input name=q><div class=c>{PARAGRAPH}</div></form></body>'
+    assert html_text.extract(wrapped) == own
+    assert html_text.extract(f"<body><div class=modal>{PARAGRAPH}</div></body>") == own
+    titled = (
+        f"<div class=post><header><h1>T</h1><p>By X</p></header><div class=b>{PARAGRAPH}</div></div>",
+        f"<h1>T</h1><div class=b>{PARAGRAPH}</div>",
+    )
+    for page in titled:
+        assert html_text.extract(f"<body>{page}</body>").split("\n")[0] == "T"
+
+
+def test_malformed_pages_take_linear_time():
+    for page in ("<a ", '<a "', "<a x='", "<!--", "<![CDATA[", "<b></i>", "<div></span>", "<p>x"):
+        begun = time.process_time()
+        html_text.extract(page * (400_000 // len(page)) + ">")
+        assert time.process_time() - begun < 8
