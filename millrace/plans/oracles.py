@@ -247,6 +247,9 @@ _NORMALISED = '''"VendorID", tpep_pickup_datetime, tpep_dropoff_datetime, passen
   fare_amount, extra, mta_tax, tip_amount, tolls_amount, improvement_surcharge, total_amount,
   congestion_surcharge, "Airport_fee", cbd_congestion_fee'''
 
+#: All columns of a raw trip in their order, nulls first.
+_RAW_ORDER = _NORMALISED.replace(",", " NULLS FIRST,") + " NULLS FIRST"
+
 # The rule names and the rows each of them counts as bad.
 _BAD_ROWS = {
     "pickup_present": "tpep_pickup_datetime IS NULL",
@@ -351,7 +354,10 @@ UNION ALL SELECT 3, 'replace', count(*) FROM mix""",
 SELECT CAST(hour AS DATE) AS hour_day, count(*) AS zone_hours,
   CAST(sum(trip_count) AS BIGINT) AS trips
 FROM hourly GROUP BY 1""",
-    "bronze_trips_append": f"SELECT {_NORMALISED} FROM trips_raw",
+    "bronze_trips_append": f"""
+SELECT {_NORMALISED},
+  row_number() OVER (ORDER BY {_RAW_ORDER}) AS trip_id
+FROM trips_raw""",
     "bronze_stream_availablenow": """
 SELECT coalesce(CAST("VendorID" AS VARCHAR), '') AS "key", 'taxi-trips' AS topic,
   CAST(coalesce("VendorID" % 3, 0) AS INTEGER) AS "partition", rec_id AS "offset",

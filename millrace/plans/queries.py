@@ -342,16 +342,16 @@ def hourly_by_day(spark, sf_dir):
 
 @query
 def bronze_trips_append(spark, sf_dir):
-    """Files appended twice under one batch number are in the table once."""
+    """Files appended twice under one batch number are in the table once, with dense ids."""
     tables = _tables(spark)
     raw = fx.trips_raw(spark, sf_dir).select(*RAW_TRIP_NAMES)
     as_text = [
         trips.iso_time(F.col(n)).alias(n) if n.endswith("datetime") else n for n in RAW_TRIP_NAMES
     ]
     for _ in range(2):
-        trip_plan.files_to_bronze(tables, raw.select(*as_text), batch=1)
+        trip_plan.files_to_bronze(tables, raw.select(*as_text), batch=1, dense=True)
     stored = tables.read(trip_plan.BRONZE)
-    return trips.normalise(stored.drop("trip_id"))
+    return trips.normalise(stored)
 
 
 @query

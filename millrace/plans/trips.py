@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.columns import rounded_mean, rounded_share
 from ..operators.gold import Mean, Share, hourly, payment_mix
+from ..operators.ids import dense_ids
 from ..operators.trips import add_trip_id, parse_trips, rename_trips, scan_filter, silver
 from ..schemas import (
     BRONZE_TRIPS,
@@ -28,11 +30,23 @@ def stream_to_bronze(records: DataFrame, path: str, checkpoint: str) -> None:
     bronze_trip_stream(records, path, checkpoint)
 
 
-def files_to_bronze(tables, trips: DataFrame, batch: int | None = None) -> None:
-    """Append raw trips with an id. With a ``batch`` number a repeated run adds nothing."""
+def files_to_bronze(
+    tables, trips: DataFrame, batch: int | None = None, dense: bool = False
+) -> None:
+    """Append raw trips with an id. With a ``batch`` number a repeated run adds nothing.
+
+    Ids are hashes of rows, or with ``dense`` unique numbers that go on from the table's last.
+    """
     tables.ensure_namespace("taxi")
     tables.ensure_table(BRONZE, BRONZE_TRIPS)
-    tables.append(BRONZE, add_trip_id(trips), **({} if batch is None else {"batch": batch}))
+    if batch is not None and tables.has_batch(BRONZE, batch):
+        return
+    if dense:
+        last = tables.read(BRONZE).agg(F.max("trip_id")).first()[0] or 0
+        numbered = dense_ids(trips, "trip_id", start=last + 1)
+    else:
+        numbered = add_trip_id(trips)
+    tables.append(BRONZE, numbered, **({} if batch is None else {"batch": batch}))
 
 
 def silver_from_messages(bronze: DataFrame, zones: DataFrame) -> DataFrame:
