@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .operators.cdc import encode_envelope
@@ -33,18 +33,21 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _below(name: str, limit: int) -> Column:
-    """A key that has to fit its digits; one that does not is an error, not a second number."""
-    text = F.concat(F.lit(f"{name} does not fit a record number: "), F.col(name))
-    return F.when(F.col(name) < limit, F.col(name)).otherwise(F.raise_error(text).cast("long"))
+#: An order has a few lines at every scale; this many places are kept for them.
+LINES = 1 << 20
+_LINE_ORDER = (
+    "l_linenumber l_partkey l_suppkey l_quantity l_extendedprice l_discount l_tax l_shipdate"
+    " l_returnflag"
+).split()
 
 
-def _record_number(replay: Column) -> Column:
-    """A number per line and copy, packed from its keys so that no global numbering is needed."""
-    packed = _below("l_orderkey", 400_000_000) * 10 + F.col("l_linenumber")
-    packed = packed * 100_000 + _below("l_partkey", 100_000)
-    packed = packed * 10_000 + _below("l_suppkey", 10_000)
-    return packed * 2 + replay
+def _record_number(line: Column, replay: Column) -> Column:
+    """A number per line and copy: the order's key, the line's place in it, the copy.
+
+    Lines are placed within their order, on the key that joins them to it anyway, so no number over all
+    rows is needed and keys may be of any size.
+    """
+    return (F.col("l_orderkey") * LINES + line) * 2 + replay
 
 
 def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,8 +55,10 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     One part in 200 each has one of the faults that the rules are about (``fault``).
     """
+    of_order = Window.partitionBy("l_orderkey").orderBy(*_LINE_ORDER)
     lines = (
         table(spark, sf_dir, "lineitem")
+        .withColumn("line", F.row_number().over(of_order))
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
@@ -118,7 +123,7 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_orderkey") % 2 == 0, "file_a.parquet")
         .otherwise("file_b.parquet")
         .alias("source_file"),
-        _record_number(F.col("replay")).alias("rec_id"),
+        _record_number(F.col("line"), F.col("replay")).alias("rec_id"),
     )
 
 

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.cdc import latest_changes, parse_envelope, rebuild_mirror
-from ..operators.checks import duplicate_keys, parity
+from ..operators.checks import duplicate_keys, fingerprint_parity, parity
 from ..operators.dedup import unseen_records
+from ..operators.enrich import union_frames
 from ..operators.gold import (
     customer_activity,
     customer_churn,
@@ -67,12 +68,36 @@ def publish_churn(tables, as_of: datetime | None = None, mode: str = "intended")
     tables.replace(CHURN, customer_churn(tables.read(ACTIVITY), as_of, mode))
 
 
-def run(tables, records: DataFrame, as_of: datetime | None = None) -> None:
-    """Log, mirrors, activity, churn, in this order."""
+def run(
+    tables,
+    records: DataFrame,
+    as_of: datetime | None = None,
+    sources: dict[str, DataFrame] | None = None,
+) -> DataFrame | None:
+    """Log, mirrors, activity, churn, in this order, then each mirror against its source.
+
+    ``sources`` are rows of the captured tables by the names of their mirrors. What is returned has a row
+    for each, as ``validated`` gives it; none without sources.
+    """
     append_bronze(tables, records)
     merge_mirrors(tables)
     publish_activity(tables, as_of)
     publish_churn(tables, as_of)
+    if not sources:
+        return None
+    return union_frames(
+        [
+            validated(name, tables.read(name).select(*source.columns), source)
+            for name, source in sources.items()
+        ]
+    )
+
+
+def validated(name: str, mirror: DataFrame, source: DataFrame) -> DataFrame:
+    """One row: the mirror's name, parity by fingerprints, and keys that the mirror holds twice."""
+    doubled = duplicate_keys(mirror, ["id"]).agg(F.count("*").alias("n")).scalar()
+    found = fingerprint_parity(mirror, source, ["id"]).withColumn("duplicate_keys", doubled)
+    return found.select(F.lit(name).alias("mirror"), "*")
 
 
 def validate(tables, name: str, source: DataFrame) -> DataFrame:

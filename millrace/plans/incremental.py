@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.cdc import changes, fold_state, latest_changes, mirror_rows, parse_envelope
-from ..operators.checks import duplicate_keys, parity
+from ..operators.checks import differences, duplicate_keys, parity
 from ..operators.gold import (
     HISTORY,
     activity_rows,
@@ -116,6 +116,10 @@ class IncrementalCdc:
         doubled = duplicate_keys(mirror, ["id"]).agg(F.count("*").alias("n")).scalar()
         return parity(mirror, source).withColumn("duplicate_keys", doubled)
 
+    def differences(self, name: str, source: DataFrame) -> DataFrame:
+        """Rows that only the mirror or only the source holds, found by fingerprints."""
+        return differences(self.mirror(name).select(*source.columns), source, ["id"])
+
     def _folder(self, kind: str, number: int) -> str:
         return f"{self.root}/{kind}/ingest_batch={number}"
 

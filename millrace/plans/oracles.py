@@ -18,7 +18,9 @@ lines AS (
     CASE WHEN l_partkey % 200 = 23 THEN -30
       ELSE date_diff('day', o_orderdate, l_shipdate) % 180 END AS minutes,
     CASE WHEN l_partkey % 200 IN (15, 16, 17) THEN 1000 ELSE 0 END AS beyond,
-    (((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey) * 2 AS packed
+    (l_orderkey * 1048576 + row_number() OVER (PARTITION BY l_orderkey
+      ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
+        l_shipdate, l_returnflag)) * 2 AS packed
   FROM lineitem l
   JOIN orders ON l_orderkey = o_orderkey
   JOIN customer ON o_custkey = c_custkey
@@ -454,6 +456,15 @@ SELECT entity_id, count(*) AS n FROM log WHERE is_customer AND entity_id IS NOT
 SELECT count(*) AS mirror_rows, count(*) AS source_rows, CAST(0 AS BIGINT) AS only_mirror,
   CAST(0 AS BIGINT) AS only_source, CAST(0 AS BIGINT) AS duplicate_keys
 FROM silver_customers""",
+    "pipeline_cdc_validated": """
+SELECT 'cdc.silver_customers' AS mirror, count(*) AS mirror_rows, count(*) AS source_rows,
+  CAST(0 AS BIGINT) AS unequal_nodes, CAST(0 AS BIGINT) AS only_mirror,
+  CAST(0 AS BIGINT) AS only_source, CAST(0 AS BIGINT) AS duplicate_keys
+FROM silver_customers""",
+    "mirror_differences": """
+SELECT *, 'mirror' AS side, CAST(1 AS BIGINT) AS n FROM silver_customers WHERE id % 50 IN (7, 11)
+UNION ALL
+SELECT * REPLACE ('XX' AS country), 'source', 1 FROM silver_customers WHERE id % 50 = 11""",
     "silver_preview": "SELECT * FROM silver_customers ORDER BY id LIMIT 5",
     "pipeline_cdc": "SELECT * FROM activity",
     "incremental_log": """

@@ -668,12 +668,8 @@ def rerun_stable(spark, sf_dir):
     return checks.rerun_stable(first, tables.read(cdc_plan.ACTIVITY))
 
 
-@query
-def mirror_parity(spark, sf_dir):
-    """The merged mirror against the source rows, taken from the events without any JSON."""
-    tables = _tables(spark)
-    cdc_plan.append_bronze(tables, _recorded(spark, sf_dir))
-    cdc_plan.merge_mirrors(tables)
+def _source_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the captured table, taken from the events without any JSON."""
     user, event = F.col("user_id"), F.col("event_id")
     clock = F.struct(
         F.unix_date(F.to_date("ts")).alias("day"), event.alias("event"), F.col("event_type")
@@ -687,7 +683,7 @@ def mirror_parity(spark, sf_dir):
     )
     steady = user % 7 == 3
     number = F.col("last.event")
-    source = last.select(
+    return last.select(
         user.cast("int").alias("id"),
         F.concat(F.lit("n"), user).alias("name"),
         F.concat(
@@ -696,9 +692,36 @@ def mirror_parity(spark, sf_dir):
         F.concat(F.lit("C"), F.when(steady, 0).otherwise(number % 4)).alias("country"),
         ((F.col("last.day") - F.floor(user / 3) % 4 * 4) * fx.DAY_MS).alias("last_updated_ms"),
     )
+
+
+@query
+def mirror_parity(spark, sf_dir):
+    """The merged mirror against the source rows."""
+    tables = _tables(spark)
+    cdc_plan.append_bronze(tables, _recorded(spark, sf_dir))
+    cdc_plan.merge_mirrors(tables)
+    source = _source_customers(spark, sf_dir)
     return cdc_plan.validate(tables, "cdc.silver_customers", source)
 
 
+@query
+def pipeline_cdc_validated(spark, sf_dir):
+    """The whole run with validation as its last step, by fingerprints."""
+    source = {"cdc.silver_customers": _source_customers(spark, sf_dir)}
+    return cdc_plan.run(_tables(spark), _recorded(spark, sf_dir), fx.AS_OF, source)
+
+
+@query
+def mirror_differences(spark, sf_dir):
+    """A source that has lost some rows and changed others: the rows that differ, on either side."""
+    mirror = cdc.rebuild_mirror(_log(spark, sf_dir), CUSTOMERS)
+    part = F.col("id") % 50
+    country = F.when(part == 11, "XX").otherwise(F.col("country"))
+    source = _source_customers(spark, sf_dir).filter(part != 7).withColumn("country", country)
+    return checks.differences(durable(mirror, "mirror"), durable(source, "source"), ["id"])
+
+
+
 @query
 def mirror_stream(spark, sf_dir):
     """Bronze streamed and folded in two runs, several micro-batches each."""
