@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from ..operators.cdc import latest_changes, parse_envelope, rebuild_mirror
 from ..operators.checks import duplicate_keys, fingerprint_parity, parity
 from ..operators.dedup import unseen_records
+from ..operators.drift import drift, evolved, image_types
 from ..operators.enrich import union_frames
 from ..operators.gold import (
     customer_activity,
@@ -19,6 +20,7 @@ from ..operators.gold import (
     field_changes,
 )
 from ..schemas import BRONZE_CDC, CUSTOMER_ACTIVITY, CUSTOMERS, DRIVERS, Entity
+from ..session import durable
 
 BRONZE = "cdc.bronze_cdc"
 ACTIVITY, CHURN = "cdc.gold_customer_activity", "cdc.gold_customer_churn"
@@ -117,3 +119,22 @@ def evolve(tables, name: str, entity: Entity, column: str, kind: T.DataType) ->
     wider = as_stored(tables, name, entity)
     tables.merge(name, latest_changes(tables.read(BRONZE), wider))
     return wider
+
+
+def apply_drift(tables, name: str, entity: Entity, records: DataFrame) -> tuple[Entity, DataFrame]:
+    """Append records and let the mirror follow what their images hold; the entity and the drift.
+
+    A mirror without news is merged as ever. One with new columns or wider types is built anew from the
+    log, which keeps images as text, so values from before a type was widened stay as they were sent.
+    """
+    stored = durable(image_types(tables.read(BRONZE)), "types")
+    fresh = durable(unseen_records(parse_envelope(records), tables.read(BRONZE)), "fresh")
+    found = durable(drift(stored, durable(image_types(fresh), "types")), "drift")
+    tables.append(BRONZE, fresh)
+    log = tables.read(BRONZE)
+    wider = evolved(entity, found)
+    if wider == entity:
+        tables.merge(name, latest_changes(log, entity))
+    else:
+        tables.replace(name, rebuild_mirror(log, wider))
+    return wider, found

@@ -299,6 +299,24 @@ SELECT entity_id AS id, name, email, country, ts_ms AS last_updated_ms FROM (
   QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY ts_ms DESC, lsn DESC) = 1)
 WHERE op <> 'd'"""
 
+# Kind before, kind now, what happened, and which images hold a column.
+_DRIFT = {
+    "id": ("'BIGINT'", "BIGINT", "same", "entity_id IS NOT NULL"),
+    "name": ("'STRING'", "STRING", "same", "true"),
+    "email": ("'STRING'", "STRING", "same", "true"),
+    "country": ("'STRING'", "STRING", "same", "true"),
+    "created_at": ("'BIGINT'", "BIGINT", "same", "true"),
+    "visits": ("'BIGINT'", "DECIMAL", "widened", "true"),
+    "tier": ("'BIGINT'", "VARIANT", "clashed", "true"),
+    "phone": ("CAST(NULL AS VARCHAR)", "STRING", "came", "true"),
+}
+_DRIFTED = " UNION ALL ".join(
+    f"SELECT 'dbserver1.public.customers' AS topic, '{name}' AS \"column\", {before} AS before,"
+    f" '{now}' AS now, '{status}' AS status, count(*) FILTER (WHERE {held}) AS images"
+    f" FROM log WHERE is_customer AND has_after AND event_id > {_HALF}"
+    for name, (before, now, status, held) in _DRIFT.items()
+)
+
 _ON_TRIPS = {
     "trips_normalised": f"""
 SELECT {_NORMALISED}, source_file, rec_id,
@@ -365,6 +383,11 @@ SELECT coalesce(CAST("VendorID" AS VARCHAR), '') AS "key", 'taxi-trips' AS topic
   CAST(coalesce("VendorID" % 3, 0) AS INTEGER) AS "partition", rec_id AS "offset",
   TIMESTAMP '2024-01-01 00:00:00' + to_hours(rec_id % 2) AS kafka_timestamp
 FROM trips_raw""",
+    "bronze_stream_table": """
+SELECT * EXCLUDE (trip_id), coalesce(CAST(vendor_id AS VARCHAR), '') AS "key",
+  'taxi-trips' AS topic, CAST(coalesce(vendor_id % 3, 0) AS INTEGER) AS "partition",
+  trip_id AS "offset", TIMESTAMP '2024-01-01 00:00:00' + to_hours(trip_id % 2) AS kafka_timestamp
+FROM typed""",
     "pipeline_ingest": "SELECT * FROM published",
     "silver_stream": "SELECT * EXCLUDE (trip_id) FROM silver",
     "hourly_stream": """
@@ -481,6 +504,12 @@ FROM log GROUP BY 1, 2""",
 SELECT count(*) AS count_before, count(*) AS count_after, true AS same_content FROM activity""",
     "read_version": _FIRST_HALF,
     "rollback_version": _FIRST_HALF,
+    "schema_drift": _DRIFTED,
+    "schema_drift_mirror": f"""
+SELECT s.*, CASE WHEN n.event_id > {_HALF} THEN '+' || n.event_id END AS phone,
+  n.event_id % 10 + CASE WHEN n.event_id > {_HALF} THEN CAST(0.5 AS DOUBLE) ELSE 0 END AS visits,
+  CASE WHEN n.event_id > {_HALF} THEN 'gold' ELSE CAST(n.event_id % 3 AS VARCHAR) END AS tier
+FROM silver_customers s JOIN newest n ON s.id = n.entity_id AND n.is_customer""",
     "schema_evolution": f"""
 SELECT s.*, CASE WHEN n.event_id > {_HALF} THEN '+' || n.event_id END AS phone
 FROM silver_customers s JOIN newest n ON s.id = n.entity_id AND n.is_customer""",

@@ -29,7 +29,7 @@ from ..sources.files import append_manifest, list_files, load_manifest, new_file
 from ..sources.ledger import held
 from ..sources.records import read_records, stream_records, write_records
 from ..sources.tables import VersionedTables, append_partitioned, overwrite_partitions
-from ..streaming.bronze import bronze_cdc_stream, read_bronze
+from ..streaming.bronze import bronze_cdc_stream, bronze_trip_table, read_bronze
 from ..streaming.mirror import read_mirror, run_mirror_stream
 from ..streaming.silver import write_hourly, write_silver
 from . import cdc as cdc_plan
@@ -590,6 +590,20 @@ def bronze_stream_availablenow(spark, sf_dir):
     return _streamed_bronze(spark, sf_dir).drop("value")
 
 
+@query
+def bronze_stream_table(spark, sf_dir):
+    """Messages streamed into a catalog table in two runs, and in a third that finds none; opened."""
+    root = workspace(spark, "table-stream")
+    table = f"bronze_trips_{root[-12:]}"
+    records = fx.trip_records(spark, sf_dir)
+    for run in (0, 1, 2):
+        write_records(records.filter(F.col("offset") % 2 == run), f"{root}/records")
+        messages = stream_records(spark, f"{root}/records", ["taxi-trips"])
+        bronze_trip_table(messages, table, f"{root}/bronze", f"{root}/checkpoint")
+    position = ("key", "topic", "partition", "offset", "kafka_timestamp")
+    return trips.parse_trips(spark.table(table), keep=position)
+
+
 @query
 def silver_stream(spark, sf_dir):
     """Messages streamed to silver in two runs of one checkpoint; the second brings the copies."""
@@ -825,5 +839,59 @@ def schema_evolution(spark, sf_dir):
     return tables.read("cdc.silver_customers")
 
 
+def _drifting(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Customer records of both halves: in the second one column is new, one has fractions, one text."""
+    half = _half(spark, sf_dir)
+    event = F.floor(F.col("offset") / 2)
+    newer = event > half
+    text = [
+        F.expr("left(image, length(image) - 1)"),
+        F.lit(',"visits":'),
+        F.concat((event % 10).cast("string"), F.when(newer, ".5").otherwise("")),
+        F.lit(',"tier":'),
+        F.when(newer, '"gold"').otherwise((event % 3).cast("string")),
+        F.when(newer, F.concat(F.lit(',"phone":"+'), event.cast("string"), F.lit('"'))).otherwise(""),
+        F.lit("}"),
+    ]
+    payload = "payload struct<op: string, ts_ms: string, source: struct<lsn: string>, before: string, after: string>"
+    opened = (
+        fx.cdc_records(spark, sf_dir)
+        .filter((F.col("topic") == CUSTOMERS.topic) & F.col("value").isNotNull())
+        .select("*", F.from_json("value", payload).alias("envelope"))
+        .withColumn("image", F.col("envelope.payload.after"))
+        .withColumn("wider", F.when(F.col("image").isNotNull(), F.concat(*text)))
+    )
+    sent = F.col("envelope.payload").withField("after", F.col("wider"))
+    found = opened.select(
+        "key",
+        F.to_json(F.struct(sent.alias("payload"))).alias("value"),
+        *["topic", "partition", "offset", "timestamp"],
+    )
+    found = durable(found, "drifting")
+    return found.filter(event <= half), found.filter(newer)
+
+
+def _drifted(spark: SparkSession, sf_dir: str) -> tuple[VersionedTables, DataFrame]:
+    tables = _tables(spark)
+    entity = CUSTOMERS.with_column("visits", T.LongType()).with_column("tier", T.LongType())
+    older, newer = _drifting(spark, sf_dir)
+    cdc_plan.append_bronze(tables, older)
+    tables.replace("cdc.wide_customers", cdc.rebuild_mirror(tables.read(cdc_plan.BRONZE), entity))
+    _, found = cdc_plan.apply_drift(tables, "cdc.wide_customers", entity, newer)
+    return tables, found
+
+
+@query
+def schema_drift(spark, sf_dir):
+    """What the second half of the log does to the columns of the first."""
+    return _drifted(spark, sf_dir)[1]
+
+
+@query
+def schema_drift_mirror(spark, sf_dir):
+    """The mirror that has followed: a new column, one with fractions, one that became text."""
+    return _drifted(spark, sf_dir)[0].read("cdc.wide_customers")
+
+
 for _name in [n for n in _QUERIES if n.endswith("_")]:
     _QUERIES[_name.rstrip("_")] = _QUERIES.pop(_name)

@@ -22,6 +22,26 @@ def run_to_end(rows: DataFrame, path: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
+def run_to_table(rows: DataFrame, table: str, path: str, checkpoint: str) -> None:
+    """The same into a parquet table of the session's catalog, created at ``path`` by the first run.
+
+    A table that exists keeps its place. Readers of the table see files of finished micro-batches only.
+    """
+    query = (
+        rows.writeStream.format("parquet")
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .option("path", path)
+        .trigger(availableNow=True)
+        .toTable(table)
+    )
+    query.awaitTermination()
+
+
+def bronze_trip_table(records: DataFrame, table: str, path: str, checkpoint: str) -> None:
+    run_to_table(records.select(*record_columns()), table, path, checkpoint)
+
+
 def bronze_trip_stream(records: DataFrame, path: str, checkpoint: str) -> None:
     run_to_end(records.select(*record_columns()), path, checkpoint)
 

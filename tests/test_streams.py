@@ -12,6 +12,7 @@ from millrace.schemas import RECORD
 from millrace.session import workspace
 from millrace.sources.records import stream_records, write_records
 from millrace.operators.trips import record_columns
+from millrace.streaming.bronze import bronze_trip_table
 from millrace.streaming.silver import write_hourly, write_silver
 
 
@@ -97,3 +98,30 @@ def test_closed_hours_equal_the_batch(spark):
     assert run(second) == expected and [r[2] for r in expected] == [2, 2]
     # The closed hours are not written again, and a late trip does not change them.
     assert run(trips(f"{day} 10:30:00")) == expected
+
+
+def test_stream_into_a_catalog_table(spark):
+    root = workspace(spark, "table")
+    table = f"bronze_{root[-12:]}"
+
+    def run(records):
+        write_records(records, f"{root}/records")
+        bronze_trip_table(
+            stream_records(spark, f"{root}/records"), table, f"{root}/bronze", f"{root}/state"
+        )
+        return rows(spark.table(table))
+
+    first = run(sent(spark, hour(1), dict(), dict(fare_amount=13.0)))
+    assert [(json.loads(r[1])["fare_amount"], r[4]) for r in first] == [(12.0, 0), (13.0, 1)]
+    none = sent(spark, hour(1), dict()).limit(0)
+    assert spark.catalog.tableExists(table) and run(none) == first  # a rerun adds nothing
+    assert run(sent(spark, hour(2), dict(), first=2))[:2] == first
+    # A file that no micro-batch has committed is not read.
+    spark.table(table).limit(1).write.mode("append").parquet(f"{root}/stray")
+    import glob
+    import shutil
+
+    shutil.copy(glob.glob(f"{root}/stray/part-*")[0], f"{root}/bronze/part-stray.snappy.parquet")
+    spark.catalog.refreshTable(table)
+    assert spark.table(table).count() == 3
+    spark.sql(f"DROP TABLE {table}")
