@@ -3,20 +3,24 @@
 import datetime as dt
 import glob
 import json
+import os
 import shutil
 
 from conftest import rows
 from pyspark.sql import functions as F
 from trip_rows import GOOD, silver_row, zones
 
+from millrace import fixtures as fx
 from millrace.operators import gold
 from millrace.schemas import RECORD
 from millrace.session import workspace
-from millrace.sources.records import stream_records, write_records
+from millrace.sources.records import read_records, stream_records, write_records
 from millrace.operators.trips import record_columns
 from millrace.streaming.bronze import bronze_trip_table
 from millrace.streaming.silver import write_hourly, write_silver
 
+SMALL = "/root/testdata/sf0.001"
+
 
 def sent(spark, at, *changes, first=0):
     made = [
@@ -125,3 +129,22 @@ def test_stream_into_a_catalog_table(spark):
     spark.catalog.refreshTable(table)
     assert spark.table(table).count() == 3
     spark.sql(f"DROP TABLE {table}")
+
+
+def test_record_files_are_compressed_and_hold_what_was_sent(spark):
+    rows_in = sent(spark, hour(1), *[dict(fare_amount=float(n)) for n in range(2000)])
+    text = sum(len(r.value) for r in rows_in.collect())
+    for kind in ("parquet", "json"):
+        path = workspace(spark, kind)
+        write_records(rows_in.withColumn("partition", F.col("partition").cast("long")), path, kind)
+        stored = sum(os.path.getsize(f) for f in glob.glob(f"{path}/part-*"))
+        assert stored < text / 5, kind
+        assert rows(read_records(spark, path, kind=kind)) == rows(rows_in)
+        assert read_records(spark, path, ["other"], kind).isEmpty()
+
+
+def test_copies_of_trips_make_up_all_of_them(spark):
+    whole = rows(fx.trip_records(spark, SMALL))
+    first, second = (rows(fx.trip_records(spark, SMALL, copy=n)) for n in (0, 1))
+    assert sorted(first + second, key=repr) == whole
+    assert {r[4] % 2 for r in first} == {0} and {r[4] % 2 for r in second} == {1}
