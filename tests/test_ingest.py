@@ -7,11 +7,12 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from trip_rows import raw, zones
 
-from millrace.functions.rules import observed
-from millrace.operators.trips import normalise, publishable
+from millrace.functions.rules import EXAMPLE_RULES, INGEST_RULES, metric_rows, observed
+from millrace.operators.trips import clean, normalise, publishable, zeroed
 from millrace.plans.ingest import REPORTED, TripIngest
+from millrace.schemas import PUBLISH_KEY
 from millrace.session import workspace
-from millrace.sources.files import last_run, list_files, load_manifest, read_drops
+from millrace.sources.files import last_run, list_files, load_manifest, raw_counts, read_drops
 
 AT = dt.datetime(2025, 2, 1)
 
@@ -238,3 +239,25 @@ def test_dates_of_a_range(spark, inbox):
     found = rows(inbox.ingest.trips(since, until), "pickup_date")
     assert [r[0] for r in found] == [dt.date(2025, 1, 15), dt.date(2025, 2, 1), dt.date(2025, 2, 15)]
     assert inbox.ingest.trips(until=dt.date(2024, 12, 31)).count() == 0
+
+
+def test_few_columns_pass_what_observes_and_names_are_made_once_a_part(spark, inbox):
+    bad = dict(trip_distance=-1.0)
+    inbox.drop("a b+c%.parquet", dict(fare_amount=None), dict(), bad, dict(extra=-1.0))
+    inbox.drop("d.parquet", bad)
+    paths = [f"{inbox.root}/inbox/{name}" for name in ("a b+c%.parquet", "d.parquet")]
+    counts = raw_counts(spark, paths)
+    assert rows(counts) == [("a b+c%.parquet", 4), ("d.parquet", 1)]
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan
+    below = plan[plan.rindex("HashAggregate") :]
+    assert "file_path" in below and "regexp_extract" not in below and "regexp_extract" in plan
+    [drop] = read_drops(spark, paths)
+    typed, watch = normalise(drop), Observation()
+    passed = observed(
+        typed, watch, REPORTED, EXAMPLE_RULES, ["trip_distance"], INGEST_RULES, PUBLISH_KEY
+    )
+    assert rows(zeroed(passed)) == rows(clean(typed).select(*PUBLISH_KEY)) and passed.count() == 2
+    found = {r[0]: r[1:] for r in metric_rows(watch.get, REPORTED)}
+    assert found["bad_distance"] == (2, '{"trip_distance":-1.0}')
+    assert found["extra_not_negative"] == (1, None) and found["bad_time"] == (0, None)
