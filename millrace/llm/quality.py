@@ -286,6 +286,24 @@ def count_wide(batches):
     yield from drained()
 
 
+def count_others(bits: bytes):
+    """The same of the rows that are not marked, in one worker: two in a row would each hold memory."""
+    others = some_rows(bits, False)
+
+    def run(batches):
+        return count_wide(others(batches))
+
+    return run
+
+
+def task_counts(told: DataFrame, bits: bytes) -> DataFrame:
+    """``GRAMS`` of every task: unmarked texts where they are read, one of each marked text."""
+    several = told.mapInArrow(rested(some_rows(bits, True)), told.schema)
+    return told.mapInArrow(rested(count_others(bits)), GRAMS).unionByName(
+        several.dropDuplicates(["owner", "g"]).mapInArrow(rested(count_wide), GRAMS)
+    )
+
+
 def ask(batches):
     """Chunk, language and gram, once or a few times for each task that reads the chunk."""
     open_: dict[tuple, Grams] = {}
@@ -510,11 +528,8 @@ def with_scores(documents: DataFrame, carried: list[str]):
     told = numbered.join(limits, "lang").select(
         "lang", "text", "owner", "g", (F.col("share") <= F.col("limit")).alias("counts")
     )
-    once = told.mapInArrow(some_rows(bits, False), told.schema)
-    several = told.mapInArrow(some_rows(bits, True), told.schema).dropDuplicates(["owner", "g"])
     counts = durable(
-        once.mapInArrow(rested(count_wide), GRAMS)
-        .unionByName(several.mapInArrow(rested(count_wide), GRAMS))
+        task_counts(told, bits)
         .groupBy("lang", "context", "symbol")
         .agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")),
         "ngrams",
