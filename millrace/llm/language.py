@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .textkit import chunks, filled, rested, ship, text_bytes
+from .textkit import chunks, filled, rested, ship, small_batches, text_bytes
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -221,10 +221,14 @@ def predict(
         return documents.select(
             *names, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score")
         )
-    # The text and what is carried along may be the same column, so both get names of their own.
+    small_batches(spark)
+    # A text that is carried along is the one that is read: it goes to the worker once.
+    at_text = names.index("text") if "text" in names else len(names)
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     rows = documents.select(
-        F.col("text").alias("__text"), letters.alias("__letters"), F.struct(*names).alias("__row")
+        F.struct(*names).alias("__row"),
+        *([] if "text" in names else [F.col("text").alias("__text")]),
+        letters.alias("__letters"),
     )
     kinds = T.StructType(
         [
@@ -239,7 +243,8 @@ def predict(
         network = shared.value
         tags = np.array([*network.languages, UNKNOWN], dtype=object)
         for batch in batches:
-            column = filled(batch.column("__text"))
+            carried = batch.column("__row").flatten()
+            column = filled([*carried, batch.column(1)][at_text])
             for at, stop in chunks(column):
                 p = network.of_texts(*text_bytes(column[at:stop]))
                 known = batch.column("__letters")[at:stop].to_numpy(zero_copy_only=False)
@@ -248,7 +253,7 @@ def predict(
                 score = np.where(known, np.clip(p.max(axis=1), 0, 1), 0.0)
                 yield pa.record_batch(
                     [
-                        *batch.column("__row")[at:stop].flatten(),
+                        *[c[at:stop] for c in carried],
                         pa.array(tags[best], pa.string()),
                         pa.array(score),
                     ],

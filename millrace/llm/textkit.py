@@ -22,6 +22,8 @@ from pyspark.sql import SparkSession
 
 #: Temporary arrays take some 60 times this much.
 CHUNK_BYTES = 250_000
+#: A few chunks of texts.
+BATCH_ROWS = 1000
 U = np.uint64
 
 _BASE = [0x9E3779B97F4A7C15, 0xD1342543DE82EF95, 0xAF251AF3B0F025B5]
@@ -52,6 +54,17 @@ def ship(spark: SparkSession) -> None:
     spark._millrace_shipped = True
 
 
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Let Arrow batches of whole texts hold a thousand rows, not Spark's ten thousand.
+
+    A batch is held by the JVM while it is filled and by the worker while it is read, for every task of an
+    executor. Spark reads the setting when a query runs, so it stays for the session; a smaller one wins.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def rested(run):
     """A task's function that gives back at its end what its worker would keep in reserve.
 

@@ -1,5 +1,7 @@
 """Counting tasks of the quality rules."""
 
+import numpy as np
+
 from millrace.llm import quality
 
 
@@ -15,3 +17,16 @@ def test_a_task_that_counts_needs_one_worker(spark):
     assert plan.count("MapInArrow") == 3
     assert {r.owner for r in found.selectExpr("explode(array(low, high)) AS owner").collect()} == {5, 6}
     assert found.agg({"n": "sum"}).first()[0] == 8
+
+
+def test_equal_grams_of_many_small_batches_do_not_crowd_a_task(monkeypatch):
+    monkeypatch.setattr(quality, "HELD", 100)
+    context, one = np.arange(10), np.ones(10, np.int64)
+    grams = quality.Grams()
+    for _ in range(14):
+        grams.add(context, context, one, one, one)
+    assert not quality.crowded({"en": grams})
+    assert grams.held == 10 and (grams.parts[0][2] == 14).all()
+    many = np.arange(101)
+    grams.add(many, many, many, many, many)
+    assert quality.crowded({"en": grams})
