@@ -10,15 +10,24 @@ from .dedup import keep_first, newest_first
 
 
 def range_segments(
-    df: DataFrame, key: str, order: list[str], partitions: int | None = None
+    df: DataFrame,
+    key: str,
+    order: list[str],
+    partitions: int | None = None,
+    place: str | None = None,
 ) -> DataFrame:
     """Add ``segment`` by an even range split over key and full order, whatever the skew or ties.
 
     No segment is much larger than another, even where one key or one time holds most rows. The
-    bounds come from a sample, so the split rows are written before they are used twice.
+    bounds come from a sample, so the split rows are written before they are used twice. ``place`` names a
+    column for a row's place in its segment, from 0: rows are then sorted where the split has brought them.
     """
     count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(count, key, *order)
+    if place:
+        # A generated id holds the task's number above its lower 33 bits, which count the task's rows.
+        at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        ranged = ranged.sortWithinPartitions(key, *order).select("*", at.alias(place))
     return durable(ranged.withColumn("segment", F.spark_partition_id().cast("long")), "segments")
 
 

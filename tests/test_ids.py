@@ -33,3 +33,13 @@ def test_equal_rows_are_spread_over_segments(spark, monkeypatch):
     dense_ids(spark.range(4000).selectExpr("1 AS n"), partitions=8).count()
     sizes = [r["count"] for r in kept[0].groupBy("segment").count().collect()]
     assert len(sizes) == 8 and max(sizes) < 1500
+
+
+def test_rows_are_numbered_where_the_range_split_has_sorted_them(spark):
+    rows = spark.range(0, 1000, 1, 7).selectExpr("id % 10 AS a", "id % 3 AS b")
+    found = dense_ids(rows, "n", partitions=5)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in plan
+    made = sorted((r.n, r.a, r.b) for r in found.collect())
+    assert [m[0] for m in made] == list(range(1, 1001))
+    assert [m[1:] for m in made] == sorted((r.a, r.b) for r in rows.collect())
