@@ -63,9 +63,10 @@ ORDER = 4
 SPREAD = 8.0
 LEAST = 0.9
 NO_LANGUAGE = ""
-#: Text bytes of a chunk, and bits of a code point.
+#: Text bytes of a chunk, bits of a code point, and code points there are.
 CHUNK = 16_000_000
 WIDE = 21
+POINTS = 0x110000
 #: Bits of the map of copied texts, and grams that a task holds before it passes them on.
 BITS = 1 << 24
 HELD = 2_000_000
@@ -134,8 +135,8 @@ def measures(column: pa.Array) -> list[np.ndarray]:
 
 def mark_share() -> Column:
     """The share of ``MARKS`` among the code points of a text that is not empty."""
-    chars = F.length("text")
-    return (chars - F.length(F.translate("text", MARKS.decode(), ""))) / chars
+    marks = F.regexp_replace("text", f"[^{MARKS.decode()}]+", "")
+    return F.length(marks) / F.length("text")
 
 
 def most_marks(texts: DataFrame) -> DataFrame:
@@ -191,33 +192,54 @@ def some_rows(bits: bytes, wanted: bool):
     return run
 
 
-def wide_grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Text, context (the three code points before) and code point of each place of some texts.
+def numbered(keys: np.ndarray) -> np.ndarray:
+    """A number from 0 for each key, equal for equal keys; a hash table, not a sort."""
+    return pa.array(keys).dictionary_encode().indices.to_numpy().astype(np.int64)
 
-    Code points count from 1; 0 stands before a text.
+
+def wide_grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text and gram of each place of some texts; context (three code points) and code point of each gram.
+
+    Grams are numbered from 0, each different one once. Code points count from 1; 0 stands before a text.
+    They are told apart by numbers that only the code points of these texts have, 16 bits each where
+    those suffice.
     """
     texts = column.to_pylist()
     sizes = np.array([len(t) for t in texts], np.int64)
-    symbols = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
-    place = np.arange(len(symbols)) + (ORDER - 1) * (np.repeat(np.arange(len(sizes)), sizes) + 1)
-    padded = np.zeros(len(symbols) + (ORDER - 1) * len(sizes), np.int64)
-    padded[place] = symbols.astype(np.int64) + 1
-    context = np.zeros(len(symbols), np.int64)
+    before = "\0" * (ORDER - 1)
+    whole = (before + before.join(texts)).encode("utf-32-le", "surrogatepass")
+    points = np.frombuffer(whole, "<u4")
+    known = np.zeros(POINTS, bool)
+    known[points] = True
+    alphabet = np.flatnonzero(known)
+    number = np.zeros(POINTS, "<u2" if len(alphabet) < 1 << 16 else "<u4")
+    number[alphabet] = np.arange(1, len(alphabet) + 1)
+    own = number[points]
+    begin = np.cumsum(sizes) - sizes + (ORDER - 1) * np.arange(len(sizes))
+    own[begin[:, None] + np.arange(ORDER - 1)] = 0
+    place = np.flatnonzero(own[ORDER - 1 :])
+    step = own.itemsize
+    if step == 2:
+        keys = np.ndarray(len(own) - ORDER + 1, "<u8", own, 0, (step,))[place]
+    else:
+        pairs = numbered(np.ndarray(len(own) - 1, "<u8", own, 0, (step,)).copy())
+        keys = (pairs[place] << 32) | pairs[place + 2]
+    gram = numbered(keys)
+    at = np.zeros(gram.max() + 1 if len(gram) else 0, np.int64)
+    at[gram] = place
+    context = np.zeros(len(at), np.int64)
     for back in range(1, ORDER):
-        context |= padded[place - back] << (WIDE * (back - 1))
-    return np.repeat(np.arange(len(sizes)), sizes), context, padded[place]
+        there = at + ORDER - 1 - back
+        code = np.where(own[there] > 0, points[there].astype(np.int64) + 1, 0)
+        context |= code << (WIDE * (back - 1))
+    symbol = points[at + ORDER - 1].astype(np.int64) + 1
+    return np.repeat(np.arange(len(sizes)), sizes), gram, context, symbol
 
 
 def gram_key(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
     return mixed(mixed(context.astype(U)) + symbol.astype(U))
 
 
-def distinct_grams(context, symbol):
-    """One place of each different gram, sorted by hash, and how many there are."""
-    _, at, n = np.unique(gram_key(context, symbol), return_index=True, return_counts=True)
-    return at, n
-
-
 class Grams:
     """Different grams of some texts, with sums of ``n`` and the range of ``owner``."""
 
@@ -289,11 +311,14 @@ def count_wide(batches):
             column, owner = filled(rows.column("text")), rows.column("owner").to_numpy()
             counts = rows.column("counts").to_numpy(zero_copy_only=False).astype(np.int64)
             for at, stop in chunks(column):
-                text, context, symbol = wide_grams(column[at:stop])
-                one = Grams()
-                whose = owner[at:stop][text]
-                one.add(context, symbol, counts[at:stop][text], whose, whose)
-                seen.setdefault(language, Grams()).add(*one.merged())
+                text, gram, context, symbol = wide_grams(column[at:stop])
+                whose, size = owner[at:stop][text], len(context)
+                n = np.bincount(gram, counts[at:stop][text], size).astype(np.int64)
+                low = np.full(size, np.iinfo(np.int64).max)
+                high = np.full(size, np.iinfo(np.int64).min)
+                np.minimum.at(low, gram, whose)
+                np.maximum.at(high, gram, whose)
+                seen.setdefault(language, Grams()).add(context, symbol, n, low, high)
         if crowded(seen):
             yield from drained()
     yield from drained()
@@ -335,11 +360,9 @@ def ask(batches):
             for language, rows in by_language(batch.filter(pc.equal(chunk_of, chunk))):
                 column = filled(rows.column("text"))
                 for at, stop in chunks(column):
-                    _, context, symbol = wide_grams(column[at:stop])
-                    first, n = distinct_grams(context, symbol)
-                    open_.setdefault((chunk, language), Grams()).add(
-                        context[first], symbol[first], n, n, n
-                    )
+                    _, _, context, symbol = wide_grams(column[at:stop])
+                    n = np.ones(len(context), np.int64)
+                    open_.setdefault((chunk, language), Grams()).add(context, symbol, n, n, n)
         if crowded(open_):
             yield from asked()
     yield from asked()
@@ -386,7 +409,7 @@ def answer(carried: list[str]):
         keys, score = keys[order], own.column("score").to_numpy()[order]
         found = np.full(len(column), np.nan)
         for at, stop in chunks(column):
-            text, context, symbol = wide_grams(column[at:stop])
+            text, gram, context, symbol = wide_grams(column[at:stop])
             if not len(text):
                 continue
             wanted = gram_key(context, symbol)
@@ -394,7 +417,7 @@ def answer(carried: list[str]):
             if not len(keys) or not (keys[np.minimum(place, len(keys) - 1)] == wanted).all():
                 raise RuntimeError("a chunk holds a gram that it has not asked for")
             n = np.bincount(text, minlength=stop - at)
-            sums = np.bincount(text, score[place], minlength=stop - at)
+            sums = np.bincount(text, score[place][gram], minlength=stop - at)
             found[at:stop] = np.where(n > 0, -sums / np.maximum(n, 1), np.nan)
         return found
 

@@ -1,6 +1,8 @@
 """Counting tasks of the quality rules."""
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
 from millrace.llm import quality
 
@@ -30,3 +32,24 @@ def test_equal_grams_of_many_small_batches_do_not_crowd_a_task(monkeypatch):
     many = np.arange(101)
     grams.add(many, many, many, many, many)
     assert quality.crowded({"en": grams})
+
+
+@pytest.mark.parametrize("wide", [0, 70_000])
+def test_each_gram_of_some_texts_is_there_once(wide):
+    many = "".join(map(chr, range(0x10000, 0x10000 + wide)))
+    texts = ["abab", "", "\0\0\0a", "\U0010ffffabab" + many, "b\0a" + many[:9], ""]
+    text, gram, context, symbol = quality.wide_grams(pa.array(texts, pa.large_string()))
+    assert len(set(zip(context.tolist(), symbol.tolist()))) == len(context)
+    expected = []
+    for i, t in enumerate(texts):
+        codes = [0, 0, 0, *[ord(c) + 1 for c in t]]
+        for at in range(len(t)):
+            a, b, c, d = codes[at : at + 4]
+            expected.append((i, a << 42 | b << 21 | c, d))
+    assert [*zip(text.tolist(), context[gram].tolist(), symbol[gram].tolist())] == expected
+
+
+def test_no_text_has_no_gram():
+    for texts in ([], [""], ["", ""]):
+        found = quality.wide_grams(pa.array(texts, pa.large_string()))
+        assert [len(x) for x in found] == [0, 0, 0, 0]
