@@ -79,3 +79,13 @@ def test_replayed_records(spark):
     stored = log.filter("kafka_partition = 0 AND kafka_offset = 1")
     assert rows(unseen_records(doubled, stored)) == [("t", 0, 2, "u"), ("t", 1, 1, "c")]
     assert unseen_records(doubled, log).count() == 0
+
+
+def test_unseen_records_are_shuffled_and_sorted_once(spark):
+    kinds = "topic string, kafka_partition int, kafka_offset long, after string"
+    log = spark.createDataFrame([("t", 0, 1, "a"), ("t", None, 2, "b")], kinds)
+    read = [("t", 0, 1, "a"), ("t", 0, 2, "c"), ("t", 0, 2, "c"), (None, 0, 3, "d"), (None, 0, 3, "d")]
+    found = unseen_records(spark.createDataFrame(read, kinds).hint("merge"), log)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Sort [") == 2
+    assert rows(found) == sorted([("t", 0, 2, "c"), (None, 0, 3, "d")], key=repr)
