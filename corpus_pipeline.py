@@ -1,9 +1,9 @@
 """From raw documents to packed training sequences.
 
 Each stage takes what the one before has kept, written as Parquet below the checkpoint folder and
-read again. All but the last return the columns of ``documents``; the last returns a row for each piece
-of a packed sequence. A row without an id cannot be told from others and goes in the first stage.
-Empty tables go through all stages.
+read again, and deleted once the next one has written what it keeps. All but the last return the
+columns of ``documents``; the last returns a row for each piece of a packed sequence. A row without
+an id cannot be told from others and goes in the first stage. Empty tables go through all stages.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from millrace.llm.language import UNKNOWN, fit, predict
 from millrace.llm.packing import pack
 from millrace.llm.quality import judged_rows
 from millrace.llm.substring_dedup import remove_repeats
-from millrace.session import durable
+from millrace.session import discard, durable
 
 #: A language that is less likely than this is a guess. Half and half texts stay.
 LEAST_SCORE = 0.4
@@ -76,5 +76,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = durable(stage(spark, docs, sf_dir), name)
+        kept = durable(stage(spark, docs, sf_dir), name)
+        discard(docs)
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import durable
+from ..session import discard, durable
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -14,7 +14,8 @@ def components(edges: DataFrame) -> DataFrame:
     In each round every node joins the neighbour that comes first in a random order, itself
     included, and edges move to those nodes. Random order makes the node set shrink by a constant
     share a round also on long chains. Nodes with very many neighbours are minima over partial
-    aggregates. Rounds are written below the checkpoint folder, so lineage stays short.
+    aggregates. Rounds are written below the checkpoint folder, so lineage stays short; only the
+    last one's nodes stay there.
     """
     edges = durable(edges.select("a", "b").filter("a <> b").distinct(), "edges")
     labels = None
@@ -28,9 +29,11 @@ def components(edges: DataFrame) -> DataFrame:
             .select(F.col("a").alias("node"), F.least("first", rank("a"))["v"].alias("root")),
             "joins",
         )
+        consumed = [edges]
         if labels is None:
             labels = joins
         else:
+            consumed += [labels, joins]
             labels = durable(
                 labels.withColumnRenamed("root", "at")
                 .join(joins.withColumnRenamed("node", "at"), "at", "left")
@@ -45,5 +48,9 @@ def components(edges: DataFrame) -> DataFrame:
             .distinct()
         )
         edges = durable(moved, "edges")
+        discard(*consumed)
         turn += 1
-    return labels if labels is not None else edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    if labels is None:
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    discard(edges)
+    return labels

@@ -21,7 +21,8 @@ in the order and so stand in no list but those of texts that consist of little e
 hold at most one of the ``0.15 s`` postings of each set.
 
 Nothing is collected but the histogram of sizes below 64 and the sketch (1 MB). Hashes have 64 bits
-for elements and 128 for whole sets.
+for elements and 128 for whole sets. Stages are deleted once what follows from them is written; only
+the rows returned stay.
 
 Defined cases: a null or empty text has an empty set, links with nothing and is its own component;
 a text with fewer words than n has one element, its whole sequence; repeated rows share a
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import durable
+from ..session import discard, durable
 from .components import components
 from .textkit import (
     U,
@@ -222,8 +223,10 @@ def subset_keys(most: int, per_cent: int):
     return run
 
 
-def light_edges(sets: DataFrame, most: int, per_cent: int) -> DataFrame:
-    """Edges that connect the sets of a key; a key stands for one pair of sizes.
+def light_edges(sets: DataFrame, most: int, per_cent: int) -> tuple[DataFrame, DataFrame]:
+    """Edges that connect the sets of a key, and the stage they are read from.
+
+    A key stands for one pair of sizes.
 
     Of two different sizes both must be there: then every set of one links with every set of the
     other, and an edge from each set to the first connects just those.
@@ -244,11 +247,12 @@ def light_edges(sets: DataFrame, most: int, per_cent: int) -> DataFrame:
         .filter("root <> last AND links")
         .select("key", "root")
     )
-    return (
+    found = (
         keys.join(meets, "key")
         .filter("sid <> root")
         .select(F.col("root").alias("a"), F.col("sid").alias("b"))
     )
+    return found, keys
 
 
 def rare_prefixes(size: int, per_cent: int, least: int, ranks):
@@ -403,9 +407,9 @@ def near_duplicates(
         .distinct()
     )
     first = durable(first, "pairs")
-    edges = durable(
-        verified(first, own, size, per_cent).unionByName(light_edges(sets, most, per_cent)), "links"
-    )
+    light_links, keys = light_edges(sets, most, per_cent)
+    edges = durable(verified(first, own, size, per_cent).unionByName(light_links), "links")
+    discard(keys)
     labels = components(edges)
 
     placed = durable(
@@ -414,6 +418,7 @@ def near_duplicates(
         ),
         "placed",
     )
+    discard(listed, labels)
     mixed_lists = (
         placed.groupBy("token")
         .agg(F.min("root").alias("low"), F.max("root").alias("high"))
@@ -434,7 +439,10 @@ def near_duplicates(
         .distinct()
         .join(first, ["a", "b"], "left_anti")
     )
-    more = durable(verified(durable(second, "pairs"), own, size, per_cent), "links")
+    second = durable(second, "pairs")
+    discard(first, placed)
+    more = durable(verified(second, own, size, per_cent), "links")
+    discard(second, own)
     labels = components(edges.unionByName(more))
 
     smallest = labels.groupBy("root").agg(F.min("node").alias("component_id"))
@@ -443,11 +451,16 @@ def near_duplicates(
         .join(labels.join(smallest, "root").withColumnRenamed("node", "sid"), "sid", "left")
         .select("h1", "h2", "n", F.coalesce("component_id", "sid").alias("component_id"))
     )
-    return of_docs.join(found, ["h1", "h2", "n"], "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+    found = durable(
+        of_docs.join(found, ["h1", "h2", "n"], "left").select(
+            "doc_id",
+            F.col("n").alias("n_shingles"),
+            F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        ),
+        "near",
     )
+    discard(profile, sets, edges, more, labels)
+    return found
 
 
 def op6_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -7,7 +7,9 @@ import pytest
 
 import corpus_pipeline
 from millrace.llm import queries
-from millrace.session import durable
+from millrace.llm.components import components
+from millrace.llm.jaccard_join import near_duplicates
+from millrace.session import durable, shared_root
 
 SMALL = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="needs the generated tables")
@@ -82,3 +84,29 @@ def test_near_copies_in_the_pipeline_leave_one(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
     kept = corpus_pipeline.jaccard_join(spark, docs, SMALL)
     assert sorted(r.doc_id for r in kept.collect()) == [0, 6]
+
+
+def left_by(spark, job):
+    """What a job returns, and the stages that it leaves below the shared folder."""
+    before = set(os.listdir(shared_root(spark)))
+    made = job()
+    return made, sorted(n.split("-")[0] for n in set(os.listdir(shared_root(spark))) - before)
+
+
+def test_near_duplicates_leave_only_the_rows_they_return(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    for light in (None, 8):
+        found, left = left_by(spark, lambda: near_duplicates(docs, size=5, per_cent=80, light=light))
+        assert left == ["near"]
+        assert found.count() == docs.count()
+        assert found.filter("component_id <> doc_id").count()
+    chain = spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long")
+    labels, left = left_by(spark, lambda: components(chain))
+    assert len(left) == 1 and labels.count() == 61
+
+
+def test_pipeline_run_leaves_no_stage_that_a_later_one_has_read(spark):
+    packed, left = left_by(spark, lambda: corpus_pipeline.run(spark, SMALL))
+    names = [name for name, _ in corpus_pipeline.STAGES]
+    assert [n for n in left if n in names] == ["substring_dedup"]
+    assert packed.count()
