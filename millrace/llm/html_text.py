@@ -9,9 +9,10 @@ with the largest sum among nodes that reach the threshold, blocks in page order.
 
 Left out everywhere, before any density is counted: scripts, styles and other markup that is not
 read, menus, and elements whose name or role, or one of whose classes or id, as a whole, says
-footer, notice, advert or comments, whatever they hold. Forms and what is called a header, a sidebar or another
+footer, notice, advert or comments, whatever they hold but for one case below. Forms and what is called a header, a sidebar or another
 part that pages also wrap around their text go where a paragraph stands beside them, outside of all these; where
-none does, they hold the main text. Headings and headers that hold a heading only stay. A
+none does, they hold the main text. So does what is called comments, if the page's only h1 and all its paragraphs
+stand in it. Headings and headers that hold a heading only stay. A
 part of a class ("has-sidebar", "no-comments") says nothing: density decides on such elements. The last h1
 before a main text that has none is its title.
 
@@ -82,6 +83,8 @@ WRAPPERS = frozenset(
     "page-header site-header main-header top-header header-top left-sidebar right-sidebar "
     "sidebar-left sidebar-right sidebar-inner side-bar".split()
 )
+#: Those of them that hold reader comments; a whole article may be called so, too.
+COMMENTS = frozenset("comment comments commentlist comment-list comments-area comments-section comment-section".split())
 CLOSED_BY = {
     "li": frozenset(["li"]),
     "dt": frozenset(["dt", "dd"]),
@@ -102,11 +105,11 @@ WORD = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z0-9]+(?![a-z])")
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "cut", "called", "wraps", "chars", "paragraphs", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("name", "parent", "children", "cut", "called", "wraps", "talk", "chars", "paragraphs", "titles", "tags", "link_chars", "link_tags", "density", "sum")
 
     def __init__(self, name: str, parent: Node | None, cut: bool):
         self.name, self.parent, self.cut = name, parent, cut
-        self.called = self.wraps = False
+        self.called = self.wraps = self.talk = False
         self.children: list[Node | str] = []
 
 
@@ -127,23 +130,23 @@ def is_around(name: str, attributes: str) -> bool:
     return False
 
 
-def called_around(name: str, attributes: str) -> tuple[bool, bool]:
-    """Whether a whole class or id names a part around the main text, and whether only such as also wrap it."""
+def called_around(name: str, attributes: str) -> tuple[bool, bool, bool]:
+    """Whether a whole class or id names a part around the main text, whether only such as also wrap it, or comments."""
     if name == "form":
-        return True, True
+        return True, True, False
     if not attributes or name in KEEPS or name in HEADINGS:
-        return False, False
+        return False, False, False
     names = {
         "-".join(w.lower() for w in WORD.findall(token))
         for key, value in NAMED.findall(attributes)
         if key.lower() in ("class", "id")
         for token in value.strip("\"'").split()
     } & AROUND
-    return bool(names), names <= WRAPPERS
+    return bool(names), names <= WRAPPERS, names <= WRAPPERS | COMMENTS
 
 
 def count_paragraphs(root: Node) -> list[Node]:
-    """Characters and paragraphs of every kept node; parents come first in the list."""
+    """Characters, paragraphs and titles of every kept node; parents come first in the list."""
     order, waiting = [], [root]
     while waiting:
         node = waiting.pop()
@@ -156,6 +159,7 @@ def count_paragraphs(root: Node) -> list[Node]:
         kept = [c for c in node.children if isinstance(c, Node) and not c.cut]
         node.chars = own + sum(c.chars for c in kept)
         node.paragraphs = sum(c.paragraphs for c in kept)
+        node.titles = sum(c.titles for c in kept) + (node.name == "h1" and node.chars > 0)
         if own >= PARAGRAPH or node.name == "p" and node.chars:
             node.paragraphs += 1
     return order
@@ -165,6 +169,9 @@ def cut_called(root: Node) -> None:
     """Cuts what is called a part around, if it is no heading-only header and does not wrap the main text."""
     order = count_paragraphs(root)
     for node in order:
+        if node.talk and node.titles and node.paragraphs:
+            if (node.titles, node.paragraphs) == (root.titles, root.paragraphs):
+                continue
         if node.called and not node.wraps and not (node.name == "header" and all_heading(node)):
             node.cut = True
     order = count_paragraphs(root)
@@ -284,7 +291,7 @@ def parse(page: str) -> Node:
         opened.imply(name)
         here = opened.nodes[-1]
         node = Node(name, here, name in UNREAD or is_around(name, attributes))
-        node.called, node.wraps = called_around(name, attributes)
+        node.called, node.wraps, node.talk = called_around(name, attributes)
         here.children.append(node)
         if name in VOID or attributes.endswith("/") and name in ("svg", "math", "path"):
             continue

@@ -151,6 +151,16 @@ def test_main_text_beside_and_inside_of_parts_around_it():
         assert html_text.extract(f"<body>{page}</body>").split("\n")[0] == "T"
 
 
+def test_only_a_page_whose_title_stands_in_its_comments_keeps_them():
+    comments = f'<div class="comments">{PARAGRAPH}</div>'
+    assert html_text.extract(f"<h1>T</h1>{comments}") == "T"
+    titled = f'<div class="comments"><h1>T</h1>{PARAGRAPH}<div class="comment">{PARAGRAPH}</div></div>'
+    own = html_text.extract(PARAGRAPH)
+    assert html_text.extract(titled) == f"T\n{own}"
+    assert html_text.extract(f"<div>{PARAGRAPH}</div>{titled}") == own
+    assert html_text.extract(f"<div><h1>U</h1></div>{titled}") == "U"
+
+
 def test_malformed_pages_take_linear_time():
     for page in ("<a ", '<a "', "<a x='", "<!--", "<![CDATA[", "<b></i>", "<div></span>", "<p>x"):
         begun = time.process_time()
